@@ -1,0 +1,46 @@
+"""Side-by-side check of a query and its oracle SQL."""
+
+import datetime
+import math
+
+import duckdb
+
+TABLES = (
+    "region nation customer supplier part orders lineitem events documents embeddings pages "
+    "benchmark labels conversations"
+).split()
+
+
+def connect(sf):
+    con = duckdb.connect()
+    for t in TABLES:
+        con.execute(f"create view {t} as select * from '{sf}/{t}.parquet'")
+    return con
+
+
+def _plain(v):
+    if isinstance(v, float):
+        return "nan" if math.isnan(v) else repr(v)
+    if isinstance(v, datetime.datetime):
+        return v.isoformat()
+    if isinstance(v, (list, tuple)):
+        return str([_plain(x) for x in v])
+    return str(v)
+
+
+def _canonical(columns, rows):
+    order = sorted(range(len(columns)), key=lambda i: columns[i])
+    return [columns[i] for i in order], sorted(tuple(_plain(r[i]) for i in order) for r in rows)
+
+
+def compare(spark, con, run, sql, sf):
+    """Returns (matches, n_spark, n_oracle, first differences)."""
+    df = run(spark, sf)
+    got_cols, got = _canonical(df.columns, [tuple(r) for r in df.collect()])
+    cur = con.execute(sql)
+    columns = [d[0] for d in cur.description]
+    want_cols, want = _canonical(columns, cur.fetchall())
+    if got_cols != want_cols:
+        return False, len(got), len(want), (got_cols, want_cols)
+    diff = [(g, w) for g, w in zip(got, want) if g != w][:3]
+    return got == want, len(got), len(want), diff
