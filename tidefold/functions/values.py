@@ -8,54 +8,40 @@ from pyspark.sql import types as T
 
 from tidefold.model import NIL
 
-NUMERIC = (
-    T.ByteType,
-    T.ShortType,
-    T.IntegerType,
-    T.LongType,
-    T.FloatType,
-    T.DoubleType,
-)
+INTEGRAL = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
+NUMERIC = (*INTEGRAL, T.FloatType, T.DoubleType)
 
 
-def printed_float(value: Column) -> Column:
-    """Shortest float text: 900, 0.5, 1e+06, 1.5e-05.
+# Shortest float text: 900, 0.5, 1e+06, 1.5e-05.  Digits come from Spark's own text
+# of the number, which is plain from 0.001 to ten million and "mEx" elsewhere; here
+# numbers are plain from 0.0001 to one million.  Most only lose a trailing ".0".
+_WHOLE = "if(endswith({0}, '.0'), substring_index({0}, '.', 1), {0})"
+_TEXT = "cast({0} as string)"
+_MANTISSA = f"substring_index({_TEXT}, 'E', 1)"
+_SHIFT = f"try_cast(substring_index({_TEXT}, 'E', -1) as int)"
+_PRINTED_FLOAT = f"""case
+  when abs({{0}}) >= 0.001D and abs({{0}}) < 1e6D then {_WHOLE.replace("{0}", _TEXT)}
+  when {{0}} = 0 then '0'
+  when isnan({{0}}) then 'NaN'
+  when abs({{0}}) = double('Infinity') then if({{0}} > 0, '+Inf', '-Inf')
+  when abs({{0}}) >= 0.0001D and abs({{0}}) < 0.001D
+    then regexp_replace({_WHOLE.replace("{0}", _MANTISSA)},
+                        r'^(-?)(\d)\.?(\d*)$', '$10.000$2$3')
+  when abs({{0}}) >= 1e6D and abs({{0}}) < 1e7D
+    then concat(regexp_replace(
+                  regexp_replace({_TEXT}, r'^(-?\d)(\d{{{{6}}}})\.?(\d*)$', '$1.$2$3'),
+                  r'\.?0+$', ''), 'e+06')
+  else concat({_WHOLE.replace("{0}", _MANTISSA)}, if({_SHIFT} < 0, 'e-', 'e+'),
+              lpad(abs({_SHIFT}), if(abs({_SHIFT}) < 100, 2, 3), '0'))
+end"""
 
-    Digits come from Spark's own text of the number; only the placement of the
-    point differs: scientific from 1e+06 up and below 0.0001.
+
+def printed_float(name: str) -> Column:
+    """Printed form of a float or double column.
+
+    One parsed expression: building it call by call costs more than running it.
     """
-    text = F.abs(value).cast("string")
-    mantissa = F.regexp_extract(text, r"^([0-9.]+)", 1)
-    shift = F.coalesce(F.regexp_extract(text, r"E(-?\d+)$", 1).try_cast("int"), F.lit(0))
-    whole = F.substring_index(mantissa, ".", 1)
-    # All digits without leading or trailing zeros, and the decimal exponent of
-    # the first of them.
-    digits = F.regexp_replace(F.replace(mantissa, F.lit("."), F.lit("")), r"^0+|0+$", "")
-    leading = F.length(F.regexp_extract(F.substring_index(mantissa, ".", -1), r"^(0*)", 1))
-    exponent = shift + F.when(whole == "0", -leading - 1).otherwise(F.length(whole) - 1)
-    size = F.length(digits)
-    scientific = F.concat(
-        F.substring(digits, 1, 1),
-        F.when(size > 1, F.concat(F.lit("."), F.substr(digits, F.lit(2)))).otherwise(""),
-        F.when(exponent < 0, "e-").otherwise("e+"),
-        F.format_string("%02d", F.abs(exponent)),
-    )
-    point = exponent + 1
-    plain = (
-        F.when(exponent < 0, F.concat(F.lit("0."), F.repeat(F.lit("0"), -point), digits))
-        .when(size <= point, F.rpad(digits, point, F.lit("0")))
-        .otherwise(
-            F.concat(F.substr(digits, F.lit(1), point), F.lit("."), F.substr(digits, point + 1))
-        )
-    )
-    body = (
-        F.when(F.isnan(value), "NaN")
-        .when(text == "Infinity", F.when(value < 0, "Inf").otherwise("+Inf"))
-        .when(value == 0, "0")
-        .when((exponent < -4) | (exponent >= 6), scientific)
-        .otherwise(plain)
-    )
-    return F.when(value < 0, F.concat(F.lit("-"), body)).otherwise(body)
+    return F.expr(_PRINTED_FLOAT.format(f"`{name}`"))
 
 
 def printed_bytes(value: Column) -> Column:
@@ -69,7 +55,7 @@ def printed(df: DataFrame, name: str) -> Column:
     """Printed form of a column, chosen by its type."""
     column, kind = F.col(name), df.schema[name].dataType
     if isinstance(kind, (T.FloatType, T.DoubleType)):
-        text = printed_float(column)
+        text = printed_float(name)
     elif isinstance(kind, T.BinaryType):
         text = printed_bytes(column)
     else:
@@ -83,13 +69,31 @@ def numeric_side(df: DataFrame, name: str) -> Column:
     if isinstance(kind, NUMERIC):
         number = column.cast("double")
     elif isinstance(kind, T.BinaryType):
-        number = F.decode(column, "UTF-8").try_cast("double")
+        number = column.cast("string").try_cast("double")
     else:
         number = F.lit(0.0)
     return F.coalesce(number, F.lit(0.0))
 
 
 def lenient_equal(df: DataFrame, left: str, right: str) -> Column:
-    """Equal printed forms, or equal non-zero numbers."""
+    """Equal printed forms, or equal non-zero numbers.
+
+    Two numbers, and two values of one other type, print alike exactly when they
+    are equal, so text is only made where the types differ.
+    """
+    kinds = [df.schema[name].dataType for name in (left, right)]
+    if all(isinstance(k, INTEGRAL) for k in kinds):
+        return F.col(left).eqNullSafe(F.col(right))
+    if all(isinstance(k, NUMERIC) for k in kinds):
+        return F.col(left).cast("double").eqNullSafe(F.col(right).cast("double"))
     a, b = numeric_side(df, left), numeric_side(df, right)
-    return (printed(df, left) == printed(df, right)) | ((a != 0) & (b != 0) & (a == b))
+    same_number = (a != 0) & (b != 0) & (a == b)
+    numbers = all(isinstance(k, (*NUMERIC, T.BinaryType)) for k in kinds)
+    if kinds[0] == kinds[1]:
+        alike = F.col(left).eqNullSafe(F.col(right))
+    elif numbers:
+        # Bytes print as a list, so they look like a number only if both are null.
+        alike = F.col(left).isNull() & F.col(right).isNull()
+    else:
+        alike = printed(df, left) == printed(df, right)
+    return alike | same_number if numbers else alike

@@ -158,18 +158,23 @@ def move_changed_keys(pairs: DataFrame, key: Sequence[str], keep: Sequence[str])
     )
 
 
-def missing_key_reject(records: DataFrame, batch: Sequence[str]) -> tuple[DataFrame, DataFrame]:
-    """Split into accepted and rejected records: one empty id rejects its batch.
+def mark_accepted(rows: DataFrame, fault: SparkColumn, group: Sequence[str]) -> DataFrame:
+    """Add ``accepted``: false on every row of a group that has a fault anywhere.
 
-    The list of bad batches is distinct before it is joined, and a batch that is
-    very large is split by adaptive skew handling, since the join keeps rows of
-    the left side only.
+    Faulty groups are made distinct before they are joined, and rows are only on
+    the left side, so a group of any size is split by adaptive skew handling.
     """
-    bad = records.where(F.coalesce(F.col("_id"), F.lit("")) == "").select(*batch).distinct()
-    return records.join(bad, list(batch), "left_anti"), records.join(bad, list(batch), "left_semi")
+    faulty = rows.where(fault).select(*group).distinct().withColumn("_faulty", F.lit(True))
+    return rows.join(faulty, list(group), "left").select(
+        *rows.columns, F.col("_faulty").isNull().alias("accepted")
+    )
+
+
+def missing_key_reject(records: DataFrame, batch: Sequence[str]) -> DataFrame:
+    """Mark records: one empty id rejects its whole batch."""
+    return mark_accepted(records, F.coalesce(F.col("_id"), F.lit("")) == "", batch)
 
 
-def enum_reject(catalog: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Split catalog columns: a table with an enum column is rejected as a whole."""
-    bad = catalog.where(F.contains(F.lower("type"), F.lit("enum"))).select("tbl").distinct()
-    return catalog.join(bad, "tbl", "left_anti"), catalog.join(bad, "tbl", "left_semi")
+def enum_reject(catalog: DataFrame) -> DataFrame:
+    """Mark catalog columns: a table with an enum column is rejected as a whole."""
+    return mark_accepted(catalog, F.contains(F.lower("type"), F.lit("enum")), ["tbl"])

@@ -68,9 +68,13 @@ def doc_diff(
 ) -> DataFrame:
     """One row per differing column of the keys found on both sides."""
     pairs = paired(source, target, key, "inner")
+    differs = {c: ~lenient_equal(pairs, f"s_{c}", f"t_{c}") for c in columns}
+    anything = F.lit(False)
+    for c in columns:
+        anything = anything | differs[c]
     differences = [
         F.when(
-            ~lenient_equal(pairs, f"s_{c}", f"t_{c}"),
+            differs[c],
             F.struct(
                 F.lit(c).alias("column_name"),
                 printed(pairs, f"s_{c}").alias("source_value"),
@@ -79,9 +83,12 @@ def doc_diff(
         )
         for c in columns
     ]
-    return pairs.select(
-        *key, F.explode(F.array_compact(F.array(*differences))).alias("d")
-    ).select(*key, "d.*")
+    return (
+        pairs.where(anything)
+        .select(*key, F.explode(F.array(*differences)).alias("d"))
+        .where("d is not null")
+        .select(*key, "d.*")
+    )
 
 
 def key_diff(source_columns: Sequence[str], target_columns: Sequence[str]) -> tuple[list, list]:

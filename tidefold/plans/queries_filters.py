@@ -86,10 +86,7 @@ def _batches(spark: SparkSession, sf: str) -> DataFrame:
     + """select *, batch_id not in (select batch_id from bad) accepted from records""",
 )
 def missing_key_reject(spark: SparkSession, sf: str) -> DataFrame:
-    accepted, rejected = normalise.missing_key_reject(_batches(spark, sf), ["batch_id"])
-    return accepted.withColumn("accepted", F.lit(True)).unionByName(
-        rejected.withColumn("accepted", F.lit(False))
-    )
+    return normalise.missing_key_reject(_batches(spark, sf), ["batch_id"])
 
 
 @query(
@@ -101,10 +98,7 @@ def missing_key_reject(spark: SparkSession, sf: str) -> DataFrame:
 )
 def enum_reject(spark: SparkSession, sf: str) -> DataFrame:
     columns = inputs.catalog(spark, sf).select("tbl", "name", "type")
-    accepted, rejected = normalise.enum_reject(columns)
-    return accepted.withColumn("accepted", F.lit(True)).unionByName(
-        rejected.withColumn("accepted", F.lit(False))
-    )
+    return normalise.enum_reject(columns)
 
 
 @query(

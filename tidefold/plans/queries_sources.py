@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidefold.functions import keys
-from tidefold.functions.literals import literal_value
+from tidefold.functions.literals import literal_value, read_literals
 from tidefold.model import Column, Position
 from tidefold.operators import documents, normalise
 from tidefold.plans import inputs
@@ -123,8 +123,9 @@ def literal_values(spark: SparkSession, sf: str) -> DataFrame:
     rows = scan(spark, sf, "customer").select(
         "c_custkey", F.posexplode(literals).alias("i", "literal")
     )
-    return rows.select(
-        "c_custkey", (F.col("i") + 1).alias("slot"), literal_value(F.col("literal")).alias("v")
+    read = read_literals(rows, {"lit": F.col("literal")})
+    return read.select(
+        "c_custkey", (F.col("i") + 1).alias("slot"), literal_value("lit").alias("v")
     ).select("c_custkey", "slot", "v.*")
 
 

@@ -18,6 +18,10 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
 }
 
+# Fixed when a session starts.  Call sites recorded for error messages cost several
+# round trips to the JVM for every column expression.
+START_CONF = {"spark.python.sql.dataFrameDebugging.enabled": "false"}
+
 _local_scratch: dict[str, str] = {}
 
 
@@ -25,7 +29,7 @@ def build_session(app: str = "tidefold", master: str | None = None, **conf: str)
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    for name, value in {**RUNTIME_CONF, **conf}.items():
+    for name, value in {**RUNTIME_CONF, **START_CONF, **conf}.items():
         builder = builder.config(name, value)
     return builder.getOrCreate()
 

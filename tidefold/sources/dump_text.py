@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidefold.functions.keys import render_pk
-from tidefold.functions.literals import FIELD, STRING, TUPLE, typed, written
+from tidefold.functions.literals import FIELD, STRING, TUPLE, read_literals, typed, written
 from tidefold.functions.types import spark_type
 from tidefold.model import Column
 
@@ -65,12 +65,15 @@ def insert_tuples(statements: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """One row per value tuple of the INSERT statements: table, literals."""
     header = rf"(?s)^INSERT INTO {_NAME}\s*(?:\([^)]*\)\s*)?VALUES\s*"
     return (
-        statements.where(F.startswith(F.col("value"), F.lit("INSERT INTO")))
+        statements.where(F.startswith("value", F.lit("INSERT INTO")))
+        .withColumn("_header", F.regexp_extract("value", header, 0))
         .select(
             *keep,
-            F.replace(F.regexp_extract("value", header, 1), F.lit("``"), F.lit("`")).alias("tbl"),
+            F.replace(F.regexp_extract("_header", header, 1), F.lit("``"), F.lit("`")).alias("tbl"),
             F.explode(
-                F.regexp_extract_all(F.regexp_replace("value", header, ""), F.lit(TUPLE))
+                F.regexp_extract_all(
+                    F.substr("value", F.length("_header") + 1), F.lit(TUPLE)
+                )
             ).alias("row"),
         )
         .select(
@@ -92,17 +95,23 @@ def dump_rows(statements: DataFrame, columns: Sequence[Column]) -> DataFrame:
     """
     ordered = sorted(columns, key=lambda c: c.position)
     key = [c.name for c in ordered if c.is_in_primary_key]
-    literals = [F.get("literals", F.lit(c.position)) for c in ordered]
-    values = [typed(lit, spark_type(c.type)) for lit, c in zip(literals, ordered)]
+    slot = {c.name: f"_{c.position}" for c in ordered}
+    read = read_literals(
+        insert_tuples(statements),
+        {slot[c.name]: F.get("literals", F.lit(c.position)) for c in ordered},
+    ).withColumns({f"{slot[c.name]}_v": typed(slot[c.name], spark_type(c.type)) for c in ordered})
     failed = [
-        F.when(lit.isNotNull() & value.isNull() & (F.upper(F.trim(lit)) != "NULL"), c.name)
-        for lit, value, c in zip(literals, values, ordered)
+        F.when(F.col(f"{slot[c.name]}_v").isNull() & F.col(f"{slot[c.name]}_text").isNotNull(), c.name)
+        for c in ordered
     ]
     too_wide = F.when(F.size("literals") > len(ordered), "*")
-    rows = insert_tuples(statements).select(
-        *[v.alias(c.name) for v, c in zip(values, ordered)],
+    row = F.struct(
+        *[F.col(f"{slot[c.name]}_v").alias(c.name) for c in ordered],
         F.array_compact(F.array(*failed, too_wide)).alias("_bad"),
     )
+    # Inlining a one-element array keeps a later filter on _bad above the parsing,
+    # where it reads the result instead of repeating the work.
+    rows = read.select(F.inline(F.array(row)))
     return rows.withColumn("_id", render_pk(rows, key) if key else F.lit(""))
 
 
@@ -190,7 +199,7 @@ def insert_statements(table: DataFrame, name: str, statement_id: SparkColumn, or
     The caller picks ``statement_id`` so that a statement holds a bounded number
     of rows, as dump tools do.
     """
-    fields = [written(F.col(f.name), f.dataType) for f in table.schema.fields]
+    fields = [written(f.name, f.dataType) for f in table.schema.fields]
     row = F.concat(F.lit("("), F.concat_ws(",", *fields), F.lit(")"))
     gathered = F.array_sort(F.collect_list(F.struct(F.col(order).alias("k"), row.alias("row"))))
     return table.groupBy(statement_id.alias("statement")).agg(gathered.alias("rows")).select(
