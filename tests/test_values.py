@@ -1,0 +1,129 @@
+"""Printed forms, ids, types and lenient equality."""
+
+import pytest
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from tidefold.functions import keys, types, values
+from tidefold.model import Column
+from tidefold.operators import documents, reconcile
+
+PRINTED = {
+    0.0: "0", 900.0: "900", -5.0: "-5", 0.5: "0.5", 1e6: "1e+06", -1e6: "-1e+06",
+    1234567.89: "1.23456789e+06", 999999.0: "999999", 123456789.0: "1.23456789e+08",
+    0.0001: "0.0001", 0.00012345: "0.00012345", -0.0005: "-0.0005", 1.5e-5: "1.5e-05",
+    1e100: "1e+100", float("inf"): "+Inf", float("-inf"): "-Inf", float("nan"): "NaN",
+}
+
+
+def test_printed_floats(spark):
+    df = spark.createDataFrame([(v,) for v in PRINTED], "v double")
+    got = df.select(values.printed(df, "v")).collect()
+    assert [r[0] for r in got] == list(PRINTED.values())
+
+
+def test_rendered_and_generated_ids(spark):
+    df = spark.createDataFrame(
+        [(12, "a", 0.5, bytearray(b"AB")), (1, None, 1e6, None)], "i int, s string, d double, b binary"
+    )
+    got = df.select(keys.render_pk(df, ["i", "s", "d", "b"])).collect()
+    assert [r[0] for r in got] == ["12a0.5[65 66]", "1<nil>1e+06<nil>"]
+    cols = [
+        Column("b", "blob", 3, True),
+        Column("d", "double", 2, True),
+        Column("s", "text", 1),
+        Column("i", "int", 0, True),
+    ]
+    got = df.select(keys.generate_pk(df, cols)).collect()
+    assert [r[0] for r in got] == ["120.500000AB", "11000000.000000<nil>"]
+    with pytest.raises(ValueError, match="not available"):
+        keys.generate_pk(df, [Column("gone", "int", 0, True)])
+
+
+def test_pk_collisions(spark):
+    df = spark.createDataFrame([(1, 23), (12, 3), (1, 23), (4, 5)], "a int, b int")
+    assert [tuple(r) for r in keys.pk_collisions(df, ["a", "b"]).collect()] == [("123", 2)]
+
+
+@pytest.mark.parametrize(
+    "declared,target,spark_kind",
+    [
+        ("int(11)", "integer", T.IntegerType()),
+        ("MEDIUMINT(8)", "integer", T.IntegerType()),
+        ("bigint(20)", "long", T.LongType()),
+        ("bigint(20) unsigned", "text", T.DecimalType(20, 0)),
+        ("int unsigned", "text", T.LongType()),
+        ("decimal", "double", T.DecimalType(10, 0)),
+        ("decimal(5)", "double", T.DecimalType(5, 0)),
+        ("decimal(10,2)", "text", T.DecimalType(10, 2)),
+        ("float", "float", T.FloatType()),
+        ("real", "double", T.DoubleType()),
+        ("char(35)", "keyword", T.StringType()),
+        ("tinytext", "text", T.StringType()),
+        ("DATETIME(6)", "date", T.TimestampNTZType()),
+        ("timestamp", "date", T.TimestampType()),
+        ("date", "date", T.DateType()),
+        ("bool", "boolean", T.BooleanType()),
+        ("json", "text", T.StringType()),
+        ("year", "text", T.StringType()),
+        ("longblob", "text", T.BinaryType()),
+    ],
+)
+def test_types(spark, declared, target, spark_kind):
+    assert spark.range(1).select(types.target_type(F.lit(declared))).first()[0] == target
+    assert types.spark_type(declared) == spark_kind
+
+
+def test_index_mapping_document(spark):
+    catalog = spark.createDataFrame(
+        [("t", "id", "int", 0), ("t", "at", "date", 1)], "tbl string, name string, type string, position int"
+    )
+    assert documents.index_mapping(catalog).first()["mapping"] == (
+        '{"mappings":{"properties":{"id":{"type":"integer"},"at":{"type":"date",'
+        '"format":"yyyy-MM-dd HH:mm:ss||yyyy-MM-dd||epoch_millis"}}}}'
+    )
+
+
+def test_bulk_lines_keep_nulls(spark):
+    df = spark.createDataFrame(
+        [("insert", "1", None, 2), ("update", "1", "x", 2), ("delete", "1", None, None)],
+        "op string, _id string, a string, b int",
+    )
+    got = df.select(documents.bulk_lines(df, F.lit("t"), documents.document(["a", "b"]))).collect()
+    assert [r[0] for r in got] == [
+        '{"index":{"_index":"t","_id":"1"}}\n{"a":null,"b":2}',
+        '{"update":{"_index":"t","_id":"1"}}\n{"doc":{"a":"x","b":2}}',
+        '{"delete":{"_index":"t","_id":"1"}}',
+    ]
+
+
+@pytest.mark.parametrize(
+    "left,right,equal",
+    [
+        ("cast(23 as double)", "23", True),
+        ("cast(0 as double)", "0", True),
+        ("'0.00'", "0", False),
+        ("cast('0.00' as binary)", "0", False),
+        ("cast('1.50' as binary)", "1.5D", True),
+        ("'1.50'", "1.5D", False),
+        ("'1.5'", "1.5D", True),
+        ("1e6D", "'1e+06'", True),
+        ("cast('a' as binary)", "'a'", False),
+        ("cast(null as int)", "cast(null as string)", True),
+        ("cast(null as int)", "0", False),
+        ("'x'", "'x'", True),
+    ],
+)
+def test_lenient_equal(spark, left, right, equal):
+    df = spark.range(1).selectExpr(f"{left} l", f"{right} r")
+    assert df.select(values.lenient_equal(df, "l", "r")).first()[0] is equal
+
+
+def test_reconcile_and_diff(spark):
+    source = spark.createDataFrame([(1, "a"), (2, "b"), (3, "c"), (None, "d")], "k int, v string")
+    target = spark.createDataFrame([(1, "a"), (2, "x"), (9, "y")], "k int, v string")
+    got = {r["k"]: r["status"] for r in reconcile.reconcile(source, target, ["k"], ["v"], True).collect()}
+    assert got == {1: "verified", 2: "mismatch", 3: "missing", 9: "target_only"}
+    diff = reconcile.doc_diff(source, target, ["k"], ["v"]).collect()
+    assert [tuple(r) for r in diff] == [(2, "v", "b", "x")]
+    assert reconcile.key_diff(["a", "b"], ["b", "c"]) == (["c"], ["a"])

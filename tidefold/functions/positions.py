@@ -44,8 +44,8 @@ def compare_positions(first: Column, second: Column) -> Column:
 
 
 def after(start: Position) -> Column:
-    """Strictly after ``start``.  Spelt on plain columns so that the file bound
-    prunes log partitions and both bounds reach the scan."""
+    """Strictly after ``start``.  Spelt on plain columns, with a bound on the file
+    alone, so that it prunes the folders of a log kept by file."""
     return (F.col("logfile") >= start.logfile) & (
         (F.col("logfile") > start.logfile) | (F.col("logpos") > start.logpos)
     )

@@ -19,7 +19,7 @@ _WHOLE = "if(endswith({0}, '.0'), substring_index({0}, '.', 1), {0})"
 _TEXT = "cast({0} as string)"
 _MANTISSA = f"substring_index({_TEXT}, 'E', 1)"
 _SHIFT = f"try_cast(substring_index({_TEXT}, 'E', -1) as int)"
-_PRINTED_FLOAT = f"""case
+_PRINTED_FLOAT = rf"""case
   when abs({{0}}) >= 0.001D and abs({{0}}) < 1e6D then {_WHOLE.replace("{0}", _TEXT)}
   when {{0}} = 0 then '0'
   when isnan({{0}}) then 'NaN'

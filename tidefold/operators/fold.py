@@ -137,16 +137,12 @@ def merge_changes(changes: DataFrame, key: Sequence[str], doc: Sequence[str]) ->
     return merged_rows(merge_state(changes, key, doc), key, doc)
 
 
-def dropped_updates(
-    changes: DataFrame,
-    key: Sequence[str],
-    block_prefix: int = 10,
-) -> DataFrame:
+def dropped_updates(changes: DataFrame, key: Sequence[str]) -> DataFrame:
     """Updates that hit a key which does not exist at that moment.
 
     The last insert or delete before an update is carried through the key's log
-    files, so a hot key is spread over as many tasks as it has log files.
-    ``block_prefix`` is the length of the log file name that groups files.
+    files.  A log file has a bounded size, so a key that holds a third of all
+    changes is spread over as many tasks as it has log files.
     """
     seen = carry_forward(
         changes,
@@ -154,7 +150,6 @@ def dropped_updates(
         into="_before",
         order=SEQ,
         bucket=F.col("logfile"),
-        block=F.substring("logfile", 1, block_prefix),
         keys=key,
         inclusive=False,
     )

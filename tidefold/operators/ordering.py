@@ -1,10 +1,10 @@
 """Order-dependent operators without a single ordered partition.
 
 A value that the next rows inherit (the current log file, the last status, the
-last insert or delete of a key) is carried in three steps: inside small buckets,
-across the buckets of a block, and across blocks.  No task ever holds more than
-one bucket of rows, or one block's worth of per-bucket summaries, whatever share
-of the rows belongs to one key.
+last insert or delete of a key) is carried in steps: inside small buckets, across
+the buckets of a block, and across blocks.  No task ever holds more than one
+bucket of rows, or a run of one-row bucket summaries, whatever share of the rows
+belongs to one key.
 """
 
 from __future__ import annotations
@@ -25,66 +25,67 @@ def carry_forward(
     into: str,
     order: Sequence[str],
     bucket: Column,
-    block: Column,
+    block: Column | None = None,
     keys: Sequence[str] = (),
     inclusive: bool = True,
 ) -> DataFrame:
     """Add ``into``: the last non-null ``value`` before each row in ``order``.
 
-    ``bucket`` and ``block`` must not decrease along ``order``, and a block must
-    cover whole buckets.  ``inclusive`` counts the row itself.  Key columns must
-    not be null.
+    ``bucket`` must not decrease along ``order``, and a bucket must fit one task.
+    Give ``block``, which groups whole buckets, when the buckets of one key may
+    themselves be too many for one task.  ``inclusive`` counts the row itself.
+    Key columns must not be null.
     """
-    keys = list(keys)
-    rows = rows.withColumns({"_value": value, "_bucket": bucket, "_block": block})
-    before = (Window.unboundedPreceding, -1)
-    reach = (Window.unboundedPreceding, 0 if inclusive else -1)
+    keys, columns = list(keys), rows.columns
+    rows = rows.withColumns({"_value": value, "_bucket": bucket})
+    group = [*keys, "_bucket"]
+    if block is not None:
+        rows = rows.withColumn("_block", block)
+        group = [*keys, "_block", "_bucket"]
 
-    per_bucket = rows.groupBy(*keys, "_block", "_bucket").agg(
-        F.max(
-            F.when(
-                F.col("_value").isNotNull(),
-                F.struct(*order, F.col("_value").alias("value")),
-            )
-        )["value"].alias("_last")
-    )
-    per_block = per_bucket.groupBy(*keys, "_block").agg(
-        F.max(
-            F.when(
-                F.col("_last").isNotNull(),
-                F.struct("_bucket", F.col("_last").alias("value")),
-            )
-        )["value"].alias("_block_last")
-    )
-    # One short row per block and key: the only window that spans all blocks.
-    into_block = per_block.select(
-        *keys,
-        "_block",
-        F.last("_block_last", ignorenulls=True)
-        .over(Window.partitionBy(*keys).orderBy("_block").rowsBetween(*before))
-        .alias("_into_block"),
-    )
-    into_bucket = (
-        per_bucket.withColumn(
-            "_from_block",
-            F.last("_last", ignorenulls=True).over(
-                Window.partitionBy(*keys, "_block").orderBy("_bucket").rowsBetween(*before)
-            ),
-        )
-        .join(into_block, [*keys, "_block"], "left")
-        .select(*keys, "_block", "_bucket", F.coalesce("_from_block", "_into_block").alias("_carry"))
+    # One row per bucket that exists, summed up on the map side first.
+    last = F.max(
+        F.when(F.col("_value").isNotNull(), F.struct(*order, F.col("_value").alias("value")))
     )
-    # The window and the join below share one shuffle of the rows.
+    per_bucket = rows.groupBy(*group).agg(last["value"].alias("_last"))
+    carried = _across_buckets(per_bucket, keys, block is not None)
+
+    # The window and the join share one shuffle of the rows.
+    reach = (Window.unboundedPreceding, 0 if inclusive else -1)
     inside = rows.withColumn(
         "_inside",
         F.last("_value", ignorenulls=True).over(
-            Window.partitionBy(*keys, "_block", "_bucket").orderBy(*order).rowsBetween(*reach)
+            Window.partitionBy(*group).orderBy(*order).rowsBetween(*reach)
         ),
     )
+    return inside.join(carried, group, "left").select(
+        *columns, F.coalesce("_inside", "_carry").alias(into)
+    )
+
+
+def _across_buckets(per_bucket: DataFrame, keys: list[str], blocks: bool) -> DataFrame:
+    """The value each bucket inherits from the buckets before it."""
+
+    def before(column: str, order: str, *partition: str) -> Column:
+        window = Window.partitionBy(*partition).orderBy(order)
+        return F.last(column, ignorenulls=True).over(
+            window.rowsBetween(Window.unboundedPreceding, -1)
+        )
+
+    if not blocks:
+        return per_bucket.withColumn("_carry", before("_last", "_bucket", *keys)).drop("_last")
+    last = F.max(
+        F.when(F.col("_last").isNotNull(), F.struct("_bucket", F.col("_last").alias("value")))
+    )
+    per_block = per_bucket.groupBy(*keys, "_block").agg(last["value"].alias("_block_last"))
+    # One short row per block: the only window that spans all of a key's blocks.
+    into_block = per_block.withColumn(
+        "_into_block", before("_block_last", "_block", *keys)
+    ).drop("_block_last")
     return (
-        inside.join(into_bucket, [*keys, "_block", "_bucket"], "left")
-        .withColumn(into, F.coalesce("_inside", "_carry"))
-        .drop("_value", "_bucket", "_block", "_inside", "_carry")
+        per_bucket.withColumn("_in_block", before("_last", "_bucket", *keys, "_block"))
+        .join(into_block, [*keys, "_block"], "left")
+        .select(*keys, "_block", "_bucket", F.coalesce("_in_block", "_into_block").alias("_carry"))
     )
 
 

@@ -142,7 +142,7 @@ def merge_changes(spark: SparkSession, sf: str) -> DataFrame:
     select * exclude (before) from w where op = 'update' and coalesce(before, 'delete') = 'delete'""",
 )
 def dropped_updates(spark: SparkSession, sf: str) -> DataFrame:
-    return fold.dropped_updates(inputs.changes(spark, sf), KEY, block_prefix=13)
+    return fold.dropped_updates(inputs.changes(spark, sf), KEY)
 
 
 @query(

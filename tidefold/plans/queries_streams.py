@@ -107,7 +107,7 @@ def stream_apply(spark: SparkSession, sf: str) -> DataFrame:
     folder = scratch_dir(spark, "stream-apply")
     schema = _logged(spark, sf, f"{folder}/input").schema
     store = FoldStore(f"{folder}/state", KEY, DOC)
-    stream = stream_change_log(spark, f"{folder}/input", schema, files_per_trigger=32)
+    stream = stream_change_log(spark, f"{folder}/input", schema, files_per_trigger=512)
     run_stream(stream, store, f"{folder}/checkpoint", available_now=True)
     return store.current(spark)
 
