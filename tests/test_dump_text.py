@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidefold.functions.literals import literal_value, read_literals
-from tidefold.model import Column
+from tidefold.model import Column, Position
 from tidefold.sources import dump_text
 
 LONG = "x'(,;)\\ \n" * 120_000  # about a megabyte
@@ -117,20 +117,41 @@ def test_rows_read_in_many_splits(spark, dump):
         spark.conf.unset("spark.sql.files.openCostInBytes")
 
 
+def test_head_of_a_dump(spark, dump):
+    statements = dump_text.read_statements(spark, dump)
+    assert dump_text.head_position(statements) == Position("binlog.000007", 1547)
+    assert dump_text.head_columns(statements) == columns(spark, dump)
+
+
+def test_windows_line_ends_and_coordinates_without_semicolon(spark, tmp_path):
+    text = (
+        "-- CHANGE MASTER TO MASTER_LOG_FILE='b.1', MASTER_LOG_POS=5\n"
+        "CREATE TABLE `t` (\n  `a` int,\n  PRIMARY KEY (`a`)\n);\n-- rows\nINSERT INTO `t` VALUES (1),\n(2);\n"
+    )
+    (tmp_path / "t.sql").write_bytes(text.replace("\n", "\r\n").encode())
+    statements = dump_text.read_statements(spark, str(tmp_path), line_end="\r\n")
+    assert dump_text.head_position(statements) == Position("b.1", 5)
+    cols = dump_text.head_columns(statements)
+    assert cols == [Column("a", "int", 0, True)]
+    assert sorted(r["a"] for r in dump_text.dump_rows(statements, cols).collect()) == [1, 2]
+
+
 def test_misfits_are_reported_not_dropped(spark):
     text = "INSERT INTO `t` VALUES (1,'x'),(2,3,4),('y',NULL),(5)"
     df = spark.createDataFrame([(text,)], "value string")
     cols = [Column("a", "int", 0, True), Column("b", "varchar(3)", 1)]
     got = [(r["a"], r["b"], r["_bad"]) for r in dump_text.dump_rows(df, cols).collect()]
     assert got == [(1, "x", []), (2, "3", ["*"]), (None, None, ["a"]), (5, None, [])]
+    with pytest.raises(Exception, match="do not fit"):
+        dump_text.require_good(dump_text.dump_rows(df, cols)).collect()
 
 
 def test_position_missing(spark):
     df = spark.createDataFrame([("f", "-- nothing"), ("g", "MASTER_LOG_FILE='b', MASTER_LOG_POS=99999999999")], "file string, value string").withColumn("ord", F.lit(0))
     got = dump_text.dump_position(df)
     assert all(r["logpos"] is None and r["logfile"] is None for r in got.collect())
-    with pytest.raises(Exception, match="not found"):
-        dump_text.require_position(got).collect()
+    with pytest.raises(ValueError, match="not found"):
+        dump_text.head_position(df.withColumn("block", F.lit(0)))
 
 
 def test_round_trip_of_written_statements(spark):

@@ -101,14 +101,14 @@ def _load_table(
     note("dumping")
     statements = dump_text.read_statements(spark, config.dumps[table])
     note("dumped")
-    synced = Synced(table, _columns(statements, table), _position(statements))
-    note("initialized", columns=[tuple(vars(c).values()) for c in synced.columns])
+    columns = dump_text.head_columns(statements)
+    if not any(c.is_in_primary_key for c in columns):
+        raise ValueError(f'table "{table}" has no primary key')
+    synced = Synced(table, columns, dump_text.head_position(statements))
+    note("initialized", columns=[tuple(vars(c).values()) for c in columns])
     note("moving")
-    rows = dump_text.dump_rows(statements, synced.columns)
-    if not rows.where(F.size("_bad") > 0).isEmpty():
-        raise ValueError(f'dump of table "{table}" has values that do not fit its columns')
-    rows = snapshot(rows.drop("_bad", "_id"), synced.position)
-    store(config, synced).write(rows, SNAPSHOT_BATCH)
+    rows = dump_text.require_good(dump_text.dump_rows(statements, columns)).drop("_id")
+    store(config, synced).write(snapshot(rows, synced.position), SNAPSHOT_BATCH)
     note("moved", binlog_pos=tuple(vars(synced.position).values()))
     if main is not None and main > synced.position:
         log = read_change_log(
@@ -119,28 +119,6 @@ def _load_table(
     return synced
 
 
-def _columns(statements: DataFrame, table: str) -> list[Column]:
-    # Bounded by the number of columns a table may have.
-    found = dump_text.dump_columns(statements).where(F.col("tbl") == table)
-    rows = found.dropDuplicates(["position"]).orderBy("position").drop("file", "tbl").collect()
-    columns = [Column(**r.asDict()) for r in rows]
-    if not columns:
-        raise ValueError(f'no CREATE TABLE for table "{table}"')
-    if any("enum" in c.type.lower() for c in columns):
-        raise ValueError(f'table "{table}": enum types are not supported')
-    if not any(c.is_in_primary_key for c in columns):
-        raise ValueError(f'table "{table}" has no primary key')
-    return columns
-
-
-def _position(statements: DataFrame) -> Position:
-    found = dump_text.dump_position(statements).where("logpos is not null")
-    first = found.orderBy("file").first()
-    if first is None:
-        raise ValueError("log coordinates not found in the dump")
-    return Position(first["logfile"], first["logpos"])
-
-
 def _of_table(events: DataFrame, config: SyncConfig, synced: Synced) -> DataFrame:
     mine = (F.col("schema") == config.schema) & (F.col("tbl") == synced.table)
     return normalise.row_events_only(events.where(mine))

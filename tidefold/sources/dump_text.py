@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from tidefold.functions.keys import render_pk
 from tidefold.functions.literals import FIELD, STRING, TUPLE, read_literals, typed, written
 from tidefold.functions.types import spark_type
-from tidefold.model import Column
+from tidefold.model import Column, Position
 
 # The coordinate comment of a dump header.
 COORDINATES = r"MASTER_LOG_FILE='(.*)', MASTER_LOG_POS=(\d+)"
@@ -33,39 +33,43 @@ _PRIMARY_KEY = r"(?s)^\s*(?:CONSTRAINT\s+(?:`[^`]*`\s+)?)?PRIMARY KEY[^(]*\((.*)
 _DECLARED = rf"(?s)^\s*{_NAME}\s+(\w+(?:\((?:{STRING}|[^()'])*+\))?(?: unsigned)?)"
 
 
-def read_statements(spark: SparkSession, path: str) -> DataFrame:
-    """Statements of the dump files below ``path``, one per row.
+def read_statements(spark: SparkSession, path: str, line_end: str = "\n") -> DataFrame:
+    """Statements of the dump files below ``path``, one per row, as written.
 
     ``file``, ``block`` and ``ord`` order them: a block is read by one task from
-    its start to its end.
+    its start to its end.  Files are split between statements.
     """
     return (
-        spark.read.option("lineSep", ";\n")
+        spark.read.option("lineSep", f";{line_end}")
         .option("recursiveFileLookup", "true")
         .text(path)
         .select(
             F.col("_metadata.file_path").alias("file"),
             F.col("_metadata.file_block_start").alias("block"),
             F.monotonically_increasing_id().alias("ord"),
-            statement("value").alias("value"),
+            "value",
         )
     )
 
 
-def statement(value: str) -> SparkColumn:
-    """A statement without the comments before it and its closing semicolon.
+def _starting(statements: DataFrame, words: str) -> DataFrame:
+    """Statements that start with some words, without comments before them.
 
-    A comment that stands alone, such as the coordinate comment, is kept.
+    Nearly all text of a dump is in statements that have none; those are taken as
+    they are, without a regular expression over them.
     """
-    text = F.regexp_replace(F.col(value), _PREAMBLE, "")
-    return F.when(text == "", F.col(value)).otherwise(F.regexp_replace(text, r"\s*;?\s*$", ""))
+    plain = F.startswith("value", F.lit(words))
+    bare = F.when(plain, F.col("value")).otherwise(F.regexp_replace("value", _PREAMBLE, ""))
+    # Text without the words cannot start with them, and needs no second look.
+    hopeful = statements.where(plain | F.contains("value", F.lit(words)))
+    return hopeful.withColumn("value", bare).where(F.startswith("value", F.lit(words)))
 
 
 def insert_tuples(statements: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """One row per value tuple of the INSERT statements: table, literals."""
     header = rf"(?s)^INSERT INTO {_NAME}\s*(?:\([^)]*\)\s*)?VALUES\s*"
     return (
-        statements.where(F.startswith("value", F.lit("INSERT INTO")))
+        _starting(statements, "INSERT INTO")
         .withColumn("_header", F.regexp_extract("value", header, 0))
         .select(
             *keep,
@@ -122,7 +126,7 @@ def dump_columns(statements: DataFrame, file: str = "file") -> DataFrame:
     """
     order = F.struct(*[c for c in ("block", "ord") if c in statements.columns])
     first = (
-        statements.where(F.startswith(F.col("value"), F.lit("CREATE TABLE")))
+        _starting(statements, "CREATE TABLE")
         .groupBy(file)
         .agg(F.min_by("value", order).alias("value"))
     )
@@ -164,7 +168,7 @@ def dump_position(statements: DataFrame, file: str = "file") -> DataFrame:
     """Log coordinate of each file: its first line that carries one.
 
     A file without one keeps a null coordinate, and so does one whose offset does
-    not fit 32 bits; ``require_position`` turns that into an error.
+    not fit 32 bits.
     """
     order = F.struct(*[c for c in ("block", "ord") if c in statements.columns])
     found = F.col("value").rlike(COORDINATES)
@@ -185,12 +189,42 @@ def dump_position(statements: DataFrame, file: str = "file") -> DataFrame:
     )
 
 
-def require_position(positions: DataFrame, file: str = "file") -> DataFrame:
-    """Fail the job when a dump has no usable log coordinate."""
-    missing = F.raise_error(F.concat(F.lit("log coordinates not found in "), F.col(file)))
-    return positions.withColumn(
-        "logfile", F.when(F.col("logpos").isNull(), missing.cast("string")).otherwise(F.col("logfile"))
-    )
+def head_position(statements: DataFrame) -> Position:
+    """The coordinate of a single table's dump.
+
+    The search stops at the first task that finds one, normally the one that
+    reads the head of the file.
+    """
+    found = statements.where(F.col("value").rlike(COORDINATES)).select("file", "block", "ord", "value")
+    head = dump_position(_only(found)).first()
+    if head is None or head["logpos"] is None:
+        raise ValueError("log coordinates not found in the dump")
+    return Position(head["logfile"], head["logpos"])
+
+
+def head_columns(statements: DataFrame) -> list[Column]:
+    """The columns of a single table's dump, searched for in the same way."""
+    found = dump_columns(_only(_starting(statements, "CREATE TABLE"))).drop("file", "tbl")
+    # Bounded by the number of columns a table may have.
+    columns = [Column(**r.asDict()) for r in found.orderBy("position").collect()]
+    if not columns:
+        raise ValueError("CREATE TABLE statement not found in the dump")
+    if any("enum" in c.type.lower() for c in columns):
+        raise ValueError("enum types are not supported")
+    return columns
+
+
+def _only(statements: DataFrame) -> DataFrame:
+    """The first row, fetched alone: one statement's text."""
+    return statements.sparkSession.createDataFrame(statements.take(1), statements.schema)
+
+
+def require_good(rows: DataFrame) -> DataFrame:
+    """Rows of ``dump_rows``; the job that reads them fails at a misfit.  The check
+    is part of that job, so the dump is parsed once."""
+    message = F.concat(F.lit("values do not fit: "), F.array_join("_bad", ", "))
+    failure = F.raise_error(message).cast("boolean")
+    return rows.where(F.when(F.size("_bad") == 0, True).otherwise(failure)).drop("_bad")
 
 
 def insert_statements(table: DataFrame, name: str, statement_id: SparkColumn, order: str) -> DataFrame:
