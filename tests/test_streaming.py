@@ -160,7 +160,7 @@ def test_bulk_text_has_the_effect_of_the_log(spark, tmp_path):
     sink = BulkTextSink(f"{tmp_path}/bulk", "t", KEY, DOC)
     for i, bounds in enumerate(("logfile < 'binlog.000004'", "logfile >= 'binlog.000004'")):
         sink(log.where(bounds), i)
-    docs = bulk_replay(spark, f"{tmp_path}/bulk", {})
+    docs = bulk_replay(spark, f"{tmp_path}/bulk/bulk", {})
     assert {int(k): v["v"] for k, v in docs.items()} == dict(
         table(fold.apply_changes(log, KEY, DOC).select("k", "v"))
     )

@@ -1,13 +1,14 @@
 """The whole job: load from dumps, catch up, follow, restart."""
 
+import dataclasses
 import json
 
 import pytest
 
 from tidefold.model import Column, Position
-from tidefold.operators import registry, target
+from tidefold.operators import reconcile, registry, target
 from tidefold.plans import sync
-from tidefold.sinks.writers import ChangeLogSink
+from tidefold.sinks.writers import BulkTextSink, ChangeLogSink
 
 CITY = """-- CHANGE MASTER TO MASTER_LOG_FILE='binlog.000002', MASTER_LOG_POS=100;
 CREATE TABLE `city` (
@@ -68,7 +69,10 @@ def config(tmp_path):
         dumps={t: f"{tmp_path}/{t}" for t in ("city", "country")},
         log=f"{tmp_path}/log",
         target=f"{tmp_path}/target",
-        sinks=lambda t, key, doc: {"log": ChangeLogSink(f"{tmp_path}/audit/{t}")},
+        sinks=lambda t, key, doc: {
+            "log": ChangeLogSink(f"{tmp_path}/audit/{t}"),
+            "bulk": BulkTextSink(f"{tmp_path}/index/{t}", t, key, doc),
+        },
     )
 
 
@@ -97,12 +101,28 @@ def test_load_follow_and_restart(spark, config, tmp_path):
     assert rows(sync.store(config, country).current(spark)) == [("AFG", "Renamed"), ("NLD", "Netherlands")]
     rejects = spark.read.parquet(f"{config.target}/rejects/city")
     assert [(r["logpos"], r["reason"]) for r in rejects.collect()] == [(410, "no column at position 3")]
-    assert spark.read.parquet(f"{tmp_path}/audit/city").count() == 5
-
-
-def test_catch_up_to_the_main_position(spark, config):
-    city, _ = sync.load(spark, config, main=Position("binlog.000002", 160))
-    assert [r[0] for r in rows(sync.store(config, city).current(spark))] == [1, 2, 3, 4, 5]
+    # Three rows of the snapshot and five of the log after it.
+    assert spark.read.parquet(f"{tmp_path}/audit/city").count() == 3 + 5
+    mapping = json.loads(spark.read.text(f"{tmp_path}/index/city/mapping").first()[0])
+    assert mapping["mappings"]["properties"]["Name"] == {"type": "keyword"}
+    bulk = spark.read.text(f"{tmp_path}/index/city/bulk").collect()
+    assert {"batch_id", "value"} == set(bulk[0].asDict())
+
+
+def test_a_table_added_later_catches_up(spark, config):
+    only = dataclasses.replace(config, dumps={"country": config.dumps["country"]})
+    assert sync.main_position(spark, only) is None
+    sync.follow(spark, only, sync.load(spark, only), available_now=True)
+    # The stream has passed the city's dump; its log so far is replayed on load.
+    assert sync.main_position(spark, config) == Position("binlog.000002", 350)
+    city, _ = sync.load(spark, config)
+    assert rows(sync.store(config, city).current(spark)) == [
+        (1, "Kabul", 1),
+        (2, "Qandahar", 237500),
+        (3, "Herat", 186800),
+        (4, "Utrecht", 10),
+        (5, "Delft", 20),
+    ]
 
 
 def test_unusable_dumps_stop_the_load(spark, config, tmp_path):
@@ -133,6 +153,23 @@ def test_tables_of_the_catalog(spark):
     spark.sql(f"drop table {name}")
 
 
+def test_bucketed_tables_reconcile_without_a_shuffle(spark):
+    names = ["tidefold_source", "tidefold_target"]
+    df = spark.range(500).selectExpr("id k", "concat('v', id) v")
+    for name, part in zip(names, (df, df.where("k > 3"))):
+        spark.sql(f"drop table if exists {name}")
+        target.save_bucketed(part, name, ["k"], buckets=4)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        statuses = reconcile.reconcile(*[spark.table(n) for n in names], ["k"], ["v"])
+        assert "Exchange" not in statuses._jdf.queryExecution().executedPlan().toString()
+        assert statuses.where("status = 'missing'").count() == 4
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        for name in names:
+            spark.sql(f"drop table {name}")
+
+
 def test_registry_keeps_the_last_set_value_of_each_field(spark):
     log = spark.createDataFrame(
         [("t", 1, "created", None), ("t", 3, None, 7), ("t", 2, "dumping", 5), ("u", 1, "created", None)],

@@ -11,7 +11,7 @@ from tidefold.functions.positions import (
     compare_positions,
     position,
 )
-from tidefold.model import DEFAULT_LOGFILE, DEFAULT_LOGPOS, Position
+from tidefold.model import Position
 from tidefold.sources.change_log import bounded
 
 
@@ -27,11 +27,29 @@ def resume_after(changes: DataFrame, progress: DataFrame, stream: str = "tbl") -
 
 
 def catchup_range(
-    changes: DataFrame, start: Position, end: Position, tables: list[str] | None = None
+    changes: DataFrame,
+    start: Position,
+    end: Position,
+    tables: list[str] | None = None,
+    crossing: bool = False,
 ) -> DataFrame:
-    """Changes in (start, end] of some tables; all bounds reach the scan."""
-    changes = bounded(changes, start, end)
-    return changes.where(F.col("tbl").isin(tables)) if tables else changes
+    """Changes in (start, end] of some tables; all bounds reach the scan.
+
+    A replay that stops at the first event not before ``end`` applies that event
+    too, which matters when ``end`` lies inside an event: ``crossing`` keeps it.
+    """
+    replayed = bounded(changes, start, end)
+    if crossing:
+        beyond = bounded(changes, start).where(position() >= _literal(end))
+        first = beyond.select(F.min(position())).scalar()
+        replayed = bounded(changes, start).where(
+            (position() <= _literal(end)) | (position() == first)
+        )
+    return replayed.where(F.col("tbl").isin(tables)) if tables else replayed
+
+
+def _literal(at: Position):
+    return position(F.lit(at.logfile), F.lit(at.logpos).cast("bigint"))
 
 
 def catchup_plan(registry: DataFrame, main: DataFrame) -> DataFrame:
@@ -68,4 +86,4 @@ def catchup_plan(registry: DataFrame, main: DataFrame) -> DataFrame:
 
 
 def _default_position():
-    return position(F.lit(DEFAULT_LOGFILE), F.lit(DEFAULT_LOGPOS).cast("bigint"))
+    return _literal(Position())

@@ -43,3 +43,9 @@ def write_rows(rows: DataFrame, table: str) -> None:
     if rows.isEmpty():
         raise ValueError(f"no rows inserted for table {table}")
     rows.write.mode("append").insertInto(table)
+
+
+def save_bucketed(rows: DataFrame, table: str, key: Sequence[str], buckets: int) -> None:
+    """Keep a table bucketed and sorted by its key: joins on the key with another
+    table bucketed alike, such as reconciliation, then need no shuffle."""
+    rows.write.mode("overwrite").bucketBy(buckets, *key).sortBy(*key).saveAsTable(table)

@@ -324,7 +324,7 @@ row_events as (
          printf('binlog.%09d', batch_id // 250) logfile, batch_id % 250 * 400 + 4 logpos
   from numbered),
 images as (
-  select *, case when op = 'update' then i // 2 else i end row_idx
+  select *, cast(case when op = 'update' then i // 2 else i end as int) row_idx
   from row_events where op <> 'update' or i % 2 = 1)""",
     "raw_events": """raw_events as (
   select event_id, case when value < 5 then 'archive' else 'shop' end "schema",

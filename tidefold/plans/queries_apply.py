@@ -173,7 +173,7 @@ def snapshot_plus_log(spark: SparkSession, sf: str) -> DataFrame:
 
 
 _PAIRS = """, pairs as (
-  select b.logfile, b.logpos, b.i // 2 row_idx, b.user_id before_user, a.user_id after_user,
+  select b.logfile, b.logpos, cast(b.i // 2 as int) row_idx, b.user_id before_user, a.user_id after_user,
          b.event_id before_event, a.event_id after_event
   from row_events b join row_events a
     on a.batch_id = b.batch_id and a.i = b.i + 1 and b.i % 2 = 0

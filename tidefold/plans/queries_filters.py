@@ -129,6 +129,26 @@ def catchup_range(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@query(
+    "catchup_range_crossing",
+    cte("changes")
+    + """, e as (select min(event_id) last from changes
+      where logfile > 'binlog.000000007' or (logfile = 'binlog.000000007' and logpos >= 5050))
+    select c.* from changes c left join e on true
+    where (logfile > 'binlog.000000000' or (logfile = 'binlog.000000000' and logpos > 20004))
+      and (logfile < 'binlog.000000007' or (logfile = 'binlog.000000007' and logpos <= 5050)
+           or event_id = e.last)""",
+)
+def catchup_range_crossing(spark: SparkSession, sf: str) -> DataFrame:
+    """The end lies inside an event."""
+    return catchup.catchup_range(
+        inputs.changes(spark, sf),
+        Position("binlog.000000000", 20004),
+        Position("binlog.000000007", 5050),
+        crossing=True,
+    )
+
+
 @query(
     "position_compare",
     """with p as (

@@ -70,7 +70,7 @@ def fan_out(spark: SparkSession, sf: str) -> DataFrame:
     folder = scratch_dir(spark, "fan-out")
     _four_sinks(folder)(inputs.changes(spark, sf), 0)
     ops = F.create_map(*[F.lit(x) for op, a in BULK_ACTIONS.items() for x in (a, op)])
-    actions = spark.read.text(f"{folder}/bulk").select(
+    actions = spark.read.text(f"{folder}/bulk/bulk").select(
         ops[F.regexp_extract("value", r'^\{"(index|update|delete)":\{"_index"', 1)].alias("op")
     )
     return (
@@ -80,10 +80,10 @@ def fan_out(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-def _logged(spark: SparkSession, sf: str, folder: str) -> DataFrame:
+def _logged(spark: SparkSession, sf: str, folder: str, by_file: bool = False) -> DataFrame:
     """The change log written out as files; returns it for its schema."""
     changes = inputs.changes(spark, sf)
-    write_change_log(changes, folder)
+    write_change_log(changes, folder, by_file)
     return changes
 
 
@@ -94,7 +94,7 @@ def _logged(spark: SparkSession, sf: str, folder: str) -> DataFrame:
 def change_source(spark: SparkSession, sf: str) -> DataFrame:
     """The log read as a stream from a start position."""
     folder = scratch_dir(spark, "change-source")
-    schema = _logged(spark, sf, f"{folder}/input").schema
+    schema = _logged(spark, sf, f"{folder}/input", by_file=True).schema
     stream = stream_change_log(
         spark, f"{folder}/input", schema, start=Position("binlog.000000000", 20004)
     )
@@ -121,7 +121,7 @@ def stream_checkpoint(spark: SparkSession, sf: str) -> DataFrame:
     store = FoldStore(f"{folder}/state", KEY, DOC)
     halt = Position("binlog.000000004", 50004)
     for part in (changes.where(until(halt)), changes.where(after(halt))):
-        write_change_log(part, f"{folder}/input")
+        write_change_log(part, f"{folder}/input", by_file=False)
         stream = stream_change_log(spark, f"{folder}/input", changes.schema)
         run_stream(stream, store, f"{folder}/checkpoint", available_now=True)
         store.compact(spark, through=0)
@@ -134,7 +134,7 @@ def stream_fan_out(spark: SparkSession, sf: str) -> DataFrame:
     folder = scratch_dir(spark, "stream-fan-out")
     schema = _logged(spark, sf, f"{folder}/input").schema
     sinks = _four_sinks(folder)
-    stream = stream_change_log(spark, f"{folder}/input", schema, files_per_trigger=64)
+    stream = stream_change_log(spark, f"{folder}/input", schema, files_per_trigger=5)
     run_stream(stream, sinks, f"{folder}/checkpoint", available_now=True)
     state = sinks.sinks["state"].state(spark)
     net = state.select(F.coalesce("boundary.op", F.lit("update")).alias("op"))

@@ -17,8 +17,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tidefold.functions.positions import after
-from tidefold.model import REGISTRY_SCHEMA, ROW_EVENT_SCHEMA, Column, Position
+from tidefold.model import POSITION_SCHEMA, REGISTRY_SCHEMA, ROW_EVENT_SCHEMA, Column, Position
 from tidefold.operators import normalise, registry
+from tidefold.operators.ordering import high_water_mark
 from tidefold.sinks.fanout import FanOut, Sink
 from tidefold.sinks.state import FoldStore
 from tidefold.sources import dump_text
@@ -74,12 +75,27 @@ def store(config: SyncConfig, synced: Synced) -> FoldStore:
     return FoldStore(f"{config.target}/tables/{synced.table}", synced.key, synced.doc)
 
 
-def load(spark: SparkSession, config: SyncConfig, main: Position | None = None) -> list[Synced]:
+def _fan_out(config: SyncConfig, synced: Synced) -> FanOut:
+    more = config.sinks(synced.table, synced.key, synced.doc)
+    return FanOut({"state": store(config, synced), **more})
+
+
+def main_position(spark: SparkSession, config: SyncConfig) -> Position | None:
+    """The position the stream has reached, over all events, also of other tables."""
+    try:
+        marks = spark.read.schema(POSITION_SCHEMA).parquet(f"{config.target}/position")
+    except AnalysisException:
+        return None  # never followed
+    return Position(**high_water_mark(marks).first().asDict())
+
+
+def load(spark: SparkSession, config: SyncConfig) -> list[Synced]:
     """Bring every configured table to syncing status.
 
-    ``main`` is the position other tables have already reached; a table whose
-    dump is older is replayed up to it.
+    A table whose dump is older than the position the stream has reached is
+    replayed up to it; the stream goes on from there for all tables.
     """
+    main = main_position(spark, config)
     # One row per configured table.
     known = {r["name"]: r for r in current_registry(spark, config).collect()}
     return [_load_table(spark, config, t, known.get(t), main) for t in config.dumps]
@@ -105,16 +121,17 @@ def _load_table(
     if not any(c.is_in_primary_key for c in columns):
         raise ValueError(f'table "{table}" has no primary key')
     synced = Synced(table, columns, dump_text.head_position(statements))
+    _fan_out(config, synced).init(spark, table, columns)
     note("initialized", columns=[tuple(vars(c).values()) for c in columns])
     note("moving")
     rows = dump_text.require_good(dump_text.dump_rows(statements, columns)).drop("_id")
-    store(config, synced).write(snapshot(rows, synced.position), SNAPSHOT_BATCH)
+    _fan_out(config, synced)(snapshot(rows, synced.position), SNAPSHOT_BATCH)
     note("moved", binlog_pos=tuple(vars(synced.position).values()))
     if main is not None and main > synced.position:
         log = read_change_log(
             spark, config.log, ROW_EVENT_SCHEMA, synced.position, main, config.log_format
         )
-        store(config, synced).write(_changes(log, config, synced), CATCHUP_BATCH)
+        _fan_out(config, synced)(_changes(log, config, synced), CATCHUP_BATCH)
     note("syncing")
     return synced
 
@@ -140,12 +157,7 @@ def follow(
     Each table skips what its own snapshot already holds.  Events that do not fit
     a table's columns are kept below ``rejects``.
     """
-    fan_outs = {
-        t.table: FanOut(
-            {"state": store(config, t), **config.sinks(t.table, t.key, t.doc)},
-        )
-        for t in tables
-    }
+    fan_outs = {t.table: _fan_out(config, t) for t in tables}
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         batch.persist()
@@ -156,6 +168,10 @@ def follow(
                 normalise.record_rejects(events, t.columns).write.mode("overwrite").parquet(
                     f"{config.target}/rejects/{t.table}/batch_id={batch_id}"
                 )
+            # Last, so that the mark never runs ahead of what the sinks hold.
+            high_water_mark(batch).write.mode("overwrite").parquet(
+                f"{config.target}/position/batch_id={batch_id}"
+            )
         finally:
             batch.unpersist()
 

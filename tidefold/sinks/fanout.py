@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import logging
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from tidefold.model import Column
+
 log = logging.getLogger(__name__)
 
 Sink = Callable[[DataFrame, int], None]
@@ -26,6 +28,9 @@ DELIVERY_SCHEMA = T.StructType(
 class FanOut:
     """Active sinks by name.
 
+    A sink is called with a batch and its id.  It may have ``on_table_init(spark,
+    table, columns)``, called before a table's first rows, and ``close()``.
+
     A failing sink's batch is kept below ``dead_letters`` for a later retry, with
     the error beside it.  Without that folder the failure is raised after all
     sinks ran, so a stream retries the batch; sinks stand repeats.
@@ -38,7 +43,8 @@ class FanOut:
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        batch.persist()
+        if len(self.sinks) > 1:
+            batch.persist()
         failures = {}
         try:
             for name, sink in self.sinks.items():
@@ -58,12 +64,26 @@ class FanOut:
                     "overwrite"
                 ).parquet(f"{self.dead_letters}/errors/batch={batch_id}")
             elif failures:
-                raise RuntimeError(f"sinks failed: {', '.join(failures)}") from next(
-                    iter(failures.values())
-                )
+                report = "; ".join(f"{n}: {e}" for n, e in failures.items())
+                raise RuntimeError(f"sinks failed: {report}") from next(iter(failures.values()))
         finally:
             batch.unpersist()
 
+    def init(self, spark: SparkSession, table: str, columns: Sequence[Column]) -> None:
+        """Tell sinks about a table before its first rows; a failure is logged only."""
+        for name, sink in self.sinks.items():
+            try:
+                getattr(sink, "on_table_init", lambda *_: None)(spark, table, columns)
+            except Exception as error:
+                log.error("sink %s could not prepare table %s: %s", name, table, error)
+
+    def close(self) -> None:
+        for name, sink in self.sinks.items():
+            try:
+                getattr(sink, "close", lambda: None)()
+            except Exception as error:
+                log.error("sink %s could not be closed: %s", name, error)
+
     def retry(self, spark: SparkSession, name: str, batch_id: int) -> None:
         """Hand a dead letter to its sink again."""
         rows = spark.read.parquet(f"{self.dead_letters}/rows/sink={name}/batch_id={batch_id}")

@@ -45,6 +45,10 @@ class FoldStore:
         """The documents that exist now."""
         return live_rows(self.state(spark), self.key)
 
+    def publish(self, spark: SparkSession, path: str) -> None:
+        """Write the current documents for readers that only know parquet."""
+        self.current(spark).write.mode("overwrite").parquet(path)
+
     def compact(self, spark: SparkSession, through: int) -> None:
         """Fold the last base and all pieces up to a batch into a new base.
 

@@ -9,11 +9,12 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidefold.functions.keys import render_pk
-from tidefold.operators.documents import bulk_lines
+from tidefold.model import COLUMN_SCHEMA, Column
+from tidefold.operators.documents import bulk_lines, index_mapping
 from tidefold.operators.fold import fold_state, net_actions
 
 
@@ -45,7 +46,15 @@ class BulkTextSink:
         actions = net_actions(fold_state(changes, self.key, self.doc), self.key)
         actions = actions.withColumn("_id", render_pk(actions, self.key))
         lines = actions.select(bulk_lines(actions, F.lit(self.index), F.col("doc")).alias("value"))
-        lines.write.mode("overwrite").text(f"{self.path}/batch_id={batch_id}")
+        lines.write.mode("overwrite").text(f"{self.path}/bulk/batch_id={batch_id}")
+
+    def on_table_init(self, spark: SparkSession, table: str, columns: Sequence[Column]) -> None:
+        """Write the mapping of the index beside its text; one that exists stays."""
+        if not columns:
+            raise ValueError(f'no columns for table "{table}"')
+        catalog = spark.createDataFrame([tuple(vars(c).values()) for c in columns], COLUMN_SCHEMA)
+        mapping = index_mapping(catalog.withColumn("tbl", F.lit(table))).select("mapping")
+        mapping.coalesce(1).write.mode("ignore").text(f"{self.path}/mapping")
 
 
 @dataclass(frozen=True)

@@ -9,10 +9,18 @@ from tidefold.functions.positions import after, until
 from tidefold.model import Position
 
 
-def write_change_log(changes: DataFrame, path: str) -> None:
-    """Append changes as parquet, one folder per log file, so that a start or end
-    position prunes whole folders."""
-    changes.write.mode("append").partitionBy("logfile").parquet(path)
+def write_change_log(changes: DataFrame, path: str, by_file: bool = True) -> None:
+    """Append changes as parquet.
+
+    ``by_file`` keeps one folder per log file, so that a start or end position
+    prunes whole folders; the rebalance hint keeps files of even size although log
+    files differ.  Otherwise files hold ranges of positions, which suits many
+    small logs.
+    """
+    if by_file:
+        changes.hint("rebalance", "logfile").write.mode("append").partitionBy("logfile").parquet(path)
+    else:
+        changes.repartitionByRange("logfile", "logpos").write.mode("append").parquet(path)
 
 
 def bounded(
