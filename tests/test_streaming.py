@@ -1,13 +1,12 @@
 """Streams, sinks and state: equal to batch, restartable, repeatable."""
 
-import json
-
 import pytest
 from pyspark.sql import functions as F
 
+from bulk import bulk_replay
 from tidefold.operators import fold
 from tidefold.sinks.fanout import FanOut, activate
-from tidefold.sinks.state import FoldStore
+from tidefold.sinks.state import FoldStore, MergeStore
 from tidefold.sinks.writers import BulkTextSink, ChangeLogSink
 from tidefold.sources.change_log import read_change_log, stream_change_log, write_change_log
 from tidefold.model import Position
@@ -104,24 +103,6 @@ def test_log_folders_are_pruned(spark, tmp_path):
     assert ">= binlog.000003" in pruned and "<= binlog.000004" in pruned
 
 
-def bulk_replay(spark, path, docs):
-    """Apply bulk text as an index would, batch by batch."""
-    batches = sorted(r[0] for r in spark.read.text(path).select("batch_id").distinct().collect())
-    for b in batches:
-        lines = iter([r[0] for r in spark.read.text(f"{path}/batch_id={b}").collect()])
-        for line in lines:
-            ((action, target),) = json.loads(line).items()
-            if action == "index":
-                docs[target["_id"]] = json.loads(next(lines))
-            elif action == "update":
-                body = json.loads(next(lines))["doc"]
-                if target["_id"] in docs:
-                    docs[target["_id"]].update(body)
-            else:
-                docs.pop(target["_id"], None)
-    return docs
-
-
 def test_fan_out_with_a_failing_sink(spark, tmp_path):
     log = changes(spark)
     calls = []
@@ -166,6 +147,29 @@ def test_bulk_text_has_the_effect_of_the_log(spark, tmp_path):
     )
 
 
+def test_partial_changes_in_store_and_bulk_text(spark, tmp_path):
+    log = changes(spark).selectExpr(
+        "*",
+        "if(logpos % 40 = 0, null, logpos) w",
+        "case logpos % 3 when 0 then array('v') when 1 then array('v', 'w') else array('w') end present",
+    )
+    doc = ["v", "w"]
+    expected = {
+        r["k"]: {c: r[c] for c in r["present"]}
+        for r in fold.merge_changes(log, KEY, doc).collect()
+    }
+    store = MergeStore(f"{tmp_path}/state", KEY, doc)
+    sink = BulkTextSink(f"{tmp_path}/bulk", "t", KEY, doc)
+    for i, bounds in enumerate(("logfile < 'binlog.000003'", "logfile >= 'binlog.000003'")):
+        store(log.where(bounds), i)
+        sink(log.where(bounds), i)
+    store.compact(spark, through=0)
+    got = {r["k"]: (r["v"], r["w"]) for r in store.current(spark).collect()}
+    assert got == {k: (d.get("v"), d.get("w")) for k, d in expected.items()}
+    docs = bulk_replay(spark, f"{tmp_path}/bulk/bulk", {})
+    assert {d.pop("k"): d for d in docs.values()} == expected
+
+
 def test_failure_without_dead_letters_is_raised_after_all_sinks(spark, tmp_path):
     def down(batch, batch_id):
         raise OSError("unreachable")

@@ -89,7 +89,7 @@ def test_bulk_lines_keep_nulls(spark):
         [("insert", "1", None, 2), ("update", "1", "x", 2), ("delete", "1", None, None)],
         "op string, _id string, a string, b int",
     )
-    got = df.select(documents.bulk_lines(df, F.lit("t"), documents.document(["a", "b"]))).collect()
+    got = df.select(documents.bulk_lines(F.lit("t"), documents.document(["a", "b"]))).collect()
     assert [r[0] for r in got] == [
         '{"index":{"_index":"t","_id":"1"}}\n{"a":null,"b":2}',
         '{"update":{"_index":"t","_id":"1"}}\n{"doc":{"a":"x","b":2}}',
@@ -97,6 +97,14 @@ def test_bulk_lines_keep_nulls(spark):
     ]
 
 
+def test_partial_documents_keep_listed_nulls_only(spark):
+    df = spark.createDataFrame(
+        [(None, "q}", ["a", "b"]), (None, "x", ["b"]), (1, None, [])], "a int, b string, p array<string>"
+    )
+    got = [r[0] for r in df.select(documents.document(["a", "b"], "p")).collect()]
+    assert got == ['{"a":null,"b":"q}"}', '{"b":"x"}', "{}"]
+
+
 @pytest.mark.parametrize(
     "left,right,equal",
     [

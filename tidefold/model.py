@@ -34,6 +34,9 @@ DATE_FORMAT = "yyyy-MM-dd HH:mm:ss||yyyy-MM-dd||epoch_millis"
 SEQ = ("logfile", "logpos", "row_idx")
 META = (*SEQ, "op")
 
+# Names that change rows and their folds use beside a table's own columns.
+RESERVED = (*META, "present", "boundary", "latest")
+
 
 @dataclass(frozen=True, order=True)
 class Position:

@@ -35,24 +35,31 @@ def index_mapping(catalog: DataFrame) -> DataFrame:
     return properties.select("tbl", F.to_json(document).alias("mapping"))
 
 
-def bulk_lines(
-    changes: DataFrame, index: SparkColumn, doc: SparkColumn, id: str = "_id"
-) -> SparkColumn:
-    """Bulk text of a change: an action line, then the document for an insert or
-    ``{"doc": …}`` for an update; a delete has no second line."""
-    target = F.struct(index.alias("_index"), F.col(id).alias("_id"))
-    lines = {
-        op: F.to_json(F.create_map(F.lit(action), target)) for op, action in BULK_ACTIONS.items()
-    }
+def document(columns: Sequence[str], present: str | None = None) -> SparkColumn:
+    """JSON text of a document, nulls included.
+
+    With ``present``, the name of a column that lists the fields a document has,
+    the others are left out; a null that is listed stays.
+    """
     keep_nulls = {"ignoreNullFields": "false"}
-    body = F.when(F.col("op") == INSERT, F.to_json(doc, keep_nulls)).when(
-        F.col("op") == UPDATE, F.to_json(F.struct(doc.alias("doc")), keep_nulls)
-    )
-    action = F.when(F.col("op") == INSERT, lines[INSERT])
-    for op in (UPDATE, DELETE):
-        action = action.when(F.col("op") == op, lines[op])
-    return F.concat_ws("\n", action, body)
+    if present is None:
+        return F.to_json(F.struct(*columns), keep_nulls)
+    # Each field as a document of its own, without the braces.
+    fields = [
+        F.when(
+            F.array_contains(present, c),
+            F.regexp_extract(F.to_json(F.struct(c), keep_nulls), r"(?s)^\{(.*)\}$", 1),
+        )
+        for c in columns
+    ]
+    return F.concat(F.lit("{"), F.concat_ws(",", *fields), F.lit("}"))
 
 
-def document(columns: Sequence[str]) -> SparkColumn:
-    return F.struct(*columns)
+def bulk_lines(index: SparkColumn, document: SparkColumn, id: str = "_id") -> SparkColumn:
+    """Bulk text of a change: an action line, then the document for an insert or
+    ``{"doc": …}`` for an update; a delete has no second line."""
+    op = F.col("op")
+    action = F.create_map(*[F.lit(x) for pair in BULK_ACTIONS.items() for x in pair])[op]
+    target = F.to_json(F.create_map(action, F.struct(index.alias("_index"), F.col(id).alias("_id"))))
+    wrapped = F.concat(F.lit('{"doc":'), document, F.lit("}"))
+    return F.concat_ws("\n", target, F.when(op == INSERT, document).when(op == UPDATE, wrapped))

@@ -132,6 +132,23 @@ def merged_rows(state: DataFrame, key: Sequence[str], doc: Sequence[str]) -> Dat
     )
 
 
+def merged_actions(state: DataFrame, key: Sequence[str], doc: Sequence[str]) -> DataFrame:
+    """As ``net_actions``, for partial documents: ``present`` lists the fields an
+    insert or update carries, with their values in columns of their own."""
+    op = F.coalesce("boundary.op", F.lit(UPDATE))
+    since = F.col("boundary.seq")
+    carried = {
+        c: (op != DELETE) & F.col(c).isNotNull() & (since.isNull() | (F.col(f"{c}.seq") >= since))
+        for c in doc
+    }
+    return state.select(
+        *key,
+        op.alias("op"),
+        *[F.when(carried[c], F.col(f"{c}.v")).alias(c) for c in doc],
+        F.array_compact(F.array(*[F.when(carried[c], c) for c in doc])).alias("present"),
+    )
+
+
 def merge_changes(changes: DataFrame, key: Sequence[str], doc: Sequence[str]) -> DataFrame:
     """As ``apply_changes``, for changes with partial documents."""
     return merged_rows(merge_state(changes, key, doc), key, doc)

@@ -311,7 +311,7 @@ def bulk_lines(spark: SparkSession, sf: str) -> DataFrame:
     rows = rows.withColumn("_id", keys.render_pk(rows, ["user_id"]))
     doc = documents.document(["event_id", "event_type"])
     return rows.select(
-        "logfile", "logpos", documents.bulk_lines(rows, F.lit("users"), doc).alias("lines")
+        "logfile", "logpos", documents.bulk_lines(F.lit("users"), doc).alias("lines")
     )
 
 
@@ -329,5 +329,5 @@ def bulk_lines_text(spark: SparkSession, sf: str) -> DataFrame:
     )
     doc = documents.document(["page_id", "url", "html"])
     return rows.select(
-        "page_id", documents.bulk_lines(rows, F.lit("pages"), doc).alias("lines")
+        "page_id", documents.bulk_lines(F.lit("pages"), doc).alias("lines")
     )

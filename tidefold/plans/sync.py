@@ -17,11 +17,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tidefold.functions.positions import after
-from tidefold.model import POSITION_SCHEMA, REGISTRY_SCHEMA, ROW_EVENT_SCHEMA, Column, Position
+from tidefold.model import POSITION_SCHEMA, REGISTRY_SCHEMA, RESERVED, ROW_EVENT_SCHEMA, Column, Position
 from tidefold.operators import normalise, registry
 from tidefold.operators.ordering import high_water_mark
 from tidefold.sinks.fanout import FanOut, Sink
-from tidefold.sinks.state import FoldStore
+from tidefold.sinks.state import MergeStore
 from tidefold.sources import dump_text
 from tidefold.sources.change_log import read_change_log, stream_change_log
 from tidefold.sources.tables import snapshot
@@ -71,8 +71,8 @@ def current_registry(spark: SparkSession, config: SyncConfig) -> DataFrame:
     return registry.registry_upsert(log)
 
 
-def store(config: SyncConfig, synced: Synced) -> FoldStore:
-    return FoldStore(f"{config.target}/tables/{synced.table}", synced.key, synced.doc)
+def store(config: SyncConfig, synced: Synced) -> MergeStore:
+    return MergeStore(f"{config.target}/tables/{synced.table}", synced.key, synced.doc)
 
 
 def _fan_out(config: SyncConfig, synced: Synced) -> FanOut:
@@ -118,6 +118,9 @@ def _load_table(
     statements = dump_text.read_statements(spark, config.dumps[table])
     note("dumped")
     columns = dump_text.head_columns(statements)
+    clash = [c.name for c in columns if c.name.lower() in RESERVED]
+    if clash:
+        raise ValueError(f'table "{table}" uses reserved column names: {clash}')
     if not any(c.is_in_primary_key for c in columns):
         raise ValueError(f'table "{table}" has no primary key')
     synced = Synced(table, columns, dump_text.head_position(statements))
@@ -125,6 +128,7 @@ def _load_table(
     note("initialized", columns=[tuple(vars(c).values()) for c in columns])
     note("moving")
     rows = dump_text.require_good(dump_text.dump_rows(statements, columns)).drop("_id")
+    rows = rows.withColumn("present", F.array(*[F.lit(c.name) for c in columns]))
     _fan_out(config, synced)(snapshot(rows, synced.position), SNAPSHOT_BATCH)
     note("moved", binlog_pos=tuple(vars(synced.position).values()))
     if main is not None and main > synced.position:

@@ -17,7 +17,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidefold.operators.fold import combine_states, fold_state, live_rows
+from tidefold.operators.fold import (
+    combine_merge_states,
+    combine_states,
+    fold_state,
+    live_rows,
+    merge_state,
+    merged_rows,
+)
 
 _COMPACTED = T.StructType(
     [T.StructField("through", T.LongType()), T.StructField("base", T.StringType())]
@@ -32,18 +39,27 @@ class FoldStore:
 
     def write(self, changes: DataFrame, batch_id: int) -> None:
         """Fold one batch into its own folder."""
-        piece = fold_state(changes, self.key, self.doc)
-        piece.write.mode("overwrite").parquet(f"{self.path}/pieces/batch_id={batch_id}")
+        self.fold(changes).write.mode("overwrite").parquet(f"{self.path}/pieces/batch_id={batch_id}")
+
+    def __call__(self, changes: DataFrame, batch_id: int) -> None:
+        self.write(changes, batch_id)
+
+    def fold(self, changes: DataFrame) -> DataFrame:
+        return fold_state(changes, self.key, self.doc)
 
-    __call__ = write
+    def combine(self, pieces: DataFrame) -> DataFrame:
+        return combine_states(pieces, self.key)
+
+    def documents(self, state: DataFrame) -> DataFrame:
+        return live_rows(state, self.key)
 
     def state(self, spark: SparkSession) -> DataFrame:
         """Combined state of all pieces, one row per key, deleted keys included."""
-        return combine_states(self._pieces(spark), self.key)
+        return self.combine(self._pieces(spark))
 
     def current(self, spark: SparkSession) -> DataFrame:
         """The documents that exist now."""
-        return live_rows(self.state(spark), self.key)
+        return self.documents(self.state(spark))
 
     def publish(self, spark: SparkSession, path: str) -> None:
         """Write the current documents for readers that only know parquet."""
@@ -56,8 +72,7 @@ class FoldStore:
         disk for readers that started earlier; remove them when none is left.
         """
         base = f"{self.path}/bases/through={through}"
-        pieces = self._pieces(spark, through)
-        combine_states(pieces, self.key).write.mode("overwrite").parquet(base)
+        self.combine(self._pieces(spark, through)).write.mode("overwrite").parquet(base)
         announcement = spark.createDataFrame([(through, base)], _COMPACTED)
         announcement.coalesce(1).write.mode("append").parquet(f"{self.path}/compacted")
 
@@ -78,3 +93,19 @@ class FoldStore:
         except AnalysisException:
             return None  # never compacted
         return announced.orderBy(F.desc("through")).first()
+
+
+@dataclass(frozen=True)
+class MergeStore(FoldStore):
+    """The same for changes that may carry some columns only (see ``present``): a
+    field that an update lacks keeps its value.  Each column carries its own place
+    in the log, so prefer ``FoldStore`` where every change has all columns."""
+
+    def fold(self, changes: DataFrame) -> DataFrame:
+        return merge_state(changes, self.key, self.doc)
+
+    def combine(self, pieces: DataFrame) -> DataFrame:
+        return combine_merge_states(pieces, self.key, self.doc)
+
+    def documents(self, state: DataFrame) -> DataFrame:
+        return merged_rows(state, self.key, self.doc).drop("present")

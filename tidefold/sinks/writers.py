@@ -14,8 +14,16 @@ from pyspark.sql import functions as F
 
 from tidefold.functions.keys import render_pk
 from tidefold.model import COLUMN_SCHEMA, Column
-from tidefold.operators.documents import bulk_lines, index_mapping
-from tidefold.operators.fold import fold_state, net_actions
+from tidefold.operators.documents import bulk_lines, document, index_mapping
+from tidefold.operators.fold import fold_state, merge_state, merged_actions, net_actions
+
+
+def net_changes(changes: DataFrame, key: Sequence[str], doc: Sequence[str]) -> DataFrame:
+    """One action per key: key, op, document columns and, when changes may carry
+    some columns only, ``present``."""
+    if "present" in changes.columns:
+        return merged_actions(merge_state(changes, key, doc), key, doc)
+    return net_actions(fold_state(changes, key, doc), key).select(*key, "op", "doc.*")
 
 
 @dataclass(frozen=True)
@@ -43,9 +51,15 @@ class BulkTextSink:
     doc: Sequence[str]
 
     def __call__(self, changes: DataFrame, batch_id: int) -> None:
-        actions = net_actions(fold_state(changes, self.key, self.doc), self.key)
+        actions = net_changes(changes, self.key, self.doc)
+        present = "present" if "present" in actions.columns else None
         actions = actions.withColumn("_id", render_pk(actions, self.key))
-        lines = actions.select(bulk_lines(actions, F.lit(self.index), F.col("doc")).alias("value"))
+        # A search document holds the key columns, too.
+        if present:
+            key = F.array(*[F.lit(k) for k in self.key])
+            actions = actions.withColumn(present, F.concat(key, present))
+        body = document([*self.key, *self.doc], present)
+        lines = actions.select(bulk_lines(F.lit(self.index), body).alias("value"))
         lines.write.mode("overwrite").text(f"{self.path}/bulk/batch_id={batch_id}")
 
     def on_table_init(self, spark: SparkSession, table: str, columns: Sequence[Column]) -> None:
@@ -69,10 +83,11 @@ class JdbcSink:
     options: Mapping[str, str] = field(default_factory=dict)
 
     def __call__(self, changes: DataFrame, batch_id: int) -> None:
-        actions = net_actions(fold_state(changes, self.key, self.doc), self.key)
+        actions = net_changes(changes, self.key, self.doc).withColumn("batch_id", F.lit(batch_id))
+        if "present" in actions.columns:
+            actions = actions.withColumn("present", F.array_join("present", ","))
         (
-            actions.select(F.lit(batch_id).alias("batch_id"), *self.key, "op", "doc.*")
-            .write.format("jdbc")
+            actions.write.format("jdbc")
             .options(**self.options)
             .options(url=self.url, dbtable=self.table)
             .mode("append")
@@ -92,13 +107,13 @@ class ConnectorSink:
     options: Mapping[str, str] = field(default_factory=dict)
 
     def __call__(self, changes: DataFrame, batch_id: int) -> None:
-        actions = net_actions(fold_state(changes, self.key, self.doc), self.key)
+        actions = net_changes(changes, self.key, self.doc).drop("present")
         actions = actions.withColumn("_id", render_pk(actions, self.key)).persist()
         try:
             for op, how in (("insert", "index"), ("update", "update"), ("delete", "delete")):
                 (
                     actions.where(F.col("op") == op)
-                    .select("_id", "doc.*")
+                    .select("_id", *self.key, *self.doc)
                     .write.format(self.fmt)
                     .options(**self.options)
                     .options(**{"es.mapping.id": "_id", "es.mapping.exclude": "_id"})
