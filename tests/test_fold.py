@@ -143,9 +143,10 @@ def test_merge_pieces_combine(case):
 
 def test_dropped_updates_equal_sequential_replay(case):
     rows, changes = case
-    got = fold.dropped_updates(changes, KEY)
-    got = got.select("case", "k", "logfile", "logpos", "row_idx").collect()
-    assert sorted(tuple(r) for r in got) == model(rows, False)[1]
+    for hot_rows in (10**6, 8, 0):
+        got = fold.dropped_updates(changes, KEY, hot_rows)
+        got = got.select("case", "k", "logfile", "logpos", "row_idx").collect()
+        assert sorted(tuple(r) for r in got) == model(rows, False)[1]
 
 
 def test_snapshot_plus_log(spark):

@@ -32,9 +32,18 @@ def brute(rows, keyed, inclusive):
 
 
 @pytest.mark.parametrize("bucket,block", [(1, 1), (7, 3), (50, None), (10000, 10)])
-@pytest.mark.parametrize("keyed", [True, False])
 @pytest.mark.parametrize("inclusive", [True, False])
-def test_carry_forward(spark, bucket, block, keyed, inclusive):
+@pytest.mark.parametrize(
+    "keyed,hot_rows,most",
+    [
+        (False, 0, 9),
+        (True, 0, 9),  # all keys are cut up
+        (True, 120, 9),  # the hot one only
+        (True, 10**6, 9),  # none
+        (True, 0, 1),  # more hot keys than may be listed
+    ],
+)
+def test_carry_forward(spark, bucket, block, keyed, inclusive, hot_rows, most):
     rows = list({r[0]: r for r in random_rows()}.values())
     random.Random(1).shuffle(rows)
     df = spark.createDataFrame(rows, "o bigint, k string, v string")
@@ -48,6 +57,8 @@ def test_carry_forward(spark, bucket, block, keyed, inclusive):
         block=None if block is None else F.floor(b / block),
         keys=["k"] if keyed else [],
         inclusive=inclusive,
+        hot_rows=hot_rows,
+        most_hot_keys=most,
     )
     assert {r["o"]: r["last"] for r in got.collect()} == brute(rows, keyed, inclusive)
     assert got.columns == ["o", "k", "v", "last"]
@@ -73,7 +84,7 @@ def test_status_transitions_with_small_buckets(spark):
         ("u", 501, "dumped"),
     ]
     df = spark.createDataFrame(log, "tbl string, seq bigint, status string")
-    got = registry.status_transitions(df, bucket_size=3, buckets_per_block=2)
+    got = registry.status_transitions(df, bucket_size=3, buckets_per_block=2, hot_rows=0)
     legal = {(r["tbl"], r["seq"]): r["legal"] for r in got.collect()}
     assert all(legal["t", 10 * i] for i in range(7))
     assert [legal["u", s] for s in (1, 500, 501)] == [False, True, False]

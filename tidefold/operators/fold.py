@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from tidefold.functions.positions import after, sequence
 from tidefold.model import DELETE, INSERT, META, SEQ, UPDATE, Position
-from tidefold.operators.ordering import carry_forward
+from tidefold.operators.ordering import HOT_ROWS, carry_forward
 
 
 def fold_state(changes: DataFrame, key: Sequence[str], doc: Sequence[str]) -> DataFrame:
@@ -154,12 +154,14 @@ def merge_changes(changes: DataFrame, key: Sequence[str], doc: Sequence[str]) ->
     return merged_rows(merge_state(changes, key, doc), key, doc)
 
 
-def dropped_updates(changes: DataFrame, key: Sequence[str]) -> DataFrame:
+def dropped_updates(
+    changes: DataFrame, key: Sequence[str], hot_rows: int = HOT_ROWS
+) -> DataFrame:
     """Updates that hit a key which does not exist at that moment.
 
-    The last insert or delete before an update is carried through the key's log
-    files.  A log file has a bounded size, so a key that holds a third of all
-    changes is spread over as many tasks as it has log files.
+    The last insert or delete before an update is carried along the key.  A key
+    with more than ``hot_rows`` changes is cut up by log file, whose size is
+    bounded, so one that holds a third of all changes is spread over many tasks.
     """
     seen = carry_forward(
         changes,
@@ -169,6 +171,7 @@ def dropped_updates(changes: DataFrame, key: Sequence[str]) -> DataFrame:
         bucket=F.col("logfile"),
         keys=key,
         inclusive=False,
+        hot_rows=hot_rows,
     )
     missed = F.coalesce(F.col("_before"), F.lit(DELETE)) == DELETE
     return seen.where((F.col("op") == UPDATE) & missed).drop("_before")

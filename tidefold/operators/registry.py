@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidefold.model import REGISTRY_SCHEMA, STATUSES
-from tidefold.operators.ordering import carry_forward
+from tidefold.operators.ordering import HOT_ROWS, carry_forward
 
 FIELDS = ("status", "columns", "binlog_pos", "dump_read_progress")
 
@@ -45,6 +45,7 @@ def status_transitions(
     log: DataFrame,
     bucket_size: int = 65536,
     buckets_per_block: int = 4096,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Each status write with the status before it and whether the move is legal.
 
@@ -60,6 +61,7 @@ def status_transitions(
         block=F.floor(bucket / F.lit(buckets_per_block)),
         keys=["tbl"],
         inclusive=False,
+        hot_rows=hot_rows,
     )
     legal = [F.lit(f"{a}>{b}") for a, b in LEGAL_MOVES]
     move = F.concat_ws(">", "previous", "status")
