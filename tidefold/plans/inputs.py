@@ -59,7 +59,7 @@ def line_changes(spark: SparkSession, sf: str) -> DataFrame:
     """A larger change log, one change per line item, keyed by order; a log file
     per day of shipping."""
     return scan_table(spark, sf, "lineitem").selectExpr(
-        "concat('binlog.', date_format(l_shipdate, 'yyyyMMdd')) logfile",
+        "concat('binlog.', cast(l_shipdate as date)) logfile",
         "l_partkey logpos",
         "cast(l_suppkey * 10 + l_linenumber as int) row_idx",
         """case l_returnflag when 'A' then 'insert' when 'R' then 'delete'
@@ -302,7 +302,7 @@ SQL = {
          user_id, event_id, event_type, value
   from events)""",
     "line_changes": """line_changes as (
-  select 'binlog.' || strftime(l_shipdate, '%Y%m%d') logfile, l_partkey logpos,
+  select 'binlog.' || cast(cast(l_shipdate as date) as varchar) logfile, l_partkey logpos,
          l_suppkey * 10 + l_linenumber row_idx,
          case l_returnflag when 'A' then 'insert' when 'R' then 'delete' else 'update' end op,
          l_orderkey, l_linenumber, l_quantity, l_extendedprice, l_linestatus

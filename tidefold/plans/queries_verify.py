@@ -92,8 +92,9 @@ def doc_diff(spark: SparkSession, sf: str) -> DataFrame:
         "o_orderkey", "o_totalprice", "concat('9-', o_orderstatus) o_orderpriority"
     )
     diff = verify.doc_diff(source, target, KEY, ["o_totalprice", "o_orderpriority"])
+    is_price = F.col("column_name") == "o_totalprice"
     return diff.withColumns(
-        {c: F.col(c).try_cast("double") for c in ("source_value", "target_value")}
+        {c: F.when(is_price, F.col(c).cast("double")) for c in ("source_value", "target_value")}
     )
 
 
