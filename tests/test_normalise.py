@@ -42,6 +42,13 @@ def test_one_wide_row_loses_its_event(spark):
     assert [(r["logpos"], r["reason"]) for r in rejects] == [(1, "no column at position 3")]
 
 
+def test_values_of_the_wrong_type_are_rejected_row_by_row(spark):
+    df = events(spark, ("write_rows_v2", "f", 1, [["1", "a", "5"], ["x", "b", "many"], ["3", None, None]]))
+    assert [r["id"] for r in normalise.rows_to_records(df, COLUMNS).collect()] == [1, 3]
+    (reject,) = normalise.record_rejects(df, COLUMNS).collect()
+    assert (reject["rows"], reject["reason"]) == ([["x", "b", "many"]], "values do not fit: id, n")
+
+
 def test_other_events_are_ignored(spark):
     df = events(spark, ("query", "f", 1, None), ("rotate", "f", 2, None), ("delete_rows_v1", "f", 3, []))
     assert [r["logpos"] for r in normalise.row_events_only(df).collect()] == [3]

@@ -57,35 +57,73 @@ def too_wide(columns: Sequence[Column]) -> SparkColumn:
     )
 
 
+def _bound(events: DataFrame, columns: Sequence[Column], keep: Sequence[str]) -> DataFrame:
+    """Rows of events of a known width, with typed columns beside the raw row."""
+    return explode_rows(events.where(~too_wide(columns)), keep).select(
+        *keep,
+        "row_idx",
+        "op",
+        "row",
+        *[
+            F.get("row", F.lit(c.position)).try_cast(spark_type(c.type)).alias(c.name)
+            for c in columns
+        ],
+    )
+
+
+def _misfits(columns: Sequence[Column]) -> SparkColumn:
+    """Names of the columns whose value is not of their type."""
+    failed = [
+        F.when(F.get("row", F.lit(c.position)).isNotNull() & F.col(c.name).isNull(), c.name)
+        for c in columns
+        if spark_type(c.type).typeName() != "string"
+    ]
+    return F.array_compact(F.array(*failed)) if failed else F.array().cast("array<string>")
+
+
 def rows_to_records(
     events: DataFrame, columns: Sequence[Column], keep: Sequence[str] = ("logfile", "logpos")
 ) -> DataFrame:
     """Positional values to typed named columns.
 
     One bad row loses its whole event, so an event with a row wider than the
-    schema is left out here and reported by ``record_rejects``.  A shorter row
-    lacks its last columns: they are null and missing from ``present``.
+    schema is left out here and reported by ``record_rejects``; so is a row with a
+    value that is not of its column's type.  A shorter row lacks its last columns:
+    they are null and missing from ``present``.
     """
     ordered = sorted(columns, key=lambda c: c.position)
     names = F.array(*[F.lit(c.name) for c in ordered])
-    return explode_rows(events.where(~too_wide(ordered)), keep).select(
-        *keep,
-        "row_idx",
-        "op",
-        *[
-            F.get("row", F.lit(c.position)).try_cast(spark_type(c.type)).alias(c.name)
-            for c in ordered
-        ],
-        F.slice(names, F.lit(1), F.size("row")).alias("present"),
+    return (
+        _bound(events, ordered, keep)
+        .where(F.size(_misfits(ordered)) == 0)
+        .select(
+            *keep,
+            "row_idx",
+            "op",
+            *[c.name for c in ordered],
+            F.slice(names, F.lit(1), F.size("row")).alias("present"),
+        )
     )
 
 
 def record_rejects(events: DataFrame, columns: Sequence[Column]) -> DataFrame:
-    """Events lost because a row has no column at some position."""
+    """What ``rows_to_records`` leaves out, with the reason: whole events with a
+    row that is too wide, and single rows with values of the wrong type."""
+    ordered = sorted(columns, key=lambda c: c.position)
     width = F.array_max(F.transform("rows", F.size))
-    return events.where(too_wide(columns)).withColumn(
+    wide = events.where(too_wide(ordered)).withColumn(
         "reason", F.format_string("no column at position %d", width - 1)
     )
+    keep = [c for c in events.columns if c != "rows"]
+    # One struct for the event, as a table may have columns named like its fields.
+    bound = _bound(events.withColumn("_event", F.struct(*keep)), ordered, ["_event"])
+    rows = bound.select("_event", "row", _misfits(ordered).alias("_bad"))
+    rows = rows.where(F.size("_bad") > 0).select(
+        "_event.*",
+        F.array("row").alias("rows"),
+        F.concat(F.lit("values do not fit: "), F.array_join("_bad", ", ")).alias("reason"),
+    )
+    return wide.unionByName(rows)
 
 
 def column_at(columns: Sequence[Column], position: SparkColumn) -> SparkColumn:
