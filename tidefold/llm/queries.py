@@ -1,9 +1,28 @@
 """Registered queries of this subpackage and their oracle SQL."""
 
+from tidefold.llm import decontaminate, repeats, topk
+from tidefold.llm.decontaminate import op1_decontaminate
+from tidefold.llm.language import op5_language
+from tidefold.llm.packing import op2_packing
+from tidefold.llm.repeats import op9_repeats
+from tidefold.llm.secrets import op3_secrets
 from tidefold.llm.simhash import op8_simhash
+from tidefold.llm.surrogates import op4_surrogates
+from tidefold.llm.topk import op6_topk
 
 QUERIES = {
+    "op1_decontaminate": op1_decontaminate,
+    "op2_packing": op2_packing,
+    "op3_secrets": op3_secrets,
+    "op4_surrogates": op4_surrogates,
+    "op5_language": op5_language,
+    "op6_topk": op6_topk,
     "op8_simhash": op8_simhash,
+    "op9_repeats": op9_repeats,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES = {
+    "op1_decontaminate": decontaminate.ORACLE,
+    "op6_topk": topk.ORACLE,
+    "op9_repeats": repeats.ORACLE,
+}
