@@ -23,15 +23,16 @@ from pyspark.sql.window import Window
 from tidefold.llm.common import field, small_slices, stored
 
 #: Words whose ids one Python worker keeps.
-CACHE_WORDS = 400_000
+CACHE_WORDS = 1_000_000
 END_ID = 0
 
 
-class _Ids(dict):
-    """Token ids of blank-separated chunks as little-endian bytes, encoded when first met.
+class _Ids:
+    """Token ids of texts as little-endian bytes, with a store of words met before.
 
-    A text without a blank before other white space splits before its single blanks into
-    chunks that are tokenised as if each stood alone; other texts are encoded whole.
+    A blank between two signs that are not white space begins a pre-token whatever stands
+    around it.  So a text is cut there, and each part is encoded as if it stood alone: the
+    first as it is, the others with their blank.
     """
 
     def __init__(self, path: str):
@@ -40,34 +41,29 @@ class _Ids(dict):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.runs = re.compile(r" \s")
-
-    def __missing__(self, chunk: str) -> bytes:
-        ids = self.tokenizer.encode(chunk, add_special_tokens=False).ids
-        self[chunk] = out = np.array(ids, "<u4").tobytes()
-        return out
+        self.runs = re.compile(r"^\s|\s\s|\s$")
+        self.cuts = re.compile(r"(?<=\S) (?=\S)")
+        self.words: dict[str, bytes] = {}
+
+    def _encode(self, parts: list[str]) -> list[bytes]:
+        found = self.tokenizer.encode_batch_fast(parts, add_special_tokens=False)
+        return [np.array(e.ids, "<u4").tobytes() for e in found]
+
+    def encode_all(self, texts: list[str]) -> list[bytes]:
+        parts = [(self.cuts.split(t) if self.runs.search(t) else t.split(" ")) for t in texts]
+        met: set[str] = set()
+        for p in parts:
+            met.update(p[1:])
+        if len(self.words) + len(met) > CACHE_WORDS:
+            self.words.clear()
+        new = list(met - self.words.keys())
+        self.words.update(zip(new, self._encode([" " + w for w in new])))
+        heads = self._encode([p[0] for p in parts])
+        get = self.words.__getitem__
+        return [h + b"".join(map(get, p[1:])) for h, p in zip(heads, parts)]
 
     def encode(self, text: str) -> bytes:
-        if self.runs.search(text):
-            ids = self.tokenizer.encode(text, add_special_tokens=False).ids
-            return np.array(ids, "<u4").tobytes()
-        return b"".join([self[chunk] for chunk in self.chunks(text)])
-
-    @staticmethod
-    def chunks(text: str) -> list[str]:
-        head, *rest = text.split(" ")
-        return [head, *[" " + word for word in rest]]
-
-    def prepare(self, texts: list[str]) -> None:
-        """Encode what is new in these texts together."""
-        if len(self) > CACHE_WORDS:
-            self.clear()
-        new = {c for t in texts if not self.runs.search(t) for c in self.chunks(t)} - self.keys()
-        new = list(new)
-        for chunk, e in zip(
-            new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False)
-        ):
-            self[chunk] = np.array(e.ids, "<u4").tobytes()
+        return self.encode_all([text])[0]
 
 
 _ids: dict[str, _Ids] = {}
@@ -103,14 +99,14 @@ def tokenise(
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        encoder = _ids.setdefault(vocabulary, None) or _Ids(vocabulary)
-        _ids[vocabulary] = encoder
+        if vocabulary not in _ids:
+            _ids[vocabulary] = _Ids(vocabulary)
+        encoder = _ids[vocabulary]
         for batch in small_slices(batches, 1, 4 << 20):
             texts = [t or "" for t in batch.column(1).to_pylist()]
-            encoder.prepare(texts)
             rows, number, start, length, tokens = [], [], [], [], []
-            for row, text in enumerate(texts):
-                data = encoder.encode(text) + end
+            for row, data in enumerate(encoder.encode_all(texts)):
+                data += end
                 starts = piece_starts(len(data) // 4, capacity)
                 for k, (a, b) in enumerate(zip(starts, [*starts[1:], len(data) // 4])):
                     rows.append(row)
