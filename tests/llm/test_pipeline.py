@@ -1,0 +1,113 @@
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+import corpus_pipeline as C
+from test_decontaminate import brute as leaks
+from test_packing import check_places
+from test_secrets import base_spans
+from test_simhash import brute_print
+from tidefold.llm import packing
+from tidefold.llm.common import stored
+
+SF = "/root/testdata/sf0.001"
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    real = spark.read.parquet(f"{SF}/documents.parquet")
+    item = spark.read.parquet(f"{SF}/benchmark.parquet").first().text
+    odd = [
+        (9001, None, "en"), (9002, "12 -- !", None), (9003, "漢字漢字", "en"),
+        (9004, item, "en"), (None, "and the of er thion in " + item, None),
+        (9005, "the and of in thion token=abcdefgh12 er the", "en"),
+        (9006, "the and of in thion token=abcdefgh12 er the", "en"),
+        (None, "the of and erth in", "en"),
+    ]
+    extra = spark.createDataFrame([(i, t, l, "s", 5) for i, t, l in odd], real.schema)
+    return stored(real.unionByName(extra), "test-pipeline")
+
+
+@pytest.fixture(scope="module")
+def stages(spark, docs):
+    out = [docs]
+    for name, stage in C.STAGES:
+        out.append(stored(stage(spark, out[-1], SF), "test-stage"))
+    return out
+
+
+def ids(df):
+    return sorted((r.doc_id for r in df.select("doc_id").collect()), key=str)
+
+
+def test_columns_stay(docs, stages):
+    assert all(s.dtypes == docs.dtypes for s in stages[1:-1])
+    assert len(C.STAGES) == 5
+
+
+def test_language_rejects_texts_without_a_language_only(docs, stages):
+    assert set(map(str, ids(docs))) - set(map(str, ids(stages[1]))) == {"9001", "9002", "9003"}
+    assert stages[1].where("lang is null").count() == 0
+
+
+def test_one_of_each_group_stays(stages):
+    rows = [tuple(r) for r in stages[1].select("doc_id", "text").collect()]
+    prints = {}
+    for d, t in rows:
+        prints.setdefault(brute_print(t), []).append(d)
+    keys = list(prints)
+    comp = {k: k for k in keys}
+
+    def find(x):
+        while comp[x] != x:
+            x = comp[x]
+        return x
+
+    for i, a in enumerate(keys):
+        for b in keys[:i]:
+            if (a ^ b).bit_count() <= 4:
+                comp[find(a)] = find(b)
+    best = {}
+    for k, members in prints.items():
+        named = [d for d in members if d is not None]
+        best.setdefault(find(k), []).extend(named)
+    want = [min(m) for m in best.values() if m] + [d for d, _ in rows if d is None]
+    assert ids(stages[2]) == sorted(want, key=str)
+
+
+def test_leaks_go_and_others_stay(spark, stages):
+    items = [tuple(r) for r in spark.read.parquet(f"{SF}/benchmark.parquet").select("item_id", "text").collect()]
+    rows = [tuple(r) for r in stages[2].select("doc_id", "text").collect()]
+    want = [d for d, t in rows if not leaks([(d, t)], items)]
+    assert ids(stages[3]) == sorted(want, key=str)
+    assert len(want) < len(rows)
+
+
+def test_secrets_are_cut_and_documents_stay(stages):
+    assert ids(stages[4]) == ids(stages[3])
+    before = {r.doc_id: r.text for r in stages[3].collect()}
+    for r in stages[4].collect():
+        assert r.n_chars == len(r.text)
+        assert not base_spans(r.text)
+        if r.doc_id is not None and not base_spans(before[r.doc_id]):
+            assert r.text == before[r.doc_id]
+
+
+def test_sequences_hold_each_document(stages):
+    out = stages[5].collect()
+    check_places(out, 2048)
+    assert set(map(str, {r.doc_id for r in out})) == set(map(str, ids(stages[4])))
+    assert sum(r.piece == 0 for r in out) == stages[4].count()
+    one = stages[4].where("doc_id is not null").first()
+    enc = packing._Ids(__import__("public_tokenizers").path("byte_bpe_50k.json"))
+    mine = sorted((r for r in out if r.doc_id == one.doc_id), key=lambda r: r.piece)
+    assert b"".join(bytes(r.tokens) for r in mine) == enc.encode(one.text) + b"\0\0\0\0"
+
+
+def test_run_and_empty_tables(spark, docs):
+    assert C.run(spark, SF).count() > 0
+    now = docs.limit(0)
+    for _, stage in C.STAGES:
+        now = stage(spark, now, SF)
+        assert now.count() == 0

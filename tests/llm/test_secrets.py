@@ -4,8 +4,6 @@ import random
 import re
 from collections import Counter
 
-from pyspark.sql import functions as F
-
 from tidefold.llm import secrets as S
 
 ASSIGN = re.compile(
@@ -99,11 +97,11 @@ def test_scan_equals_brute_force(spark):
 
 def test_digest_columns(spark):
     df = spark.createDataFrame([(1, "é token=abcdefgh1 AKIA123456789012"), (2, None)], "doc_id bigint, text string")
-    base = F.filter("secrets", lambda s: s["kind"] < 3)
-    rows = S.scan(df).select("doc_id", F.sha2(S.written(base), 256).alias("h"), S.written(F.col("secrets")).alias("w")).orderBy("doc_id").collect()
-    assert rows[0].w == "assign:2:17,access:18:34"
-    assert rows[0].h == hashlib.sha256(rows[0].w.encode()).hexdigest()
-    assert rows[1].h == hashlib.sha256(b"").hexdigest() and rows[1].w == ""
+    rows = S.digest(S.scan(df)).orderBy("doc_id").collect()
+    assert [tuple(r)[1:5] for r in rows] == [(1, 1, 0, 0), (0, 0, 0, 0)]
+    assert rows[0].spans == "assign:2:17,access:18:34"
+    assert rows[0].base_sha256 == hashlib.sha256(rows[0].spans.encode()).hexdigest()
+    assert rows[1].base_sha256 == hashlib.sha256(b"").hexdigest() and rows[1].spans == ""
 
 
 def test_redact(spark):

@@ -295,11 +295,19 @@ def redact(docs: DataFrame, text_col: str = "text", mark: str = "[SECRET]", **op
 
 def op3_secrets(spark, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    return digest(scan(docs))
+
+
+def digest(scanned: DataFrame) -> DataFrame:
+    """(doc_id, counts by kind, base_sha256, spans) of scanned documents."""
+
+    def count(kind: int) -> Column:
+        return F.size(F.filter("secrets", lambda s: s["kind"] == kind)).cast("long")
+
     base = F.filter("secrets", lambda s: s["kind"] < 3)
-    of_kind = [
-        F.size(F.filter("secrets", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{name}")
-        for k, name in enumerate(KINDS)
-    ]
-    return scan(docs).select(
-        "doc_id", *of_kind, F.sha2(written(base), 256).alias("base_sha256"), written(F.col("secrets")).alias("spans")
+    return scanned.select(
+        "doc_id",
+        *[count(k).alias(f"n_{name}") for k, name in enumerate(KINDS)],
+        F.sha2(written(base), 256).alias("base_sha256"),
+        written(F.col("secrets")).alias("spans"),
     )

@@ -291,7 +291,9 @@ def pseudonymise(
 
 def op4_surrogates(spark, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
-    counts = [
-        F.size(F.filter("entities", lambda e, k=k: e == k)).cast("long").alias(f"n_{k}") for k in KINDS
-    ]
+
+    def count(kind: str) -> Column:
+        return F.size(F.filter("entities", lambda e: e == kind)).cast("long")
+
+    counts = [count(kind).alias(f"n_{kind}") for kind in KINDS]
     return pseudonymise(docs, key="corpus").select("doc_id", "text", *counts)
