@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import bisect
 from collections.abc import Iterator
-from dataclasses import dataclass, field as default
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -84,33 +84,48 @@ class Model:
     scripts: dict[str, list[int]]
     longest: int = 3
     penalty: float = 6.0
-    words: dict[str, int] = default(default_factory=dict)
-
-    def score(self, word: str) -> tuple[np.ndarray, int]:
-        """Scores by language with UNKNOWN last, and the number of letters."""
-        letters = [c for c in word if c.isalpha()]
-        out = np.full(len(self.languages) + 1, FAR)
-        if not letters:
-            out[:] = 0.0
-            return out, 0
-        kinds = {"Latin"} if word.isascii() else {script(c) for c in letters}
-        some = sorted({k for s in kinds for k in self.scripts.get(s, ())})
-        if not some:
-            out[-1] = 0.0
-            return out, len(letters)
-        rows = [self.table.get(g, -1) for g in grams(word, self.longest)]
-        known = [r for r in rows if r >= 0]
-        sums = self.weights[known].sum(axis=0) + (len(rows) - len(known)) * self.unseen
+
+    def score(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Scores of words by language with UNKNOWN last, and their numbers of letters."""
+        get, unseen = self.table.get, len(self.table)
+        rows: list[int] = []
+        starts, letters, groups = [], [], []
+        kinds: dict[frozenset[str], int] = {frozenset(): 0, frozenset(["Latin"]): 1}
+        for word in words:
+            starts.append(len(rows))
+            rows.extend([get(g, unseen) for g in grams(word, self.longest)])
+            if word.isascii():
+                n = len(word) if word.isalpha() else sum(map(str.isalpha, word))
+                groups.append(1 if n else 0)
+            else:
+                own = [c for c in word if c.isalpha()]
+                n = len(own)
+                groups.append(kinds.setdefault(frozenset(map(script, own)), len(kinds)))
+            letters.append(n)
+        weights = np.vstack([self.weights, self.unseen])
         # Overlapping n-grams tell the same thing several times.
-        sums = sums[some] / self.longest
-        out[some] = np.maximum(sums - sums.max(), FAR)
-        return out, len(letters)
+        sums = np.add.reduceat(weights[rows], starts, axis=0) / self.longest
+        out = np.full((len(words), len(self.languages) + 1), FAR, np.float32)
+        group = np.array(groups)
+        for scripts, k in kinds.items():
+            at = np.flatnonzero(group == k)
+            some = sorted({x for s in scripts for x in self.scripts.get(s, ())})
+            if not scripts:
+                out[at] = 0.0
+            elif not some:
+                out[at, -1] = 0.0
+            else:
+                own = sums[np.ix_(at, some)]
+                own -= own.max(axis=1, keepdims=True)
+                out[np.ix_(at, some)] = np.maximum(own, FAR)
+        return out, np.array(letters, np.int64)
 
 
 class _Words(dict):
-    """Numbers of words; scores are computed when a word is first met."""
+    """Numbers of words; new ones are scored together by ``scored``."""
 
-    LIMIT = 300_000
+    LIMIT = 600_000
+    TOGETHER = 20_000
 
     def __init__(self, model: Model):
         self.model = model
@@ -118,16 +133,24 @@ class _Words(dict):
 
     def forget(self) -> None:
         self.clear()
-        self.scores: list[np.ndarray] = []
-        self.letters: list[int] = []
+        self.new: list[str] = []
+        self.scores = np.zeros((0, len(self.model.languages) + 1), np.float32)
+        self.letters = np.zeros(0, np.int64)
 
     def __missing__(self, word: str) -> int:
-        scores, letters = self.model.score(word)
-        self[word] = number = len(self.letters)
-        self.scores.append(scores)
-        self.letters.append(letters)
+        self[word] = number = len(self)
+        self.new.append(word)
         return number
 
+    def scored(self) -> tuple[np.ndarray, np.ndarray]:
+        """Scores and letters by number."""
+        cuts = range(0, len(self.new), self.TOGETHER)
+        parts = [self.model.score(self.new[k : k + self.TOGETHER]) for k in cuts]
+        self.new = []
+        self.scores = np.concatenate([self.scores, *[p for p, _ in parts]])
+        self.letters = np.concatenate([self.letters, *[p for _, p in parts]])
+        return self.scores, self.letters
+
 
 def best_paths(scores: np.ndarray, sizes: np.ndarray, penalty: float) -> np.ndarray:
     """States of the best path of each text; ``scores`` holds the texts' words end to end.
@@ -283,9 +306,9 @@ def identify(
             words.forget()
         get = words.__getitem__
         numbers = np.fromiter((get(w) for p in parts for w in p), np.int64, int(sizes.sum()))
-        letters = np.array(words.letters, np.int64)[numbers] if len(numbers) else numbers
-        scores = np.array(words.scores)[numbers] if len(numbers) else np.zeros((0, len(names)))
-        states = best_paths(scores, sizes, model.penalty)
+        scores, letters = words.scored()
+        letters = letters[numbers]
+        states = best_paths(scores[numbers], sizes, model.penalty)
         doc = np.repeat(np.arange(len(texts)), sizes)
         held = np.zeros((len(texts), len(names)))
         np.add.at(held, (doc, states), letters)
