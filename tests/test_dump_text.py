@@ -129,7 +129,7 @@ def test_windows_line_ends_and_coordinates_without_semicolon(spark, tmp_path):
         "CREATE TABLE `t` (\n  `a` int,\n  PRIMARY KEY (`a`)\n);\n-- rows\nINSERT INTO `t` VALUES (1),\n(2);\n"
     )
     (tmp_path / "t.sql").write_bytes(text.replace("\n", "\r\n").encode())
-    statements = dump_text.read_statements(spark, str(tmp_path), line_end="\r\n")
+    statements = dump_text.read_statements(spark, str(tmp_path), line_end=None)
     assert dump_text.head_position(statements) == Position("b.1", 5)
     cols = dump_text.head_columns(statements)
     assert cols == [Column("a", "int", 0, True)]
@@ -146,12 +146,57 @@ def test_misfits_are_reported_not_dropped(spark):
         dump_text.require_good(dump_text.dump_rows(df, cols)).collect()
 
 
-def test_position_missing(spark):
+def test_position_missing_and_large(spark):
     df = spark.createDataFrame([("f", "-- nothing"), ("g", "MASTER_LOG_FILE='b', MASTER_LOG_POS=99999999999")], "file string, value string").withColumn("ord", F.lit(0))
-    got = dump_text.dump_position(df)
-    assert all(r["logpos"] is None and r["logfile"] is None for r in got.collect())
-    with pytest.raises(ValueError, match="not found"):
-        dump_text.head_position(df.withColumn("block", F.lit(0)))
+    got = sorted(map(tuple, dump_text.dump_position(df).collect()))
+    assert got == [("f", None, None), ("g", "b", 99999999999)]
+    with pytest.raises(ValueError, match="names no log position"):
+        dump_text.head_position(df.where("file = 'f'").withColumn("block", F.lit(0)))
+    beyond = df.withColumn("value", F.lit("MASTER_LOG_FILE='b', MASTER_LOG_POS=99999999999999999999"))
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT|cannot be cast"):
+        dump_text.dump_position(beyond).collect()
+
+
+SHORT = [Column("a", "int", 0, True), Column("b", "varchar(9)", 1)]
+
+
+def loaded(spark, folder, text):
+    (folder / "t.sql").write_bytes(text.encode())
+    statements = dump_text.read_statements(spark, str(folder))
+    rows = dump_text.require_good(dump_text.dump_rows(statements, SHORT)).drop("_id")
+    return sorted(tuple(r) for r in rows.collect())
+
+
+@pytest.mark.parametrize("end", [";\n", ";\r\n", "; \n", ";\t \r\n"])
+def test_line_ends_and_blanks_after_statements(spark, tmp_path, end):
+    text = "-- d;x\nCREATE TABLE `t` (`a` int);\nINSERT INTO `t` VALUES (1,'x; y'),(2,NULL);\nINSERT INTO `t` VALUES\n(3,'z') , (4,'');\n"
+    line = end[1:].lstrip(" \t")
+    text = text.replace(";\n", "@").replace("\n", line).replace("@", end)
+    want = [(1, "x; y"), (2, None), (3, "z"), (4, "")]
+    assert loaded(spark, tmp_path, text) == want
+    assert loaded(spark, tmp_path, text.rstrip()) == want
+
+
+@pytest.mark.parametrize(
+    "text",
+    [
+        "INSERT INTO `t` VALUES (1,'Kabul'),(2,f(3)),(4,'q');\n",
+        "INSERT INTO `t` VALUES (4,'x;\ny'),(5,'z');\n",
+        "INSERT INTO `t` VALUES (1,'a'),(2,'b",
+        "INSERT INTO `t` VALUES (1,'a'),",
+        "INSERT INTO `t` VALUES (1,'a') (2,'b');\n",
+        "INSERT INTO `t` VALUES (1,'a'); INSERT INTO `t` VALUES (2,'b');\n",
+        "INSERT INTO `t` SELECT 1;\n",
+        "INSERT INTO `t` VALUES;\n",
+    ],
+)
+def test_what_cannot_be_read_whole_fails_and_is_reported(spark, tmp_path, text):
+    good = "INSERT INTO `t` VALUES (9,'ok');\n"
+    with pytest.raises(Exception, match="do not fit: INSERT"):
+        loaded(spark, tmp_path, good + text)
+    statements = dump_text.read_statements(spark, str(tmp_path))
+    assert dump_text.dump_rejects(statements).count() >= 1
+    assert dump_text.dump_rows(statements, SHORT).where("a = 9").count() == 1
 
 
 def test_round_trip_of_written_statements(spark):

@@ -143,8 +143,8 @@ def test_merge_pieces_combine(case):
 
 def test_dropped_updates_equal_sequential_replay(case):
     rows, changes = case
-    for hot_rows in (10**6, 8, 0):
-        got = fold.dropped_updates(changes, KEY, hot_rows)
+    for bucket_bytes in (1 << 26, 300, 1):
+        got = fold.dropped_updates(changes, KEY, bucket_bytes)
         got = got.select("case", "k", "logfile", "logpos", "row_idx").collect()
         assert sorted(tuple(r) for r in got) == model(rows, False)[1]
 

@@ -33,17 +33,8 @@ def brute(rows, keyed, inclusive):
 
 @pytest.mark.parametrize("bucket,block", [(1, 1), (7, 3), (50, None), (10000, 10)])
 @pytest.mark.parametrize("inclusive", [True, False])
-@pytest.mark.parametrize(
-    "keyed,hot_rows,most",
-    [
-        (False, 0, 9),
-        (True, 0, 9),  # all keys are cut up
-        (True, 120, 9),  # the hot one only
-        (True, 10**6, 9),  # none
-        (True, 0, 1),  # more hot keys than may be listed
-    ],
-)
-def test_carry_forward(spark, bucket, block, keyed, inclusive, hot_rows, most):
+@pytest.mark.parametrize("keyed", [False, True])
+def test_carry_forward(spark, bucket, block, keyed, inclusive):
     rows = list({r[0]: r for r in random_rows()}.values())
     random.Random(1).shuffle(rows)
     df = spark.createDataFrame(rows, "o bigint, k string, v string")
@@ -57,8 +48,6 @@ def test_carry_forward(spark, bucket, block, keyed, inclusive, hot_rows, most):
         block=None if block is None else F.floor(b / block),
         keys=["k"] if keyed else [],
         inclusive=inclusive,
-        hot_rows=hot_rows,
-        most_hot_keys=most,
     )
     assert {r["o"]: r["last"] for r in got.collect()} == brute(rows, keyed, inclusive)
     assert got.columns == ["o", "k", "v", "last"]
@@ -84,7 +73,7 @@ def test_status_transitions_with_small_buckets(spark):
         ("u", 501, "dumped"),
     ]
     df = spark.createDataFrame(log, "tbl string, seq bigint, status string")
-    got = registry.status_transitions(df, bucket_size=3, buckets_per_block=2, hot_rows=0)
+    got = registry.status_transitions(df, bucket_size=3, buckets_per_block=2)
     legal = {(r["tbl"], r["seq"]): r["legal"] for r in got.collect()}
     assert all(legal["t", 10 * i] for i in range(7))
     assert [legal["u", s] for s in (1, 500, 501)] == [False, True, False]
@@ -99,8 +88,27 @@ def test_position_order_and_bounds(spark):
     wide = spark.createDataFrame(
         [("binlog.999999", 9, "binlog.1000000", 1)], "f1 string, p1 int, f2 string, p2 int"
     )
-    text = positions.compare_positions(positions.position("f1", "p1"), positions.position("f2", "p2"))
+    text = positions.compare_positions(positions.text_position("f1", "p1"), positions.text_position("f2", "p2"))
     number = positions.compare_positions(
-        positions.numeric_position("f1", "p1"), positions.numeric_position("f2", "p2")
+        positions.position("f1", "p1"), positions.position("f2", "p2")
     )
     assert tuple(wide.select(text, number).first()) == ("first_newer", "second_newer")
+    assert Position("binlog.999999", 9) < Position("binlog.1000000", 1)
+    log = spark.createDataFrame([("binlog.999999", 9), ("binlog.1000000", 1)], "logfile string, logpos bigint")
+    assert tuple(ordering.high_water_mark(log).first()) == ("binlog.1000000", 1)
+    assert log.where(positions.after(Position("binlog.999999", 9))).count() == 1
+    assert log.where(positions.until(Position("binlog.999999", 9))).count() == 1
+
+
+def test_building_carried_values_starts_no_job(spark):
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("carried", "")
+    try:
+        for n in (1, 1000):
+            rows = spark.range(n).selectExpr("id o", "'k' k", "'v' v")
+            ordering.carry_forward(
+                rows, value=F.col("v"), into="last", order=["o"], bucket=F.col("o"), keys=["k"]
+            )
+        assert list(tracker.getJobIdsForGroup("carried")) == []
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)

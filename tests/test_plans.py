@@ -4,10 +4,14 @@ import re
 
 import pytest
 
-import __spark_entry__ as contract
+from tidefold.model import Position
+from tidefold.operators.catchup import catchup_range
+from tidefold.operators.fold import snapshot_plus_log
+from tidefold.plans import QUERIES
 
 SF = "/root/testdata/sf0.001"
 WRITING = {"fan_out", "change_source", "stream_apply", "stream_checkpoint", "stream_fan_out"}
+WRITING |= {"dump_rows", "dump_rows_pages", "dump_rows_documents", "dump_columns", "dump_rejects"}
 
 
 @pytest.fixture
@@ -18,18 +22,18 @@ def no_broadcast(spark):
 
 
 def plan_of(spark, name):
-    df = contract.queries()[name](spark, SF)
+    df = QUERIES[name](spark, SF)
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(set(contract.queries()) - WRITING))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - WRITING))
 def test_no_cross_join_and_no_python(spark, no_broadcast, name):
     plan = plan_of(spark, name)
     assert not re.search(r"Cartesian|NestedLoop|Python|Pandas|MapIn", plan)
 
 
 @pytest.mark.parametrize(
-    "name", ["apply_changes", "apply_changes_lineitem", "merge_changes", "net_actions", "snapshot_plus_log"]
+    "name", ["apply_changes", "apply_changes_lineitem", "merge_changes", "net_actions"]
 )
 def test_fold_is_one_shuffle_with_partial_aggregates(spark, name):
     plan = plan_of(spark, name)
@@ -42,3 +46,57 @@ def test_filters_and_columns_reach_the_scan(spark):
     assert "ReadSchema: struct<event_id:bigint,user_id:bigint,event_type:string,value:double>" in plan
     plan = plan_of(spark, "reconcile")
     assert "o_custkey" not in plan
+
+
+def _below_exchanges(plan):
+    """The plan lines below each shuffle."""
+    lines = plan.splitlines()
+    depth = lambda x: len(x) - len(x.lstrip(" :+-"))
+    for k, line in enumerate(lines):
+        if "Exchange hashpartitioning" in line:
+            for x in lines[k + 1 :]:
+                if depth(x) <= depth(line):
+                    break
+                yield x
+
+
+def test_a_bucketed_snapshot_is_not_moved(spark, no_broadcast):
+    rows = spark.range(1000).selectExpr("id", "id * 2 v")
+    spark.sql("drop table if exists plan_snapshot")
+    rows.write.bucketBy(8, "id").sortBy("id").saveAsTable("plan_snapshot")
+    try:
+        log = spark.range(90).selectExpr(
+            "id * 13 id", "id v", "'b.1' logfile", "id + 1 logpos", "0 row_idx",
+            "case id % 3 when 0 then 'insert' when 1 then 'update' else 'delete' end op",
+        )
+        snapshot = spark.table("plan_snapshot")
+        got = snapshot_plus_log(snapshot, log, Position("b.0", 0), ["id"], ["v"])
+        want = {i: i * 2 for i in range(1000)}
+        for i in range(90):
+            if i % 3 == 0 or (i % 3 == 1 and i * 13 in want):
+                want[i * 13] = i
+            elif i % 3 == 2:
+                want.pop(i * 13, None)
+        plan = got._jdf.queryExecution().executedPlan().toString()
+        assert {r.id: r.v for r in got.collect()} == want
+        assert "plan_snapshot" in plan
+        assert not any("plan_snapshot" in x for x in _below_exchanges(plan))
+    finally:
+        spark.sql("drop table if exists plan_snapshot")
+
+
+def test_a_crossing_replay_is_bounded_on_both_sides(spark, tmp_path):
+    log = spark.range(100).selectExpr(
+        "concat('b.', lpad(id div 10, 3, '0')) logfile", "id % 10 logpos", "'t' tbl"
+    )
+    log.write.partitionBy("logfile").parquet(str(tmp_path / "log"))
+    read = spark.read.parquet(str(tmp_path / "log"))
+    got = catchup_range(read, Position("b.002", 3), Position("b.004", 5), crossing=True)
+    assert got.count() == 22
+    spark.conf.set("spark.sql.maxMetadataStringLength", "10000")
+    try:
+        plan = got._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.maxMetadataStringLength")
+    filters = re.findall(r"PartitionFilters: \[(.*?)\], PushedFilters", plan)
+    assert any(">= 2" in f and "<= Subquery" in f for f in filters), filters

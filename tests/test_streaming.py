@@ -98,9 +98,13 @@ def test_log_folders_are_pruned(spark, tmp_path):
         ).select("logfile", "logpos")
     )
     assert len(part.inputFiles()) >= 2
-    plan = part._jdf.queryExecution().executedPlan().toString()
+    spark.conf.set("spark.sql.maxMetadataStringLength", "10000")
+    try:
+        plan = part._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.maxMetadataStringLength")
     pruned = plan.split("PartitionFilters: ")[1].split("]")[0]
-    assert ">= binlog.000003" in pruned and "<= binlog.000004" in pruned
+    assert ">= 3)" in pruned and "<= 4)" in pruned
 
 
 def test_fan_out_with_a_failing_sink(spark, tmp_path):

@@ -134,7 +134,7 @@ def test_unusable_dumps_stop_the_load(spark, config, tmp_path):
     for old, new, error in (
         ("char(35)", "enum('a','b')", "enum"),
         ("  PRIMARY KEY (`ID`)\n", "  KEY (`ID`)\n", "primary key"),
-        ("MASTER_LOG_POS=100", "", "coordinates"),
+        ("MASTER_LOG_POS=100", "", "log position"),
         ("`Name`", "`op`", "reserved"),
         ("'Kabul',1780000", "'Kabul','many'", "do not fit"),
     ):

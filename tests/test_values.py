@@ -22,6 +22,33 @@ def test_printed_floats(spark):
     assert [r[0] for r in got] == list(PRINTED.values())
 
 
+@pytest.mark.parametrize(
+    "left,right,same",
+    [
+        ("cast('1.50' as decimal(10,2))", "1.5D", True),
+        ("cast('1.50' as decimal(10,2))", "cast('1.5' as decimal(12,4))", True),
+        ("cast('1.50' as binary)", "cast('1.5' as decimal(10,2))", True),
+        ("cast('0.1' as float)", "0.1D", True),
+        ("cast('0.1' as float)", "cast('0.1' as binary)", True),
+        ("cast('0.1' as float)", "cast('0.1' as decimal(3,1))", True),
+        ("cast('0.1' as float)", "0.2D", False),
+        ("cast('2.5' as decimal(10,2))", "2", False),
+        ("cast(null as decimal(10,2))", "0.0D", False),
+        ("cast(null as float)", "cast(null as double)", True),
+    ],
+)
+def test_decimals_and_floats_compare_as_printed(spark, left, right, same):
+    df = spark.range(1).selectExpr(f"{left} a", f"{right} b")
+    assert df.select(values.lenient_equal(df, "a", "b")).first()[0] is same
+
+
+def test_dates_in_documents_have_the_format_of_the_mapping(spark):
+    df = spark.sql("select timestamp'2024-01-02 03:04:05' a, timestamp_ntz'2024-01-02 03:04:05' b, date'2024-01-02' c, array('a', 'b', 'c') p")
+    text = '{"a":"2024-01-02 03:04:05","b":"2024-01-02 03:04:05","c":"2024-01-02"}'
+    assert df.select(documents.document(["a", "b", "c"])).first()[0] == text
+    assert df.select(documents.document(["a", "b", "c"], present="p")).first()[0] == text
+
+
 def test_rendered_and_generated_ids(spark):
     df = spark.createDataFrame(
         [(12, "a", 0.5, bytearray(b"AB")), (1, None, 1e6, None)], "i int, s string, d double, b binary"

@@ -4,9 +4,11 @@ The configuration is a JSON object:
 
     {"schema": "world", "log": "<folder of row events>", "log_format": "json",
      "target": "<shared folder>", "dumps": {"city": "<folder of its dump>"},
-     "bulk_text": "<folder>", "available_now": false}
+     "bulk_text": "<folder>", "available_now": false,
+     "interval": "1 second", "bytes_per_trigger": 1073741824}
 
-``bulk_text`` is optional and adds bulk request text for a search index.
+``bulk_text`` is optional and adds bulk request text for a search index.  ``interval`` and
+``bytes_per_trigger`` say how often the log is looked at and how much one batch takes.
 """
 
 from __future__ import annotations
@@ -34,7 +36,10 @@ def main(path: str) -> None:
         ),
     )
     spark = build_session()
-    query = follow(spark, config, load(spark, config), given.get("available_now", False))
+    options = {k: given[k] for k in ("interval", "bytes_per_trigger") if k in given}
+    query = follow(
+        spark, config, load(spark, config), given.get("available_now", False), **options
+    )
     query.awaitTermination()
 
 

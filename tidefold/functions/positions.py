@@ -11,29 +11,38 @@ FIRST_NEWER, SECOND_NEWER, EQUAL = "first_newer", "second_newer", "equal"
 
 
 def position(logfile: Column | str = "logfile", logpos: Column | str = "logpos") -> Column:
-    """A position struct; struct comparison is (logfile, logpos) order."""
+    """A position struct; struct comparison is log order.
+
+    Files are ordered by number, which stays right when the number gains a digit, and
+    by name where the names end in none.
+    """
+    return F.struct(
+        file_number(logfile).alias("file_no"),
+        _col(logfile).alias("logfile"),
+        _col(logpos).alias("logpos"),
+    )
+
+
+def text_position(
+    logfile: Column | str = "logfile", logpos: Column | str = "logpos"
+) -> Column:
+    """A position struct in text order, where .999999 is after .1000000."""
     return F.struct(_col(logfile).alias("logfile"), _col(logpos).alias("logpos"))
 
 
 def sequence() -> Column:
     """The total order of change rows."""
-    return F.struct(*SEQ)
+    return ordered(*SEQ)
 
 
-def file_number(logfile: Column | str = "logfile") -> Column:
-    """Numeric suffix of a log file name."""
-    return F.regexp_extract(_col(logfile), r"(\d+)$", 1).try_cast("bigint")
+def ordered(*columns: str | Column) -> Column:
+    """A struct of columns that begin with the log file's name, in log order."""
+    return F.struct(file_number().alias("file_no"), *columns)
 
 
-def numeric_position(logfile: Column | str = "logfile", logpos: Column | str = "logpos") -> Column:
-    """Position ordered by the file's numeric suffix, which stays right when the
-    suffix grows a digit (plain text order puts .999999 after .1000000)."""
-    name = _col(logfile)
-    return F.struct(
-        F.regexp_replace(name, r"\d+$", "").alias("base"),
-        file_number(name).alias("number"),
-        _col(logpos).alias("logpos"),
-    )
+def file_number(logfile: Column | str = "logfile") -> Column:
+    """The number after the last dot of a log file name; null where there is none."""
+    return F.substring_index(_col(logfile), ".", -1).try_cast("bigint")
 
 
 def compare_positions(first: Column, second: Column) -> Column:
@@ -44,18 +53,24 @@ def compare_positions(first: Column, second: Column) -> Column:
 
 
 def after(start: Position) -> Column:
-    """Strictly after ``start``.  Spelt on plain columns, with a bound on the file
-    alone, so that it prunes the folders of a log kept by file."""
-    return (F.col("logfile") >= start.logfile) & (
-        (F.col("logfile") > start.logfile) | (F.col("logpos") > start.logpos)
-    )
+    """Strictly after ``start``.  Spelt with a bound on the file alone, so that it
+    prunes the folders of a log kept by file."""
+    file, bound = _file_and(start)
+    return (file >= bound) & ((file > bound) | (F.col("logpos") > start.logpos))
 
 
 def until(end: Position) -> Column:
     """Up to and including ``end``."""
-    return (F.col("logfile") <= end.logfile) & (
-        (F.col("logfile") < end.logfile) | (F.col("logpos") <= end.logpos)
-    )
+    file, bound = _file_and(end)
+    return (file <= bound) & ((file < bound) | (F.col("logpos") <= end.logpos))
+
+
+def _file_and(at: Position) -> tuple[Column, Column]:
+    """What to compare log files by, and a position's file as that."""
+    if at.file_no is None:
+        return F.col("logfile"), F.lit(at.logfile)
+    # Names without a number come before all others.
+    return F.coalesce(file_number(), F.lit(-1)), F.lit(at.file_no).cast("bigint")
 
 
 def _col(value: Column | str) -> Column:

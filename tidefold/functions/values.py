@@ -9,7 +9,8 @@ from pyspark.sql import types as T
 from tidefold.model import NIL
 
 INTEGRAL = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
-NUMERIC = (*INTEGRAL, T.FloatType, T.DoubleType)
+EXACT = (*INTEGRAL, T.DecimalType)
+NUMERIC = (*EXACT, T.FloatType, T.DoubleType)
 
 
 # Shortest float text: 900, 0.5, 1e+06, 1.5e-05.  Digits come from Spark's own text
@@ -63,10 +64,17 @@ def printed(df: DataFrame, name: str) -> Column:
     return F.when(column.isNull(), NIL).otherwise(text)
 
 
+def _as_printed(value: Column) -> Column:
+    """A float as the double that prints alike, which widening does not give."""
+    return value.cast("string").cast("double")
+
+
 def numeric_side(df: DataFrame, name: str) -> Column:
     """The value as a double: numbers, and byte strings that parse; text is 0."""
     column, kind = F.col(name), df.schema[name].dataType
-    if isinstance(kind, NUMERIC):
+    if isinstance(kind, T.FloatType):
+        number = _as_printed(column)
+    elif isinstance(kind, NUMERIC):
         number = column.cast("double")
     elif isinstance(kind, T.BinaryType):
         number = column.cast("string").try_cast("double")
@@ -82,10 +90,15 @@ def lenient_equal(df: DataFrame, left: str, right: str) -> Column:
     are equal, so text is only made where the types differ.
     """
     kinds = [df.schema[name].dataType for name in (left, right)]
-    if all(isinstance(k, INTEGRAL) for k in kinds):
+    if all(isinstance(k, EXACT) for k in kinds):
         return F.col(left).eqNullSafe(F.col(right))
     if all(isinstance(k, NUMERIC) for k in kinds):
-        return F.col(left).cast("double").eqNullSafe(F.col(right).cast("double"))
+        same = F.col(left).cast("double").eqNullSafe(F.col(right).cast("double"))
+        if kinds[0] != kinds[1] and any(isinstance(k, T.FloatType) for k in kinds):
+            same = same | (numeric_side(df, left) == numeric_side(df, right)) & (
+                F.col(left).isNotNull() & F.col(right).isNotNull()
+            )
+        return same
     a, b = numeric_side(df, left), numeric_side(df, right)
     same_number = (a != 0) & (b != 0) & (a == b)
     numbers = all(isinstance(k, (*NUMERIC, T.BinaryType)) for k in kinds)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import total_ordering
 
 from pyspark.sql import types as T
 
@@ -38,13 +39,26 @@ META = (*SEQ, "op")
 RESERVED = (*META, "present", "boundary", "latest")
 
 
-@dataclass(frozen=True, order=True)
+@total_ordering
+@dataclass(frozen=True)
 class Position:
-    """A log coordinate, known on the driver."""
+    """A log coordinate, known on the driver; ordered as ``positions.position`` is."""
 
     logfile: str = DEFAULT_LOGFILE
     logpos: int = DEFAULT_LOGPOS
 
+    @property
+    def file_no(self) -> int | None:
+        """The number after the last dot of the file's name."""
+        number = self.logfile.rpartition(".")[2]
+        return int(number) if number.isascii() and number.isdigit() else None
+
+    def __lt__(self, other: Position) -> bool:
+        return self._order() < other._order()
+
+    def _order(self) -> tuple[int, str, int]:
+        return (-1 if self.file_no is None else self.file_no, self.logfile, self.logpos)
+
 
 @dataclass(frozen=True)
 class Column:

@@ -9,6 +9,7 @@ from tidefold.functions.positions import (
     FIRST_NEWER,
     SECOND_NEWER,
     compare_positions,
+    file_number,
     position,
 )
 from tidefold.model import Position
@@ -33,18 +34,23 @@ def catchup_range(
     tables: list[str] | None = None,
     crossing: bool = False,
 ) -> DataFrame:
-    """Changes in (start, end] of some tables; all bounds reach the scan.
+    """Changes in (start, end] of some tables; both bounds reach the scan.
 
     A replay that stops at the first event not before ``end`` applies that event
     too, which matters when ``end`` lies inside an event: ``crossing`` keeps it.
     """
     replayed = bounded(changes, start, end)
     if crossing:
-        beyond = bounded(changes, start).where(position() >= _literal(end))
-        first = beyond.select(F.min(position())).scalar()
-        replayed = bounded(changes, start).where(
-            (position() <= _literal(end)) | (position() == first)
-        )
+        # Files from the end's on are looked through for the first event there, and
+        # that event's file bounds the replay; both bounds are on the file alone too.
+        before_end = Position(end.logfile, end.logpos - 1)
+        beyond = bounded(changes, max(start, before_end))
+        first = beyond.agg(F.min(position()).alias("p"))
+        last = first.select(F.coalesce("p.file_no", F.lit(end.file_no).cast("bigint"))).scalar()
+        inside = (position() <= _literal(end)) | (position() == first.select("p").scalar())
+        replayed = bounded(changes, start).where(inside)
+        if end.file_no is not None:
+            replayed = replayed.where(F.coalesce(file_number(), F.lit(-1)) <= last)
     return replayed.where(F.col("tbl").isin(tables)) if tables else replayed
 
 

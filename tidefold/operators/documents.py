@@ -15,6 +15,14 @@ from tidefold.model import DATE_FORMAT, DELETE, INSERT, UPDATE
 BULK_ACTIONS = {INSERT: "index", UPDATE: "update", DELETE: "delete"}
 # End of fixed values.
 
+# Dates as the mapping's format has them; binary fields are base64 text.
+JSON = {
+    "ignoreNullFields": "false",
+    "timestampFormat": "yyyy-MM-dd HH:mm:ss",
+    "timestampNTZFormat": "yyyy-MM-dd HH:mm:ss",
+    "dateFormat": "yyyy-MM-dd",
+}
+
 
 def type_mapping(catalog: DataFrame) -> DataFrame:
     """Catalog columns with their index type and, for dates, its format."""
@@ -41,14 +49,13 @@ def document(columns: Sequence[str], present: str | None = None) -> SparkColumn:
     With ``present``, the name of a column that lists the fields a document has,
     the others are left out; a null that is listed stays.
     """
-    keep_nulls = {"ignoreNullFields": "false"}
     if present is None:
-        return F.to_json(F.struct(*columns), keep_nulls)
+        return F.to_json(F.struct(*columns), JSON)
     # Each field as a document of its own, without the braces.
     fields = [
         F.when(
             F.array_contains(present, c),
-            F.regexp_extract(F.to_json(F.struct(c), keep_nulls), r"(?s)^\{(.*)\}$", 1),
+            F.regexp_extract(F.to_json(F.struct(c), JSON), r"(?s)^\{(.*)\}$", 1),
         )
         for c in columns
     ]

@@ -16,9 +16,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidefold.functions.positions import after, sequence
+from tidefold.functions.positions import after, file_number, ordered, sequence
 from tidefold.model import DELETE, INSERT, META, SEQ, UPDATE, Position
-from tidefold.operators.ordering import HOT_ROWS, carry_forward
+from tidefold.operators.ordering import carry_forward
 
 
 def fold_state(changes: DataFrame, key: Sequence[str], doc: Sequence[str]) -> DataFrame:
@@ -27,8 +27,8 @@ def fold_state(changes: DataFrame, key: Sequence[str], doc: Sequence[str]) -> Da
     # The document of a delete is never read again: keep it out of the shuffle.
     document = F.when(F.col("op") != DELETE, F.struct(*doc))
     return changes.groupBy(*key).agg(
-        F.max(F.when(is_boundary, F.struct(*META))).alias("boundary"),
-        F.max(F.struct(*META, document.alias("doc"))).alias("latest"),
+        F.max(F.when(is_boundary, ordered(*META))).alias("boundary"),
+        F.max(ordered(*META, document.alias("doc"))).alias("latest"),
     )
 
 
@@ -67,7 +67,7 @@ def net_actions(state: DataFrame, key: Sequence[str]) -> DataFrame:
 
 def apply_insert(inserts: DataFrame, key: Sequence[str], doc: Sequence[str]) -> DataFrame:
     """Upsert-replace: the last inserted document of each key."""
-    last = F.max(F.struct(*SEQ, F.struct(*doc).alias("doc"))).alias("last")
+    last = F.max(ordered(*SEQ, F.struct(*doc).alias("doc"))).alias("last")
     return inserts.where(F.col("op") == INSERT).groupBy(*key).agg(last).select(*key, "last.doc.*")
 
 
@@ -78,7 +78,7 @@ def apply_update(
 
     Updates are reduced to one per key before the join, so a hot key joins once.
     """
-    last = F.max(F.struct(*SEQ, F.struct(*doc).alias("doc")))["doc"].alias("new")
+    last = F.max(ordered(*SEQ, F.struct(*doc).alias("doc")))["doc"].alias("new")
     newest = updates.where(F.col("op") == UPDATE).groupBy(*key).agg(last)
     written = [
         F.when(F.col("new").isNotNull(), F.col(f"new.{c}")).otherwise(F.col(c)).alias(c)
@@ -155,23 +155,23 @@ def merge_changes(changes: DataFrame, key: Sequence[str], doc: Sequence[str]) ->
 
 
 def dropped_updates(
-    changes: DataFrame, key: Sequence[str], hot_rows: int = HOT_ROWS
+    changes: DataFrame, key: Sequence[str], bucket_bytes: int = 1 << 26
 ) -> DataFrame:
     """Updates that hit a key which does not exist at that moment.
 
-    The last insert or delete before an update is carried along the key.  A key
-    with more than ``hot_rows`` changes is cut up by log file, whose size is
-    bounded, so one that holds a third of all changes is spread over many tasks.
+    The last insert or delete before an update is carried along the key, in parts
+    of ``bucket_bytes`` of each log file, so a key that holds a third of all
+    changes is spread over many tasks, in one large log file too.
     """
     seen = carry_forward(
         changes,
         value=F.when(F.col("op") != UPDATE, F.col("op")),
         into="_before",
         order=SEQ,
-        bucket=F.col("logfile"),
+        bucket=F.floor(F.col("logpos") / F.lit(bucket_bytes)),
+        block=F.struct(file_number(), "logfile"),
         keys=key,
         inclusive=False,
-        hot_rows=hot_rows,
     )
     missed = F.coalesce(F.col("_before"), F.lit(DELETE)) == DELETE
     return seen.where((F.col("op") == UPDATE) & missed).drop("_before")
@@ -184,11 +184,20 @@ def snapshot_plus_log(
     key: Sequence[str],
     doc: Sequence[str],
 ) -> DataFrame:
-    """Snapshot rows as inserts at their position, and the log after it, folded.
+    """The snapshot with the log after its position folded onto it.
 
     Changes at or before the position are already in the snapshot; the bound
-    prunes the log's folders.
+    prunes the log's folders.  The log is folded to one action a key, and only
+    those are joined: a snapshot kept with ``save_bucketed`` is not moved, nor is
+    any snapshot when the actions are few enough to broadcast.  Keys are unique in
+    the snapshot.
     """
-    columns = [*key, *doc, *META]
-    later = log.where(after(taken_at)).select(*columns)
-    return apply_changes(snapshot.select(*columns).unionByName(later), key, doc)
+    key = list(key)
+    later = fold_state(log.where(after(taken_at)), key, doc)
+    actions = net_actions(later, key).select(*key, F.col("op").alias("_op"), F.col("doc").alias("_doc"))
+    rows = snapshot.select(*key, *doc)
+    kept = rows.join(actions, key, "left").where(F.col("_op").isNull() | (F.col("_op") != DELETE))
+    written = [F.when(F.col("_op").isNotNull(), F.col(f"_doc.{c}")).otherwise(F.col(c)).alias(c) for c in doc]
+    held = rows.select(*key).join(actions.select(*key), key, "left_semi")
+    new = actions.where(F.col("_op") == INSERT).join(held, key, "left_anti")
+    return kept.select(*key, *written).unionByName(new.select(*key, "_doc.*"))

@@ -1,11 +1,10 @@
 """Order-dependent operators without a single ordered partition.
 
 A value that the next rows inherit (the current log file, the last status, the
-last insert or delete of a key) is carried by a window over the key, where every
-key fits one task.  A key that does not is cut into buckets: the value is carried
-inside small buckets, across the buckets of a block, and across blocks.  No task
-ever holds more than one bucket of rows, or a run of one-row bucket summaries,
-whatever share of the rows belongs to one key.
+last insert or delete of a key) is carried inside small buckets of a key, across
+the buckets of a block, and across blocks.  No task ever holds more than one bucket
+of rows, or a run of one-row bucket summaries, whatever share of the rows belongs
+to one key.
 """
 
 from __future__ import annotations
@@ -19,12 +18,6 @@ from tidefold.functions.positions import position
 from tidefold.model import DEFAULT_LOGFILE, DEFAULT_LOGPOS, ROTATE_EVENT
 
 
-# Rows of one key that one task is given without cutting the key up.
-HOT_ROWS = 1_000_000
-# A list of hot keys up to this length is broadcast.
-MOST_HOT_KEYS = 50_000
-
-
 def carry_forward(
     rows: DataFrame,
     *,
@@ -35,8 +28,6 @@ def carry_forward(
     block: Column | None = None,
     keys: Sequence[str] = (),
     inclusive: bool = True,
-    hot_rows: int = HOT_ROWS,
-    most_hot_keys: int = MOST_HOT_KEYS,
 ) -> DataFrame:
     """Add ``into``: the last non-null ``value`` before each row in ``order``.
 
@@ -45,53 +36,29 @@ def carry_forward(
     themselves be too many for one task.  ``inclusive`` counts the row itself.
     Key columns must not be null.
 
-    With keys, a first job counts rows per key, so that only keys with more than
-    ``hot_rows`` rows are cut into buckets.
+    The plan is the same for every size, and building it starts no job.
     """
     keys, columns = list(keys), rows.columns
-    rows = rows.withColumn("_value", value)
-    reach = (Window.unboundedPreceding, 0 if inclusive else -1)
-
-    def last_in(*partition: str) -> Column:
-        window = Window.partitionBy(*partition).orderBy(*order).rowsBetween(*reach)
-        return F.last("_value", ignorenulls=True).over(window)
-
-    hot = _hot_keys(rows, keys, hot_rows, most_hot_keys) if keys else None
-    if hot is not None and hot.isEmpty():
-        return rows.select(*columns, last_in(*keys).alias(into))
-
-    # Rows of other keys get null buckets: each such key is one bucket by itself.
     group = [*keys, "_block", "_bucket"] if block is not None else [*keys, "_bucket"]
     cut = {"_bucket": bucket} | ({"_block": block} if block is not None else {})
-    if hot is not None:
-        rows = rows.join(F.broadcast(hot), keys, "left")
-        cut = {name: F.when(F.col("_hot"), column) for name, column in cut.items()}
-    rows = rows.withColumns(cut)
+    rows = rows.withColumn("_value", value).withColumns(cut)
+    window = Window.partitionBy(*group).orderBy(*order)
+    window = window.rowsBetween(Window.unboundedPreceding, 0 if inclusive else -1)
 
     # One row per bucket that exists, summed up on the map side first.
     last = F.max(
         F.when(F.col("_value").isNotNull(), F.struct(*order, F.col("_value").alias("value")))
     )
-    bucketed = rows.where(F.col("_bucket").isNotNull())
-    per_bucket = bucketed.groupBy(*group).agg(last["value"].alias("_last"))
+    per_bucket = rows.groupBy(*group).agg(last["value"].alias("_last"))
     carried = _across_buckets(per_bucket, keys, block is not None)
 
     # The window and the join share one shuffle of the rows.
-    inside = rows.withColumn("_inside", last_in(*group))
+    inside = rows.withColumn("_inside", F.last("_value", ignorenulls=True).over(window))
     return inside.join(carried, group, "left").select(
         *columns, F.coalesce("_inside", "_carry").alias(into)
     )
 
 
-def _hot_keys(rows: DataFrame, keys: list[str], hot_rows: int, most: int) -> DataFrame | None:
-    """Keys with more than ``hot_rows`` rows, or None when there are more than
-    ``most`` of them, which is then too long a list to hand to every task."""
-    counted = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > hot_rows)
-    hot = counted.select(*keys, F.lit(True).alias("_hot"))
-    found = hot.limit(most + 1).collect()
-    return rows.sparkSession.createDataFrame(found, hot.schema) if len(found) <= most else None
-
-
 def _across_buckets(per_bucket: DataFrame, keys: list[str], blocks: bool) -> DataFrame:
     """The value each bucket inherits from the buckets before it."""
 

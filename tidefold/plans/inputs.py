@@ -265,6 +265,12 @@ def customer_dump(spark: SparkSession, sf: str) -> DataFrame:
     return insert_statements(table, "customer", F.expr("c_custkey div 100"), "c_custkey")
 
 
+def customer_names_dump(spark: SparkSession, sf: str) -> DataFrame:
+    """As ``customer_dump``, with whole numbers and names only."""
+    table = scan_table(spark, sf, "customer").select("c_custkey", "c_name", "c_nationkey")
+    return insert_statements(table, "customer", F.expr("c_custkey div 100"), "c_custkey")
+
+
 def pages_dump(spark: SparkSession, sf: str) -> DataFrame:
     table = scan_table(spark, sf, "pages")
     return insert_statements(table, "pages", F.expr("page_id div 10"), "page_id")

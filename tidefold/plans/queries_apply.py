@@ -68,6 +68,17 @@ def apply_delete(spark: SparkSession, sf: str) -> DataFrame:
     return fold.apply_delete(target, inputs.changes(spark, sf), KEY)
 
 
+@query(
+    "apply_changes_rollover",
+    cte("changes") + _FOLD + """select user_id, event_id, event_type, "value" from state
+    where boundary = 'insert'""",
+)
+def apply_changes_rollover(spark: SparkSession, sf: str) -> DataFrame:
+    """The same log in files whose numbers gain a digit on the way."""
+    file = F.format_string("binlog.%06d", F.lit(999_998) + F.floor(F.col("event_id") / 400))
+    return fold.apply_changes(inputs.changes(spark, sf).withColumn("logfile", file), KEY, DOC)
+
+
 @query(
     "apply_changes",
     cte("changes")

@@ -172,10 +172,10 @@ def position_compare(spark: SparkSession, sf: str) -> DataFrame:
         "user_id % 7 p2",
     )
     as_text = positions.compare_positions(
-        positions.position("f1", "p1"), positions.position("f2", "p2")
+        positions.text_position("f1", "p1"), positions.text_position("f2", "p2")
     )
     as_number = positions.compare_positions(
-        positions.numeric_position("f1", "p1"), positions.numeric_position("f2", "p2")
+        positions.position("f1", "p1"), positions.position("f2", "p2")
     )
     return pairs.select(
         "event_id", as_text.alias("verdict"), as_number.alias("numeric_verdict")
@@ -208,12 +208,10 @@ def rotate_attribution(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(
     "catchup_plan",
-    cte("registry_log")
+    cte("registry_log", "changes")
     + _CURRENT
-    + """, main as (select f, p from
-      (select arg_max(logfile, seq) f, arg_max(logpos, seq) p from registry_log
-       where dump_read_progress is null and logfile < 'binlog.000000007'
-         and status is null and logfile is not null)),
+    + """, main as (select arg_max(logfile, event_id) f, arg_max(logpos, event_id) p
+      from changes where op = 'delete'),
     own as (select tbl, logfile, logpos, f, p,
               case when f > logfile or (f = logfile and p > logpos) then 'table'
                    when f < logfile or (f = logfile and p < logpos) then 'syncing_tables'
@@ -227,9 +225,8 @@ def rotate_attribution(spark: SparkSession, sf: str) -> DataFrame:
     from own""",
 )
 def catchup_plan(spark: SparkSession, sf: str) -> DataFrame:
-    """The main stream has reached the last position before the eighth log file."""
-    log = inputs.registry_log(spark, sf)
-    seen = log.where("logfile < 'binlog.000000007'").select("logfile", "logpos")
+    """The main stream has reached the last delete of the change log."""
+    seen = inputs.changes(spark, sf).where("op = 'delete'").select("logfile", "logpos")
     tables = _registry(spark, sf).where("logfile is not null")
     return catchup.catchup_plan(tables, ordering.high_water_mark(seen))
 

@@ -155,6 +155,8 @@ def follow(
     tables: Sequence[Synced],
     available_now: bool = False,
     files_per_trigger: int | None = None,
+    interval: str = "1 second",
+    bytes_per_trigger: int = 1 << 30,
 ) -> StreamingQuery:
     """Apply the log to all tables from the oldest of their positions on.
 
@@ -186,6 +188,7 @@ def follow(
         start=min(t.position for t in tables),
         fmt=config.log_format,
         files_per_trigger=files_per_trigger,
+        bytes_per_trigger=bytes_per_trigger,
     )
-    return run_stream(events, handle, f"{config.target}/checkpoint", available_now)
+    return run_stream(events, handle, f"{config.target}/checkpoint", available_now, interval)
 

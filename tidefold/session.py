@@ -53,7 +53,7 @@ def scratch_dir(spark: SparkSession, purpose: str) -> str:
         context = spark.sparkContext
         if not context.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-        base = _local_scratch.setdefault(
-            context.applicationId, tempfile.mkdtemp(prefix="tidefold-")
-        )
+        if context.applicationId not in _local_scratch:
+            _local_scratch[context.applicationId] = tempfile.mkdtemp(prefix="tidefold-")
+        base = _local_scratch[context.applicationId]
     return f"{base.rstrip('/')}/tidefold/{purpose}-{uuid.uuid4().hex}"

@@ -54,6 +54,9 @@ class BulkTextSink:
         actions = net_changes(changes, self.key, self.doc)
         present = "present" if "present" in actions.columns else None
         actions = actions.withColumn("_id", render_pk(actions, self.key))
+        # An empty id would let the index make one up; such a batch is refused.
+        empty = F.raise_error(F.lit("a document without an id")).cast("boolean")
+        actions = actions.where(F.when(F.col("_id") != "", True).otherwise(empty))
         # A search document holds the key columns, too.
         if present:
             key = F.array(*[F.lit(k) for k in self.key])

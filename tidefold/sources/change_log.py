@@ -42,7 +42,9 @@ def read_change_log(
     end: Position | None = None,
     fmt: str = "parquet",
 ) -> DataFrame:
-    return bounded(spark.read.schema(schema).format(fmt).load(path), start, end)
+    """Changes in (start, end].  A line of text that is not an event fails the job."""
+    reader = spark.read.schema(schema).format(fmt).option("mode", "FAILFAST")
+    return bounded(reader.load(path), start, end)
 
 
 def stream_change_log(
@@ -52,15 +54,21 @@ def stream_change_log(
     start: Position | None = None,
     fmt: str = "parquet",
     files_per_trigger: int | None = None,
+    bytes_per_trigger: int = 1 << 30,
 ) -> DataFrame:
-    """The log as a stream from a start position on.
+    """The log as a stream from a start position on, in batches of bounded size.
+
+    A line of text that is not an event fails the query, so that the position never
+    moves past it.
 
     After the first run the query's own checkpoint holds the progress; the start
     position then only filters what a first run would have skipped anyway.
     """
-    reader = spark.readStream.schema(schema).format(fmt)
+    reader = spark.readStream.schema(schema).format(fmt).option("mode", "FAILFAST")
     if files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
+    else:
+        reader = reader.option("maxBytesPerTrigger", bytes_per_trigger)
     return bounded(reader.load(path), start)
 
 
@@ -75,4 +83,4 @@ def stream_kafka(spark: SparkSession, servers: str, topic: str, schema: T.Struct
         .option("startingOffsets", "earliest")
         .load()
     )
-    return raw.select(F.from_json(F.col("value").cast("string"), schema).alias("e")).select("e.*")
+    return raw.select(F.from_json(F.col("value").cast("string"), schema, {"mode": "FAILFAST"}).alias("e")).select("e.*")

@@ -2,7 +2,8 @@
 
 A dump is a set of text files.  Statements end with ``;`` at the end of a line,
 which is also where Spark may split a file, so a dump of any size is read by
-many tasks.  Only the statement shapes that dump tools write are understood.
+many tasks.  Only the statement shapes that dump tools write are understood; an
+INSERT with anything else in it, or cut off, is reported and never half read.
 """
 
 from __future__ import annotations
@@ -20,10 +21,14 @@ from tidefold.model import Column, Position
 
 # The coordinate comment of a dump header.
 COORDINATES = r"MASTER_LOG_FILE='(.*)', MASTER_LOG_POS=(\d+)"
-MAX_LOGPOS = 4294967295
 # End of fixed values.
 
+# Columns that order the statements of a file.
+_ORDER = ("block", "ord", "part")
+
 _NAME = r"`((?:[^`]++|``)++)`"
+# Stands for a tuple that was read.
+_TUPLE_MARK = "\x01"
 # Comment and blank lines in front of a statement.
 _PREAMBLE = r"(?s)^(?:\s++|--[^\n]*+(?:\n|$)|/\*.*?\*/;?)*+"
 # One entry of a column list: up to a comma outside quotes and parentheses.
@@ -33,12 +38,24 @@ _PRIMARY_KEY = r"(?s)^\s*(?:CONSTRAINT\s+(?:`[^`]*`\s+)?)?PRIMARY KEY[^(]*\((.*)
 _DECLARED = rf"(?s)^\s*{_NAME}\s+(\w+(?:\((?:{STRING}|[^()'])*+\))?(?: unsigned)?)"
 
 
-def read_statements(spark: SparkSession, path: str, line_end: str = "\n") -> DataFrame:
+def line_end_of(spark: SparkSession, path: str) -> str:
+    """The line end of a dump, told by its first line that is read."""
+    files = spark.read.option("lineSep", "\n").option("recursiveFileLookup", "true").text(path)
+    first = files.select(F.endswith("value", F.lit("\r")).alias("cr")).take(1)
+    return "\r\n" if first and first[0]["cr"] else "\n"
+
+
+def read_statements(spark: SparkSession, path: str, line_end: str | None = None) -> DataFrame:
     """Statements of the dump files below ``path``, one per row, as written.
 
-    ``file``, ``block`` and ``ord`` order them: a block is read by one task from
-    its start to its end.  Files are split between statements.
+    ``file``, ``block``, ``ord`` and ``part`` order them: a block is read by one task
+    from its start to its end.  Files are split between statements, at ``;`` and the
+    line end, which is looked up if it is not given.  What still stands together,
+    because of blanks after ``;`` or of mixed line ends, is cut in a second step, so
+    it is right but split no further between tasks.
     """
+    line_end = line_end or line_end_of(spark, path)
+    several = F.split("value", r";[ \t\r]*(?:\n|$)")
     return (
         spark.read.option("lineSep", f";{line_end}")
         .option("recursiveFileLookup", "true")
@@ -47,7 +64,9 @@ def read_statements(spark: SparkSession, path: str, line_end: str = "\n") -> Dat
             F.col("_metadata.file_path").alias("file"),
             F.col("_metadata.file_block_start").alias("block"),
             F.monotonically_increasing_id().alias("ord"),
-            "value",
+            F.posexplode(
+                F.when(F.contains("value", F.lit(";")), several).otherwise(F.array("value"))
+            ).alias("part", "value"),
         )
     )
 
@@ -66,28 +85,41 @@ def _starting(statements: DataFrame, words: str) -> DataFrame:
 
 
 def insert_tuples(statements: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
-    """One row per value tuple of the INSERT statements: table, literals."""
+    """One row per value tuple of the INSERT statements: table, literals.
+
+    A statement that is not a header and tuples between commas from its first to its
+    last character gives one row instead, without literals: ``unread`` is its text.
+    """
     header = rf"(?s)^INSERT INTO {_NAME}\s*(?:\([^)]*\)\s*)?VALUES\s*"
-    return (
-        _starting(statements, "INSERT INTO")
-        .withColumn("_header", F.regexp_extract("value", header, 0))
-        .select(
-            *keep,
-            F.replace(F.regexp_extract("_header", header, 1), F.lit("``"), F.lit("`")).alias("tbl"),
-            F.explode(
-                F.regexp_extract_all(
-                    F.substr("value", F.length("_header") + 1), F.lit(TUPLE)
-                )
-            ).alias("row"),
-        )
-        .select(
-            *keep,
-            "tbl",
-            F.regexp_extract_all(
-                F.substr("row", F.lit(2), F.length("row") - 2), F.lit(FIELD)
-            ).alias("literals"),
-        )
+    read = _starting(statements, "INSERT INTO").withColumn(
+        "_header", F.regexp_extract("value", header, 0)
+    )
+    # With a mark for each tuple, the rest must be a list of marks.
+    rest = F.regexp_replace(F.substr("value", F.length("_header") + 1), TUPLE, _TUPLE_MARK)
+    listed = F.replace(F.regexp_replace("_rest", r"\s++|;\s*+$", ""), F.lit("," + _TUPLE_MARK), F.lit(""))
+    read = read.withColumn("_rest", rest).withColumn(
+        "_whole", (F.col("_header") != "") & (listed == _TUPLE_MARK)
     )
+    tuples = F.regexp_extract_all(F.substr("value", F.length("_header") + 1), F.lit(TUPLE))
+    return read.select(
+        *keep,
+        F.replace(F.regexp_extract("_header", header, 1), F.lit("``"), F.lit("`")).alias("tbl"),
+        F.explode(F.when(F.col("_whole"), tuples).otherwise(F.array("value"))).alias("row"),
+        "_whole",
+    ).select(
+        *keep,
+        "tbl",
+        F.when(
+            F.col("_whole"),
+            F.regexp_extract_all(F.substr("row", F.lit(2), F.length("row") - 2), F.lit(FIELD)),
+        ).alias("literals"),
+        F.when(~F.col("_whole"), F.col("row")).alias("unread"),
+    )
+
+
+def dump_rejects(statements: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """INSERT statements that cannot be read whole: table (empty if unknown) and text."""
+    return insert_tuples(statements, keep).where("unread is not null").select(*keep, "tbl", "unread")
 
 
 def dump_rows(statements: DataFrame, columns: Sequence[Column]) -> DataFrame:
@@ -95,7 +127,8 @@ def dump_rows(statements: DataFrame, columns: Sequence[Column]) -> DataFrame:
 
     ``_id`` is the rendered key; ``_bad`` names the columns whose literal does not
     fit the declared type, and holds ``*`` when the tuple has values at unknown
-    positions.  Good rows have an empty ``_bad``; nothing is dropped here.
+    positions, or ``INSERT`` when the row stands for a statement that cannot be read
+    whole.  Good rows have an empty ``_bad``; nothing is dropped here.
     """
     ordered = sorted(columns, key=lambda c: c.position)
     key = [c.name for c in ordered if c.is_in_primary_key]
@@ -109,9 +142,10 @@ def dump_rows(statements: DataFrame, columns: Sequence[Column]) -> DataFrame:
         for c in ordered
     ]
     too_wide = F.when(F.size("literals") > len(ordered), "*")
+    unread = F.when(F.col("unread").isNotNull(), "INSERT")
     row = F.struct(
         *[F.col(f"{slot[c.name]}_v").alias(c.name) for c in ordered],
-        F.array_compact(F.array(*failed, too_wide)).alias("_bad"),
+        F.array_compact(F.array(*failed, too_wide, unread)).alias("_bad"),
     )
     # Inlining a one-element array keeps a later filter on _bad above the parsing,
     # where it reads the result instead of repeating the work.
@@ -124,7 +158,7 @@ def dump_columns(statements: DataFrame, file: str = "file") -> DataFrame:
 
     Only a table-level PRIMARY KEY counts, and its names match exactly.
     """
-    order = F.struct(*[c for c in ("block", "ord") if c in statements.columns])
+    order = F.struct(*[c for c in _ORDER if c in statements.columns])
     first = (
         _starting(statements, "CREATE TABLE")
         .groupBy(file)
@@ -167,16 +201,16 @@ def dump_columns(statements: DataFrame, file: str = "file") -> DataFrame:
 def dump_position(statements: DataFrame, file: str = "file") -> DataFrame:
     """Log coordinate of each file: its first line that carries one.
 
-    A file without one keeps a null coordinate, and so does one whose offset does
-    not fit 32 bits.
+    A file without one keeps a null coordinate.  An offset beyond 64 bits fails the job.
     """
-    order = F.struct(*[c for c in ("block", "ord") if c in statements.columns])
+    order = F.struct(*[c for c in _ORDER if c in statements.columns])
     found = F.col("value").rlike(COORDINATES)
-    offset = F.regexp_extract("value", COORDINATES, 2).try_cast("bigint")
+    offset = F.regexp_extract("value", COORDINATES, 2)
+    offset = F.when(found, offset).cast("bigint")
     hit = F.struct(
         order.alias("ord"),
         F.regexp_extract("value", COORDINATES, 1).alias("logfile"),
-        F.when(offset <= MAX_LOGPOS, offset).alias("logpos"),
+        offset.alias("logpos"),
     )
     return (
         statements.groupBy(file)
@@ -195,10 +229,10 @@ def head_position(statements: DataFrame) -> Position:
     The search stops at the first task that finds one, normally the one that
     reads the head of the file.
     """
-    found = statements.where(F.col("value").rlike(COORDINATES)).select("file", "block", "ord", "value")
+    found = statements.where(F.col("value").rlike(COORDINATES)).select("file", *[c for c in _ORDER if c in statements.columns], "value")
     head = dump_position(_only(found)).first()
     if head is None or head["logpos"] is None:
-        raise ValueError("log coordinates not found in the dump")
+        raise ValueError("the dump names no log position")
     return Position(head["logfile"], head["logpos"])
 
 
@@ -208,9 +242,9 @@ def head_columns(statements: DataFrame) -> list[Column]:
     # Bounded by the number of columns a table may have.
     columns = [Column(**r.asDict()) for r in found.orderBy("position").collect()]
     if not columns:
-        raise ValueError("CREATE TABLE statement not found in the dump")
+        raise ValueError("the dump describes no table")
     if any("enum" in c.type.lower() for c in columns):
-        raise ValueError("enum types are not supported")
+        raise ValueError("columns of an enum type cannot be loaded")
     return columns
 
 

@@ -42,7 +42,7 @@ def table_inventory(spark: SparkSession, root: str) -> DataFrame:
     Names come from a file listing whose contents are not read; counts read no
     column, so they are answered from file metadata.
     """
-    name = F.regexp_extract(F.col("path"), r"/([^/]+)\.parquet(?:/[^/]*)?$", 1)
+    name = F.regexp_extract(F.col("path"), r"/([^/]+)\.parquet(?:/.*)?$", 1)
     listed = (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", "true")

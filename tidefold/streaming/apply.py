@@ -18,7 +18,7 @@ def run_stream(
     handle: Callable[[DataFrame, int], None],
     checkpoint: str,
     available_now: bool = False,
-    interval: str = "10 seconds",
+    interval: str = "1 second",
 ) -> StreamingQuery:
     """Start applying a change stream; ``checkpoint`` keeps its position.
 
