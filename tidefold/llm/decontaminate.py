@@ -6,7 +6,9 @@ Around each hit the item and the text are compared word by word, so that some wo
 be substituted.
 
 Everything is DataFrame functions: seeds of texts are made and looked up in one pass of
-generated code, and only hits, with the few words around them, go further.
+generated code, and only hits, with the few words around them, go further.  Where there
+are too many test items to broadcast their seeds, seeds are joined by a shuffle without
+the texts, and hits fetch the words around them from the texts afterwards.
 """
 
 from __future__ import annotations
@@ -74,13 +76,23 @@ def overlaps(
     test = items.select(
         F.col(item_id_col).alias("item_id"), tokens(F.col(item_text_col)).alias("words")
     ).where("item_id is not null")
-    train = docs.select(F.col(id_col).alias("doc_id"), tokens(F.col(text_col)).alias("words"))
+    # Rows of equal id and text have equal keys, and equal results.
+    whole = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    train = whole.select(
+        "doc_id",
+        tokens(F.col("text")).alias("words"),
+        F.xxhash64("doc_id", "text").alias("k1"),
+        F.xxhash64("text", F.lit(1), "doc_id").alias("k2"),
+    )
     known = seeds(test, masks, "item_id").select(
         "seed", "item_id", F.col("at").alias("item_at"), F.size("words").alias("item_size")
     )
+    made = seeds(train, masks, "doc_id", "k1", "k2")
     if known.count() <= most_broadcast:
-        known = F.broadcast(known)
-    hits = seeds(train, masks, "doc_id").join(known, "seed")
+        hits = made.join(F.broadcast(known), "seed")
+    else:
+        slim = made.drop("words", "doc_id").join(known, "seed").drop("seed").distinct()
+        hits = slim.join(train, ["k1", "k2"])
     # Stretches of the item, from 1: one begins and one ends with the mask.
     length = F.least(F.lit(span), F.col("item_size"))
     low = F.greatest(F.lit(1), F.least(F.col("item_at"), F.col("item_size") - length + 1))
