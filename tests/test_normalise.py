@@ -39,7 +39,7 @@ def test_one_wide_row_loses_its_event(spark):
     kept = normalise.rows_to_records(df, COLUMNS).collect()
     assert sorted((r["logpos"], r["id"]) for r in kept) == [(2, 3), (3, 3)]
     rejects = normalise.record_rejects(df, COLUMNS).collect()
-    assert [(r["logpos"], r["reason"]) for r in rejects] == [(1, "no column at position 3")]
+    assert [(r["logpos"], r["reason"]) for r in rejects] == [(1, "the value at position 3 belongs to no column")]
 
 
 def test_values_of_the_wrong_type_are_rejected_row_by_row(spark):

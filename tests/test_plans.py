@@ -5,7 +5,7 @@ import re
 import pytest
 
 from tidefold.model import Position
-from tidefold.operators.catchup import catchup_range
+from tidefold.operators.catchup import catchup_range, resume_after
 from tidefold.operators.fold import snapshot_plus_log
 from tidefold.plans import QUERIES
 
@@ -85,6 +85,26 @@ def test_a_bucketed_snapshot_is_not_moved(spark, no_broadcast):
         spark.sql("drop table if exists plan_snapshot")
 
 
+def partition_filters(spark, df):
+    spark.conf.set("spark.sql.maxMetadataStringLength", "10000")
+    try:
+        plan = df._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.maxMetadataStringLength")
+    return re.findall(r"PartitionFilters: \[(.*?)\], PushedFilters", plan)
+
+
+def test_resuming_reads_from_the_smallest_position_on(spark, tmp_path):
+    log = spark.range(100).selectExpr(
+        "concat('b.', lpad(id div 10, 3, '0')) logfile", "id % 10 logpos", "concat('t', id % 2) tbl"
+    )
+    log.write.partitionBy("logfile").parquet(str(tmp_path / "log"))
+    saved = spark.createDataFrame([("t0", "b.007", 4), ("t1", "b.008", 2)], "tbl string, logfile string, logpos bigint")
+    got = resume_after(spark.read.parquet(str(tmp_path / "log")), saved, all_saved=True)
+    assert got.count() == 12 + 9
+    assert any(">= Subquery" in f or ">= ReusedSubquery" in f for f in partition_filters(spark, got))
+
+
 def test_a_crossing_replay_is_bounded_on_both_sides(spark, tmp_path):
     log = spark.range(100).selectExpr(
         "concat('b.', lpad(id div 10, 3, '0')) logfile", "id % 10 logpos", "'t' tbl"
@@ -93,10 +113,5 @@ def test_a_crossing_replay_is_bounded_on_both_sides(spark, tmp_path):
     read = spark.read.parquet(str(tmp_path / "log"))
     got = catchup_range(read, Position("b.002", 3), Position("b.004", 5), crossing=True)
     assert got.count() == 22
-    spark.conf.set("spark.sql.maxMetadataStringLength", "10000")
-    try:
-        plan = got._jdf.queryExecution().executedPlan().toString()
-    finally:
-        spark.conf.unset("spark.sql.maxMetadataStringLength")
-    filters = re.findall(r"PartitionFilters: \[(.*?)\], PushedFilters", plan)
+    filters = partition_filters(spark, got)
     assert any(">= 2" in f and "<= Subquery" in f for f in filters), filters

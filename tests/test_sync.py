@@ -103,7 +103,7 @@ def test_load_follow_and_restart(spark, config, tmp_path):
     ]
     assert rows(sync.store(config, country).current(spark)) == [("AFG", "Renamed"), ("NLD", "Netherlands")]
     rejects = spark.read.parquet(f"{config.target}/rejects/city")
-    assert [(r["logpos"], r["reason"]) for r in rejects.collect()] == [(410, "no column at position 3")]
+    assert [(r["logpos"], r["reason"]) for r in rejects.collect()] == [(410, "the value at position 3 belongs to no column")]
     # Three rows of the snapshot and six of the log after it.
     assert spark.read.parquet(f"{tmp_path}/audit/city").count() == 3 + 6
     mapping = json.loads(spark.read.text(f"{tmp_path}/index/city/mapping").first()[0])

@@ -63,7 +63,7 @@ def test_rendered_and_generated_ids(spark):
     ]
     got = df.select(keys.generate_pk(df, cols)).collect()
     assert [r[0] for r in got] == ["120.500000AB", "11000000.000000<nil>"]
-    with pytest.raises(ValueError, match="not available"):
+    with pytest.raises(ValueError, match="lack the key column"):
         keys.generate_pk(df, [Column("gone", "int", 0, True)])
 
 

@@ -24,7 +24,7 @@ def generate_pk(df: DataFrame, columns: Sequence[Column]) -> SparkColumn:
     key = [c.name for c in sorted(columns, key=lambda c: c.position) if c.is_in_primary_key]
     absent = [name for name in key if name not in df.columns]
     if absent:
-        raise ValueError(f"primary key column value not available: {absent[0]}")
+        raise ValueError(f"the rows lack the key column {absent[0]}")
     return F.concat(*[_fixed_form(df, name) for name in key])
 
 

@@ -16,10 +16,19 @@ from tidefold.model import Position
 from tidefold.sources.change_log import bounded
 
 
-def resume_after(changes: DataFrame, progress: DataFrame, stream: str = "tbl") -> DataFrame:
+def resume_after(
+    changes: DataFrame, progress: DataFrame, stream: str = "tbl", all_saved: bool = False
+) -> DataFrame:
     """Changes after each stream's saved position; a stream without one starts
-    at the beginning.  ``progress`` holds one row per stream."""
+    at the beginning.  ``progress`` holds one row per stream.
+
+    With ``all_saved``, which says that every stream has a position, the log is read
+    from the smallest of them on.
+    """
     saved = progress.select(stream, position().alias("saved"))
+    if all_saved:
+        lowest = saved.agg(F.coalesce(F.min("saved")["file_no"], F.lit(-1)).alias("n")).scalar()
+        changes = changes.where(F.coalesce(file_number(), F.lit(-1)) >= lowest)
     return (
         changes.join(saved, stream, "left")
         .where(F.col("saved").isNull() | (position() > F.col("saved")))

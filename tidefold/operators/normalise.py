@@ -110,9 +110,9 @@ def record_rejects(events: DataFrame, columns: Sequence[Column]) -> DataFrame:
     """What ``rows_to_records`` leaves out, with the reason: whole events with a
     row that is too wide, and single rows with values of the wrong type."""
     ordered = sorted(columns, key=lambda c: c.position)
-    width = F.array_max(F.transform("rows", F.size))
+    # The first value that is too many stands behind the last known column.
     wide = events.where(too_wide(ordered)).withColumn(
-        "reason", F.format_string("no column at position %d", width - 1)
+        "reason", F.lit(f"the value at position {len(ordered)} belongs to no column")
     )
     keep = [c for c in events.columns if c != "rows"]
     # One struct for the event, as a table may have columns named like its fields.

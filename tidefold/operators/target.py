@@ -21,7 +21,7 @@ def create_if_missing(
 ) -> bool:
     """Create a catalog table for the columns; one that exists stays as it is."""
     if not columns:
-        raise ValueError(f'no columns for table "{table}"')
+        raise ValueError(f"{table} needs at least one column")
     if spark.catalog.tableExists(table):
         return False
     spark.catalog.createTable(table, source=fmt, schema=schema_of(columns))
@@ -41,7 +41,7 @@ def append_rows(target: DataFrame, rows: DataFrame) -> DataFrame:
 def write_rows(rows: DataFrame, table: str) -> None:
     """Append rows to a catalog table; appending nothing is an error."""
     if rows.isEmpty():
-        raise ValueError(f"no rows inserted for table {table}")
+        raise ValueError(f"there is nothing to append to {table}")
     rows.write.mode("append").insertInto(table)
 
 

@@ -178,7 +178,7 @@ def rows_to_records(spark: SparkSession, sf: str) -> DataFrame:
 @query(
     "record_rejects",
     cte("row_events")
-    + """select logfile, logpos, 'no column at position 3' reason from images
+    + """select logfile, logpos, 'the value at position 3 belongs to no column' reason from images
     group by batch_id, logfile, logpos having max(width) > 3""",
 )
 def record_rejects(spark: SparkSession, sf: str) -> DataFrame:

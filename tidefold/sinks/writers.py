@@ -68,7 +68,7 @@ class BulkTextSink:
     def on_table_init(self, spark: SparkSession, table: str, columns: Sequence[Column]) -> None:
         """Write the mapping of the index beside its text; one that exists stays."""
         if not columns:
-            raise ValueError(f'no columns for table "{table}"')
+            raise ValueError(f"{table} needs at least one column")
         catalog = spark.createDataFrame([tuple(vars(c).values()) for c in columns], COLUMN_SCHEMA)
         mapping = index_mapping(catalog.withColumn("tbl", F.lit(table))).select("mapping")
         mapping.coalesce(1).write.mode("ignore").text(f"{self.path}/mapping")
