@@ -142,21 +142,21 @@ def op1_decontaminate(spark, sf_dir: str) -> DataFrame:
 
 
 ORACLE = r"""
-with d as (select doc_id, string_split(trim(regexp_replace(translate(lower(coalesce(text, '')), '.,;:!?"''()[]{}<>', ''), '[\x20\x09-\x0D]+', ' ', 'g')), ' ') as w from documents),
-b as (select item_id, string_split(trim(regexp_replace(translate(lower(coalesce(text, '')), '.,;:!?"''()[]{}<>', ''), '[\x20\x09-\x0D]+', ' ', 'g')), ' ') as w from benchmark where item_id is not null),
-dp as (select doc_id, w, unnest(generate_series(1, len(w) - 7)) as i from d where len(w) >= 8),
-bp as (select item_id, w, unnest(generate_series(1, len(w) - 7)) as i from b where len(w) >= 8),
+with d as (select row_number() over () as r, doc_id, string_split(trim(regexp_replace(translate(lower(coalesce(text, '')), '.,;:!?"''()[]{}<>', ''), '[\x20\x09-\x0D]+', ' ', 'g')), ' ') as w from documents),
+b as (select row_number() over () as r, item_id, string_split(trim(regexp_replace(translate(lower(coalesce(text, '')), '.,;:!?"''()[]{}<>', ''), '[\x20\x09-\x0D]+', ' ', 'g')), ' ') as w from benchmark where item_id is not null),
 ds as (
-  select doc_id, w, i, 0 as m, [w[i], w[i + 1], w[i + 3], w[i + 6], w[i + 7]] as s from dp union all
-  select doc_id, w, i, 1, [w[i], w[i + 2], w[i + 3], w[i + 4], w[i + 7]] from dp),
+  select r, 0 as m, unnest(generate_series(1, len(w) - 7)) as i, unnest(list_transform(generate_series(1, len(w) - 7), lambda i: concat_ws(' ', w[i], w[i + 1], w[i + 3], w[i + 6], w[i + 7]))) as s from d where len(w) >= 8 union all
+  select r, 1, unnest(generate_series(1, len(w) - 7)), unnest(list_transform(generate_series(1, len(w) - 7), lambda i: concat_ws(' ', w[i], w[i + 2], w[i + 3], w[i + 4], w[i + 7]))) from d where len(w) >= 8),
 bs as (
-  select item_id, w, i, 0 as m, [w[i], w[i + 1], w[i + 3], w[i + 6], w[i + 7]] as s from bp union all
-  select item_id, w, i, 1, [w[i], w[i + 2], w[i + 3], w[i + 4], w[i + 7]] from bp),
+  select r, len(w) as l, 0 as m, unnest(generate_series(1, len(w) - 7)) as i, unnest(list_transform(generate_series(1, len(w) - 7), lambda i: concat_ws(' ', w[i], w[i + 1], w[i + 3], w[i + 6], w[i + 7]))) as s from b where len(w) >= 8 union all
+  select r, len(w), 1, unnest(generate_series(1, len(w) - 7)), unnest(list_transform(generate_series(1, len(w) - 7), lambda i: concat_ws(' ', w[i], w[i + 2], w[i + 3], w[i + 4], w[i + 7]))) from b where len(w) >= 8),
 h as (
-  select doc_id, item_id, ds.w as dw, bs.w as bw, ds.i - bs.i as shift, bs.i as bi, least(20, len(bs.w)) as n
+  select distinct ds.r as dr, bs.r as br, ds.i - bs.i as shift, bs.i as bi, bs.l as bl, least(20, bs.l) as n
   from ds join bs on ds.m = bs.m and ds.s = bs.s),
-f as (select *, unnest([greatest(1, least(bi, len(bw) - n + 1)), greatest(1, bi + 8 - n)]) as f from h),
-e as (select distinct doc_id, item_id, n, f, shift, dw, bw from f),
+f as (select *, unnest([greatest(1, least(bi, bl - n + 1)), greatest(1, bi + 8 - n)]) as f from h),
+e as (
+  select doc_id, item_id, n, f, shift, d.w as dw, b.w as bw
+  from (select distinct dr, br, n, f, shift from f) x join d on d.r = x.dr join b on b.r = x.br),
 c as (
   select doc_id, item_id, n as compared,
     len(list_filter(generate_series(f, f + n - 1), lambda k: k + shift >= 1 and k + shift <= len(dw) and dw[k + shift] = bw[k])) as matched

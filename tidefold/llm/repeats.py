@@ -395,8 +395,10 @@ def op9_repeats(spark, sf_dir: str) -> DataFrame:
 
 ORACLE = r"""
 with d as (select row_number() over () as r, doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '') as w from documents),
-p as (select r, unnest(generate_series(1, len(w) - 34)) as i from d where len(w) >= 35),
-s as (select p.r, i, array_to_string(w[i : i + 34], ' ') as t from p join d on d.r = p.r),
+s as (
+  select r, unnest(generate_series(1, len(w) - 34)) as i,
+    unnest(list_transform(generate_series(1, len(w) - 34), lambda i: array_to_string(w[i : i + 34], ' '))) as t
+  from d where len(w) >= 35),
 g as (select t from s group by t having count(*) > 1),
 c as (select distinct s.r, s.i + k.k as i from s join g using (t), (select unnest(generate_series(0, 34)) as k) k),
 x as (select r, unnest(w) as word, generate_subscripts(w, 1) as i from d),
