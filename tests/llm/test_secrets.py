@@ -95,6 +95,26 @@ def test_scan_equals_brute_force(spark):
             assert k != 3 or "anderthon" not in t[a:b]
 
 
+def test_copies_of_one_text_leave_other_texts_alone(spark, tmp_path):
+    rng = random.Random(3)
+    b62 = "".join(c for c in S.ENCODINGS[9][2] if c.isalnum())
+    keys = ["".join(rng.choice(b62) for _ in range(20)) for _ in range(40)]
+    plain = ["".join(rng.choice(["th", "er", "on", "an", "re", "in"]) for _ in range(12)) for _ in range(20)]
+    rows = list(enumerate(keys + plain))
+
+    def found(extra, tmp):
+        df = spark.createDataFrame(rows + [(1000 + i, t) for i, t in enumerate(extra)], "doc_id bigint, text string")
+        df.write.parquet(f"{tmp}/documents.parquet")
+        cut = {r.doc_id: r.text for r in S.redact(df).collect() if r.doc_id < 1000}
+        spans = {r.doc_id: r.spans for r in S.op3_secrets(spark, str(tmp)).collect() if r.doc_id < 1000}
+        return spans, cut
+
+    alone = found([], tmp_path / "alone")
+    assert sum(s != "" for s in alone[0].values()) >= 30
+    assert found([plain[0]] * 5000, tmp_path / "plain") == alone
+    assert found([keys[0]] * 5000, tmp_path / "key") == alone
+
+
 def test_digest_columns(spark):
     df = spark.createDataFrame([(1, "é token=abcdefgh1 AKIA123456789012"), (2, None)], "doc_id bigint, text string")
     rows = S.digest(S.scan(df)).orderBy("doc_id").collect()

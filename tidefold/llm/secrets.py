@@ -134,6 +134,7 @@ def tested(candidates: Column) -> Column:
             c["start"].alias("start"),
             c["end"].alias("end"),
             c["encoding"].alias("encoding"),
+            F.xxhash64(c["core"]).alias("value"),
             n.alias("n"),
             k.alias("k"),
             squares.alias("squares"),
@@ -159,6 +160,7 @@ def tested(candidates: Column) -> Column:
             c["start"].alias("start"),
             c["end"].alias("end"),
             c["encoding"].alias("encoding"),
+            c["value"].alias("value"),
             F.least(F.lit(1.0), 3 * F.least(uniform, runs, serial)).alias("p_random"),
             F.floor(F.log2(n)).cast("int").alias("length_class"),
             F.floor(-F.log10(F.greatest(seldom, F.lit(LEAST_P))) * STEPS).cast("int").alias("p_class"),
@@ -179,12 +181,15 @@ def _sides(core: Column, encoding: Column) -> Column:
     return out
 
 
-def discoveries(battery: DataFrame, rate: float) -> dict[int, int]:
+def discoveries(battery: DataFrame, rate: float, by_value: bool = False) -> dict[int, int]:
     """For each length class the smallest p-value class (largest p-value) that is discovered.
 
-    ``battery`` has a row for each candidate with length_class and p_class.  What is
-    fetched is one number for each power of two of lengths.
+    ``battery`` has a row for each candidate with value, length_class and p_class.  With
+    ``by_value`` a value counts once however often it is copied.  What is fetched is one
+    number for each power of two of lengths.
     """
+    if by_value:
+        battery = battery.select("value", "length_class", "p_class").distinct()
     classes = battery.groupBy("length_class", "p_class").count()
     strict = Window.partitionBy("length_class").orderBy(F.desc("p_class"))
     every = Window.partitionBy("length_class")
@@ -203,20 +208,23 @@ def scan(
     text_col: str = "text",
     random_level: float = 0.01,
     false_discoveries: float = 0.05,
+    by_value: bool = False,
 ) -> DataFrame:
     """``docs`` with ``secrets``: array of (start, kind, end), kind numbering KINDS.
 
     Spans are in order of start, then kind.  A random span that touches a span of another
     kind is left out.  Null and empty texts have no spans; each row of ``docs`` gives one
     row; a column named ``secrets`` is replaced.  The corpus is read twice: for the
-    thresholds of the false-discovery control, and for the spans.
+    thresholds of the false-discovery control, and for the spans.  With ``by_value`` that
+    control counts each different candidate once, so copies of a text do not move the
+    thresholds of others; ``op3_secrets`` and ``redact`` count so.
     """
     whole = F.coalesce(F.col(text_col), F.lit(""))
     battery = docs.select(whole.alias("t")).where(F.col("t").rlike(CANDIDATE))
     battery = battery.select(F.explode(tested(found(F.col("t"), CANDIDATE))).alias("c")).select(
-        "c.length_class", "c.p_class"
+        "c.value", "c.length_class", "c.p_class"
     )
-    least = discoveries(battery, false_discoveries)
+    least = discoveries(battery, false_discoveries, by_value)
     never = F.lit(math.inf)
     limits = never
     threshold = [(n, p) for n, p in sorted(least.items())]
@@ -268,7 +276,7 @@ def written(spans: Column) -> Column:
 
 def redact(docs: DataFrame, text_col: str = "text", mark: str = "[SECRET]", **options) -> DataFrame:
     """``docs`` with each secret span of the text replaced; overlapping spans become one."""
-    scanned = scan(docs, text_col, **options)
+    scanned = scan(docs, text_col, **{"by_value": True, **options})
     text = F.col(text_col)
 
     def cut(state, s):
@@ -295,7 +303,7 @@ def redact(docs: DataFrame, text_col: str = "text", mark: str = "[SECRET]", **op
 
 def op3_secrets(spark, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
-    return digest(scan(docs))
+    return digest(scan(docs, by_value=True))
 
 
 def digest(scanned: DataFrame) -> DataFrame:
