@@ -68,6 +68,42 @@ def test_names(out):
     assert not {"Anna", "Schmidt", "Weiß", "Анна", "Петрова"} & set(m.groups())
 
 
+def test_untitled_mentions_of_a_detected_name(spark):
+    rows = [
+        (1, "Mr. John Smith came. Smith said John's SMITH is not smith or Smithson; John Smith left. É Jones"),
+        (2, "Smith and John stay where nobody is named. Mail a@b.org"),
+        (3, "Г-жа Анна Петрова пришла. Петрова и Анна"),
+        (4, "Smith was early, said Mr. Smith"),
+    ]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = {r.doc_id: r for r in S.pseudonymise(df, "key").collect()}
+    given, family = re.match(r"Mr\. (\w+) (\w+) came", got[1].text).groups()
+    assert not {given, family} & {"John", "Smith"}
+    assert got[1].text == (
+        f"Mr. {given} {family} came. {family} said {given}'s {family.upper()} is not smith or Smithson; {given} {family} left. É Jones"
+    )
+    assert got[1].entities == ["person"]
+    assert got[2].text.startswith("Smith and John stay where nobody is named. Mail ")
+    m = re.match(r"Г-жа (\w+) (\w+) пришла\. (\w+) и (\w+)$", got[3].text)
+    assert m[1] == m[4] != "Анна" and m[2] == m[3] != "Петрова"
+    assert got[4].text == f"{family} was early, said Mr. {family}"
+
+
+def test_national_phone_numbers(spark):
+    found = ["415-555-0132", "415.555.0132", "415 555 0132", "1-415-555-0132", "020 7946 0958"]
+    other = ["2024-01-15", "415-555-01325", "12-415-555-0132", "1.415.555.0132.7", "415-5550"]
+    rows = [(i, f"Call {t} now, {t}.") for i, t in enumerate(found + other)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = {r.doc_id: r for r in S.pseudonymise(df, "key").collect()}
+    for i, t in rows:
+        same = re.sub(r"\d", "0", t) == re.sub(r"\d", "0", got[i].text)
+        if i < len(found):
+            a, b = re.match(r"Call (.*) now, (.*)\.$", got[i].text).groups()
+            assert same and a == b != found[i] and got[i].entities == ["phone", "phone"], got[i]
+        else:
+            assert got[i].text == t and got[i].entities == [], got[i]
+
+
 def test_same_key_same_text_other_key_other_text(spark, out):
     df = spark.createDataFrame(ROWS, "doc_id bigint, text string")
     again = {r.doc_id: r.text for r in S.pseudonymise(df, "key").collect()}

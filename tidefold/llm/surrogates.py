@@ -21,6 +21,9 @@ EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9][A-Za-z0-9._%+-]*+@(?:[A-Za-z0-9-]+\.)
 OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
 IP = rf"(?<![\d.])(?:{OCTET}\.){{3}}{OCTET}(?!\d|\.\d)"
 PHONE = r"(?<![\d+])(?:\+\d{1,3}[ .-]?)?\(\d{2,4}\)[ .-]?\d{3,4}[ .-]\d{3,4}(?!\d)|\+\d{1,3}(?:[ .-]?\d{2,4}){2,4}(?!\d)"
+# National numbers without a bracket: 415-555-0132, 1-415-555-0132, 020 7946 0958.
+NATIONAL = r"(?<![\d.+/-])(?<!\d )(?:(?:1[ .-])?(?:\d{3}-\d{3}-\d{4}|\d{3}\.\d{3}\.\d{4}|\d{3} \d{3} \d{4})|0\d{2,4}[ -]\d{3,4}[ -]\d{3,4})(?!\d|[.-]\d)"
+PHONE = rf"{PHONE}|{NATIONAL}"
 CARD = r"(?<!\d)\d(?:[ -]?\d){12,18}(?!\d)"
 FEMALE = "Mrs|Ms|Miss|Frau|Madame|Mme|Señora|Sra|Г-жа"
 MALE = "Mr|Herr|Monsieur|Señor|Sr|Г-н"
@@ -232,12 +235,32 @@ def _replaced(kind: Column, hit: Column, names: Column) -> Column:
     )
 
 
+def _untitled(gap: Column, names: Column) -> Column:
+    """The text between matches, with the capitalised name words of the map replaced."""
+
+    def one(word):
+        kinds = ["family", "given-female", "given-male"]
+        of = F.coalesce(
+            *[F.element_at(names, F.concat(F.lit(f"{k}-"), _script(word), F.lit("|"), F.lower(word))) for k in kinds]
+        )
+        loud = (F.length(word) > 1) & (word == F.upper(word))
+        new = F.when(loud, F.upper(of)).otherwise(F.initcap(of))
+        return F.when(word.rlike(r"^\p{Lu}") & of.isNotNull(), new).otherwise(word)
+
+    words = F.transform(F.regexp_extract_all(gap, F.lit(r"\p{L}+"), F.lit(0)), one)
+    between = F.split(gap, r"\p{L}+", -1)
+    ends = F.concat(words, F.array(F.lit("")))
+    return F.array_join(F.flatten(F.zip_with(between, ends, lambda b, w: F.array(b, w))), "")
+
+
 def pseudonymise(
     docs: DataFrame, key: str, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
     """``docs`` with personal data in the text replaced, and ``entities``: kinds in order.
 
-    Every row stays; null and empty texts and texts without personal data are unchanged.
+    A name detected in a row is replaced wherever else its words stand in that row with a
+    capital, with or without a title; ``entities`` has the detected matches only.  Every row
+    stays; null and empty texts and texts without personal data are unchanged.
     Rows with equal id and text are rewritten alike.  A column named ``entities`` is
     replaced.  The same ``key`` and texts give the same surrogates.
     """
@@ -280,7 +303,9 @@ def pseudonymise(
     names = F.coalesce("_names", F.create_map().cast("map<string,string>"))
     replaced = F.transform("_hits", lambda h: _replaced(h["kind"], h["hit"], names))
     ends = F.concat(replaced, F.array(F.lit("")))
-    whole = F.array_join(F.flatten(F.zip_with("_gaps", ends, lambda g, r: F.array(g, r))), "")
+    named_here = F.exists(F.map_keys(names), lambda e: _family(e) == "name")
+    gaps = F.when(named_here, F.transform("_gaps", lambda g: _untitled(g, names))).otherwise(F.col("_gaps"))
+    whole = F.array_join(F.flatten(F.zip_with(gaps, ends, lambda g, r: F.array(g, r))), "")
     kinds = F.transform(F.filter("_hits", lambda h: h["kind"].isNotNull()), lambda h: h["kind"])
     changed = rows.select(
         *[whole.alias(c) if c == text_col else F.col(c) for c in keep], kinds.alias("entities")
