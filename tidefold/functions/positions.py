@@ -41,8 +41,13 @@ def ordered(*columns: str | Column) -> Column:
 
 
 def file_number(logfile: Column | str = "logfile") -> Column:
-    """The number after the last dot of a log file name; null where there is none."""
-    return F.substring_index(_col(logfile), ".", -1).try_cast("bigint")
+    """The number after the last dot of a log file name; null where there is none.
+
+    The text is looked at before it is cast: a cast that fails costs many times one
+    that does not.  More than 18 digits are a name without a number.
+    """
+    last = F.substring_index(_col(logfile), ".", -1)
+    return F.when(last.rlike("^[0-9]{1,18}$"), last.cast("bigint"))
 
 
 def compare_positions(first: Column, second: Column) -> Column:

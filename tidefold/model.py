@@ -36,7 +36,7 @@ SEQ = ("logfile", "logpos", "row_idx")
 META = (*SEQ, "op")
 
 # Names that change rows and their folds use beside a table's own columns.
-RESERVED = (*META, "present", "boundary", "latest")
+RESERVED = (*META, "present", "boundary", "latest", "_file_no")
 
 
 @total_ordering
@@ -51,7 +51,8 @@ class Position:
     def file_no(self) -> int | None:
         """The number after the last dot of the file's name."""
         number = self.logfile.rpartition(".")[2]
-        return int(number) if number.isascii() and number.isdigit() else None
+        numeric = number.isascii() and number.isdigit() and len(number) <= 18
+        return int(number) if numeric else None
 
     def __lt__(self, other: Position) -> bool:
         return self._order() < other._order()

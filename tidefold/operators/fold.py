@@ -16,22 +16,28 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidefold.functions.positions import after, file_number, ordered, sequence
+from tidefold.functions.positions import after, file_number, ordered
 from tidefold.model import DELETE, INSERT, META, SEQ, UPDATE, Position
 from tidefold.operators.ordering import carry_forward
 
 
 def fold_state(changes: DataFrame, key: Sequence[str], doc: Sequence[str]) -> DataFrame:
     """Partial fold: one row per key with its boundary and its latest change."""
+    file_no = F.col("_file_no").alias("file_no")
     is_boundary = F.col("op") != UPDATE
     # The document of a delete is never read again: keep it out of the shuffle.
     document = F.when(F.col("op") != DELETE, F.struct(*doc))
-    return changes.groupBy(*key).agg(
-        F.max(F.when(is_boundary, ordered(*META))).alias("boundary"),
-        F.max(ordered(*META, document.alias("doc"))).alias("latest"),
+    return _numbered(changes).groupBy(*key).agg(
+        F.max(F.when(is_boundary, F.struct(file_no, *META))).alias("boundary"),
+        F.max(F.struct(file_no, *META, document.alias("doc"))).alias("latest"),
     )
 
 
+def _numbered(changes: DataFrame) -> DataFrame:
+    """Changes with the number of their log file, made once a row however often it is read."""
+    return changes.withColumn("_file_no", file_number())
+
+
 def combine_states(states: DataFrame, key: Sequence[str]) -> DataFrame:
     """Fold partial folds, in any order and any number of times."""
     return states.groupBy(*key).agg(
@@ -100,19 +106,20 @@ def merge_state(changes: DataFrame, key: Sequence[str], doc: Sequence[str]) -> D
     ``present`` lists the columns a change carries; a present null counts.  Each
     column keeps its own last value, so there is no join back to the changes.
     """
+    file_no = F.col("_file_no").alias("file_no")
     written = F.col("op") != DELETE
     per_column = [
         F.max(
             F.when(
                 written & F.array_contains("present", c),
-                F.struct(sequence().alias("seq"), F.col(c).alias("v")),
+                F.struct(F.struct(file_no, *SEQ).alias("seq"), F.col(c).alias("v")),
             )
         ).alias(c)
         for c in doc
     ]
     is_boundary = F.col("op") != UPDATE
-    return changes.groupBy(*key).agg(
-        F.max(F.when(is_boundary, F.struct(sequence().alias("seq"), "op"))).alias("boundary"),
+    return _numbered(changes).groupBy(*key).agg(
+        F.max(F.when(is_boundary, F.struct(F.struct(file_no, *SEQ).alias("seq"), "op"))).alias("boundary"),
         *per_column,
     )
 
