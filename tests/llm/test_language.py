@@ -72,6 +72,41 @@ def test_mixed_text_and_odd_rows(spark, model):
     assert sum(r.doc_id is None and r.lang == "en" for r in got) == 2
 
 
+def test_more_states_than_a_byte_holds():
+    scores = np.full((3, 201), -9.0)
+    scores[:, 150] = 0.0
+    assert L.best_paths(scores, np.array([3]), 1.0).tolist() == [150] * 3
+
+
+def test_always_names_a_language_where_there_are_letters(spark, model):
+    rows = [(1, "漢字文字列"), (2, "漢字 ×5 the"), (3, "12 -- !"), (4, None), (5, "und der die keit"), (6, "漢字 漢字漢 привет")]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = {r.doc_id: (r.lang, r.score) for r in L.identify(df, model, always=True).collect()}
+    assert got[1][0] in model.languages and got[1][1] == 0
+    assert got[2][0] in ("en", "de", "es", "fr") and 0 < got[2][1] < 1
+    assert got[3] == got[4] == ("und", 0.0)
+    assert got[5] == ("de", 1.0) and got[6][0] == "ru" and got[6][1] < 0.6
+
+
+def test_a_small_language_keeps_its_scripts_and_its_text(spark):
+    big = [("en", f"word{k} some thing{k} here") for k in range(400)]
+    small = [("ru", "привет мир")] * 50
+    model = L.train(spark.createDataFrame(big + small, "lang string, text string"), docs_per_language=3, most_grams=40)
+    assert model.scripts["Cyrillic"] == [1] and model.languages == ["en", "ru"]
+    df = spark.createDataFrame([(1, "мир привет")], "doc_id bigint, text string")
+    assert L.identify(df, model).first().lang == "ru"
+
+
+def test_language_beside_the_row_is_the_same(spark, model):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text")
+    odd = spark.createDataFrame([(9001, None), (9002, ""), (9003, "漢字"), (9004, "1 2")], docs.schema)
+    docs = docs.unionByName(odd)
+    want = sorted((r.doc_id, r.lang) for r in L.identify(docs, model).collect())
+    for limit in (1, 5000, 8 << 20):
+        beside = docs.select("doc_id", L.language_of(F.col("text"), model, limit).alias("lang"))
+        assert sorted(map(tuple, beside.collect())) == want
+
+
 def test_no_labels_and_no_rows(spark):
     none = spark.createDataFrame([], "doc_id bigint, text string, lang string")
     model = L.train(none)

@@ -6,8 +6,8 @@ from pyspark.sql import functions as F
 import corpus_pipeline as C
 from test_decontaminate import brute as leaks
 from test_packing import check_places
+from test_overlap import alike, shingles
 from test_secrets import base_spans
-from test_simhash import brute_print
 from tidefold.llm import packing
 from tidefold.llm.common import stored
 
@@ -51,29 +51,53 @@ def test_language_rejects_texts_without_a_language_only(docs, stages):
     assert stages[1].where("lang is null").count() == 0
 
 
-def test_one_of_each_group_stays(stages):
-    rows = [tuple(r) for r in stages[1].select("doc_id", "text").collect()]
-    prints = {}
-    for d, t in rows:
-        prints.setdefault(brute_print(t), []).append(d)
-    keys = list(prints)
-    comp = {k: k for k in keys}
+def nearest(rows):
+    """Rows that stay: of each group the least (id, hash of the text), without an id last."""
+    sets = [shingles(t) for *_, t in rows]
+    comp = list(range(len(rows)))
 
     def find(x):
         while comp[x] != x:
             x = comp[x]
         return x
 
-    for i, a in enumerate(keys):
-        for b in keys[:i]:
-            if (a ^ b).bit_count() <= 4:
-                comp[find(a)] = find(b)
+    for i in range(len(rows)):
+        for j in range(i):
+            if alike(sets[i], sets[j]):
+                comp[find(i)] = find(j)
     best = {}
-    for k, members in prints.items():
-        named = [d for d in members if d is not None]
-        best.setdefault(find(k), []).extend(named)
-    want = [min(m) for m in best.values() if m] + [d for d, _ in rows if d is None]
-    assert ids(stages[2]) == sorted(want, key=str)
+    for i, (d, h, t) in enumerate(rows):
+        key = (d is None, d or 0, h)
+        best[find(i)] = min(best.get(find(i), key), key)
+    return sorted(best.values())
+
+
+def test_one_of_each_group_stays(stages):
+    def keys(df):
+        return [tuple(r) for r in df.select("doc_id", F.xxhash64("text"), "text").collect()]
+
+    got = sorted((d is None, d or 0, h) for d, h, _ in keys(stages[2]))
+    assert got == nearest(keys(stages[1]))
+
+
+def test_rows_of_one_id_and_columns_that_clash(spark, tmp_path):
+    far = [f"far{k}" for k in range(40)]
+    rows = [(1, "one text here that is alone in all"), (1, " ".join(far)), (1, " ".join(far)), (2, " ".join(far + ["x"])), (None, "q " + "w " * 30), (None, "q " + "w " * 30), (3, None), (4, None)]
+    names = ["d", "t", "key", "row", "secrets", "n_chars", "node", "_row", "_task", "_base", "_rank", "_place"]
+    schema = "doc_id bigint, text string, " + ", ".join(f"{n} int" for n in names)
+    df = spark.createDataFrame([(*r, *range(len(names))) for r in rows], schema)
+    kept = C.near_dedup(spark, df, "")
+    assert kept.columns == df.columns
+    got = sorted(((r.doc_id, r.text) for r in kept.collect()), key=str)
+    assert got == sorted([rows[0], rows[1], rows[4], rows[6]], key=str)
+    item = "and the passage of a test that is long enough to be found in " + " ".join(far)
+    spark.createDataFrame([(1, item)], "item_id bigint, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    clean = C.decontaminated(spark, kept, str(tmp_path))
+    assert clean.columns == df.columns
+    assert sorted(((r.doc_id, r.text) for r in clean.collect()), key=str) == sorted([rows[0], rows[4], rows[6]], key=str)
+    cut = C.without_secrets(spark, df.withColumn("text", F.lit("a token=abcdefgh1")), "")
+    assert cut.dtypes == df.dtypes and {(r.text, r.n_chars, r.secrets) for r in cut.collect()} == {("a [SECRET]", 10, 4)}
+    assert C.packed_sequences(spark, df, "").select("doc_id").distinct().count() == 5
 
 
 def test_leaks_go_and_others_stay(spark, stages):

@@ -56,6 +56,34 @@ def test_equals_brute_force(spark, window, monkeypatch):
     assert sorted(map(tuple, got), key=str) == brute(rows, window)
 
 
+def test_another_scan_layout_between_the_reads(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(R, "CHUNK_BYTES", 2000)
+    rows = texts()
+    df = spark.createDataFrame([(i, t, 1, "c") for i, t in rows], SCHEMA).repartition(5)
+    df.write.parquet(f"{tmp_path}/docs")
+    name, store = "spark.sql.files.maxPartitionBytes", R.stored
+
+    def other_layout_after(df, purpose):
+        out = store(df, purpose)
+        spark.conf.set(name, "2k" if spark.conf.get(name) != "2k" else "64k")
+        return out
+
+    monkeypatch.setattr(R, "stored", other_layout_after)
+    try:
+        got = R.remove_repeats(spark.read.parquet(f"{tmp_path}/docs"), 35).collect()
+    finally:
+        spark.conf.unset(name)
+    assert sorted(map(tuple, got), key=str) == brute(rows, 35)
+
+
+def test_a_hot_window_is_one_entry_a_chunk():
+    chunk = R.Chunk([b"same " * 500, b"same " * 40], 35)
+    found = chunk.different_probes()
+    assert len(found.values) == 1 and found.many.all() and len(found.inverse) > 500
+    windows, _ = chunk.different_windows(chunk.windows)
+    assert len(windows.values) == 1 and windows.many.all()
+
+
 def test_words_in_slices(monkeypatch):
     monkeypatch.setattr(R, "SLICE", 16)
     data = np.frombuffer(b"  ab abcdefghijklmnopqrstuvwxyz0123456789 c ab\n\td abcd ab", np.uint8)

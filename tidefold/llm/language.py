@@ -10,13 +10,15 @@ from __future__ import annotations
 
 import bisect
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from tidefold.llm.common import field, small_slices
 
@@ -84,9 +86,14 @@ class Model:
     scripts: dict[str, list[int]]
     longest: int = 3
     penalty: float = 6.0
+    always: bool = False
 
     def score(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Scores of words by language with UNKNOWN last, and their numbers of letters."""
+        """Scores of words by language with UNKNOWN last, and their numbers of letters.
+
+        A word in a script of no language is UNKNOWN; with ``always`` it is scored in every
+        language instead, and its letters count for none.
+        """
         get, unseen = self.table.get, len(self.table)
         rows: list[int] = []
         starts, letters, groups = [], [], []
@@ -106,19 +113,21 @@ class Model:
         # Overlapping n-grams tell the same thing several times.
         sums = np.add.reduceat(weights[rows], starts, axis=0) / self.longest
         out = np.full((len(words), len(self.languages) + 1), FAR, np.float32)
-        group = np.array(groups)
+        group, counted = np.array(groups), np.array(letters, np.int64)
         for scripts, k in kinds.items():
             at = np.flatnonzero(group == k)
             some = sorted({x for s in scripts for x in self.scripts.get(s, ())})
             if not scripts:
                 out[at] = 0.0
-            elif not some:
+            elif not some and not (self.always and self.languages):
                 out[at, -1] = 0.0
             else:
+                if not some:
+                    some, counted[at] = list(range(len(self.languages))), 0
                 own = sums[np.ix_(at, some)]
                 own -= own.max(axis=1, keepdims=True)
                 out[np.ix_(at, some)] = np.maximum(own, FAR)
-        return out, np.array(letters, np.int64)
+        return out, np.stack([np.array(letters, np.int64), counted], axis=1)
 
 
 class _Words(dict):
@@ -135,7 +144,7 @@ class _Words(dict):
         self.clear()
         self.new: list[str] = []
         self.scores = np.zeros((0, len(self.model.languages) + 1), np.float32)
-        self.letters = np.zeros(0, np.int64)
+        self.letters = np.zeros((0, 2), np.int64)
 
     def __missing__(self, word: str) -> int:
         self[word] = number = len(self)
@@ -143,7 +152,7 @@ class _Words(dict):
         return number
 
     def scored(self) -> tuple[np.ndarray, np.ndarray]:
-        """Scores and letters by number."""
+        """Scores, and letters as (all, in scripts of a language), by number."""
         cuts = range(0, len(self.new), self.TOGETHER)
         parts = [self.model.score(self.new[k : k + self.TOGETHER]) for k in cuts]
         self.new = []
@@ -165,8 +174,8 @@ def best_paths(scores: np.ndarray, sizes: np.ndarray, penalty: float) -> np.ndar
     # How many texts have more than t words.
     active = np.searchsorted(-ordered, -np.arange(longest), "left")
     best = np.zeros((len(order), scores.shape[1]))
-    back = np.zeros(scores.shape, np.int8)
-    own = np.arange(scores.shape[1], dtype=np.int8)
+    back = np.zeros(scores.shape, np.int16)
+    own = np.arange(scores.shape[1], dtype=np.int16)
     for t in range(longest):
         k = active[t]
         rows = starts[:k] + t
@@ -178,7 +187,7 @@ def best_paths(scores: np.ndarray, sizes: np.ndarray, penalty: float) -> np.ndar
             back[rows] = np.where(switch, lead[:, None], own)
             now = np.where(switch, top[:, None], now)
         best[:k] = now + scores[rows]
-    states = np.zeros(len(scores), np.int8)
+    states = np.zeros(len(scores), np.int16)
     state = best.argmax(axis=1)
     for t in range(longest - 1, -1, -1):
         k = active[t]
@@ -200,21 +209,27 @@ def train(
     """Fit n-gram frequencies on a bounded sample of labelled rows.
 
     About ``docs_per_language`` rows of each language are taken by a hash of the text, so
-    the sample does not depend on order.  Counts are made by tasks; the ``most_grams``
-    most frequent (language, n-gram) counts make the model.  Rows without label are left
-    out; no labels give a model that knows no language.
+    the sample does not depend on order; the text with the least hash is always in it, so
+    no language is without one.  Counts are made by tasks; each language's most frequent
+    n-grams, ``most_grams`` over all languages, and all its scripts make the model.  Rows
+    without label are left out; no labels give a model that knows no language.
     """
     rows = labelled.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text")).where(
         "lang is not null and text is not null"
     )
-    sizes = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}
+    buckets = 1 << 20
+    drawn = F.pmod(F.xxhash64("text"), F.lit(buckets))
+    # One row a language.
+    sizes = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n"), F.min(drawn).alias("least")).collect()
     if not sizes:
         return Model([], {}, np.zeros((0, 0)), np.zeros(0), {}, longest, penalty)
-    buckets = 1 << 20
-    share = F.lit(0)
-    for lang, n in sorted(sizes.items()):
-        share = F.when(F.col("lang") == lang, min(buckets, -(-buckets * docs_per_language // n))).otherwise(share)
-    sample = rows.where(F.pmod(F.xxhash64("text"), F.lit(buckets)) < share)
+    shares = {
+        r["lang"]: max(r["least"] + 1, min(buckets, -(-buckets * docs_per_language // r["n"])))
+        for r in sizes
+    }
+    languages = sorted(shares)
+    bound = F.create_map(*[F.lit(x) for lang in languages for x in (lang, shares[lang])])
+    sample = rows.where(drawn < F.element_at(bound, F.col("lang")))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from collections import Counter
@@ -242,15 +257,16 @@ def train(
                 ["lang", "gram", "script", "n"],
             )
 
+    frequent = Window.partitionBy("lang", F.col("script") != "").orderBy(F.desc("n"), "gram", "script")
     counts = (
         sample.mapInArrow(count, "lang string, gram string, script string, n bigint")
         .groupBy("lang", "gram", "script")
         .agg(F.sum("n").alias("n"))
+        .withColumn("place", F.row_number().over(frequent))
+        .where((F.col("script") != "") | (F.col("place") <= -(-most_grams // len(languages))))
         .orderBy(F.desc("n"), "lang", "gram", "script")
-        .limit(most_grams)
         .collect()
     )
-    languages = sorted(sizes)
     column = {lang: k for k, lang in enumerate(languages)}
     letters: dict[tuple[str, str], int] = {}
     table: dict[str, int] = {}
@@ -281,8 +297,41 @@ def train(
     )
 
 
+def _paths(texts: list[str | None], words: _Words):
+    """States of the words of some texts, the text each word is in, and sizes, languages
+    and scores of the texts."""
+    model = words.model
+    names = [*model.languages, UNKNOWN]
+    parts = [(t or "").split() for t in texts]
+    sizes = np.array([len(p) for p in parts], np.int64)
+    if len(words) > words.LIMIT:
+        words.forget()
+    get = words.__getitem__
+    numbers = np.fromiter((get(w) for p in parts for w in p), np.int64, int(sizes.sum()))
+    scores, letters = words.scored()
+    letters = letters[numbers]
+    states = best_paths(scores[numbers], sizes, model.penalty)
+    doc = np.repeat(np.arange(len(texts)), sizes)
+    held, known = np.zeros((2, len(texts), len(names)))
+    np.add.at(held, (doc, states), letters[:, 0])
+    np.add.at(known, (doc, states), letters[:, 1])
+    total, rows = held.sum(axis=1), np.arange(len(texts))
+    # A path holds more in scripts that tell languages than in others, where it can.
+    lead = np.where(known.any(axis=1), known.argmax(axis=1), held.argmax(axis=1))
+    if not model.always:
+        known, lead = held, held.argmax(axis=1)
+    score = np.divide(known[rows, lead], total, out=np.zeros(len(texts)), where=total > 0)
+    lang = [names[k] if n else UNKNOWN for k, n in zip(lead, total)]
+    score[[x == UNKNOWN for x in lang]] = 0.0
+    return states, doc, sizes, lang, score
+
+
 def identify(
-    docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text"
+    docs: DataFrame,
+    model: Model,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    always: bool = False,
 ) -> DataFrame:
     """(doc_id, lang, score, spans): the language with most letters, and labelled spans.
 
@@ -290,33 +339,19 @@ def identify(
     the last one excluded.  Words without letters join the span around them.  ``score`` is
     the part of all letters that the language's spans hold.  Null texts and texts without
     letters are ``und`` with score 0 and, having no language, one span or none; ties go to
-    the earlier name.  One row per row of ``docs``.
+    the earlier name.  So are words in a script of no language; with ``always`` those take
+    a language too, but do not count for the score.  One row per row of ``docs``.
     """
     ids = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     names = [*model.languages, UNKNOWN]
     kind = field(ids, "doc_id")
+    used = replace(model, always=always)
     span_type = pa.list_(
         pa.struct([("first", pa.int32()), ("last", pa.int32()), ("lang", pa.string())])
     )
 
     def label(texts: list[str | None], words: _Words):
-        parts = [(t or "").split() for t in texts]
-        sizes = np.array([len(p) for p in parts], np.int64)
-        if len(words) > words.LIMIT:
-            words.forget()
-        get = words.__getitem__
-        numbers = np.fromiter((get(w) for p in parts for w in p), np.int64, int(sizes.sum()))
-        scores, letters = words.scored()
-        letters = letters[numbers]
-        states = best_paths(scores[numbers], sizes, model.penalty)
-        doc = np.repeat(np.arange(len(texts)), sizes)
-        held = np.zeros((len(texts), len(names)))
-        np.add.at(held, (doc, states), letters)
-        total = held.sum(axis=1)
-        lead = held.argmax(axis=1)
-        score = np.divide(held[np.arange(len(texts)), lead], total, out=np.zeros(len(texts)), where=total > 0)
-        lang = [names[k] if n else UNKNOWN for k, n in zip(lead, total)]
-        score[[x == UNKNOWN for x in lang]] = 0.0
+        states, doc, sizes, lang, score = _paths(texts, words)
         change = np.ones(len(states), bool)
         change[1:] = (states[1:] != states[:-1]) | (doc[1:] != doc[:-1])
         first = np.flatnonzero(change)
@@ -329,7 +364,7 @@ def identify(
         return lang, score, spans
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = _Words(model)
+        words = _Words(used)
         for batch in small_slices(batches, 1, 12 << 20):
             lang, score, spans = label(batch.column(1).to_pylist(), words)
             yield pa.RecordBatch.from_arrays(
@@ -344,6 +379,29 @@ def identify(
     )
 
 
+def language_of(text: Column, model: Model, limit: int = 8 << 20) -> Column:
+    """The language of a text column as ``identify`` tells it, beside the row.
+
+    Only texts go to Python and only names come back, in slices of about ``limit`` bytes.
+    Not deterministic for the optimiser's sake alone, which would else run it once more in
+    a filter on its result.
+    """
+
+    @F.pandas_udf("string")
+    def names(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        words = _Words(model)
+        for part in parts:
+            texts, found, start, size = part.tolist(), [], 0, 0
+            for k, text in enumerate(texts):
+                size += len(text or "")
+                if size >= limit or k + 1 == len(texts):
+                    found += _paths(texts[start : k + 1], words)[3]
+                    start, size = k + 1, 0
+            yield pd.Series(found, dtype=object)
+
+    return names.asNondeterministic()(text)
+
+
 def held_out(doc_id):
     """Whether a document is kept from training, by the checksum of its id as text."""
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 5 == 0, F.lit(False))
@@ -352,7 +410,7 @@ def held_out(doc_id):
 def op5_language(spark, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     model = train(docs.where(~held_out(F.col("doc_id"))))
-    return identify(docs, model).select(
+    return identify(docs, model, always=True).select(
         "doc_id",
         held_out(F.col("doc_id")).alias("held_out"),
         F.col("lang").alias("lang_pred"),

@@ -7,8 +7,8 @@ another place, the windows around the hit are compared whole; the union of those
 stand elsewhere too are the maximal repeats.
 
 Documents are handled in chunks of whole rows.  What is shuffled is packed: a chunk sends
-each bucket of hashes its own hashes in order of place, and gets back one bit for each.
-So a passage that very many documents share costs one entry a place and no pairs.
+each bucket of hashes its own different hashes in order, and gets back one bit for each.
+So a passage that very many documents share costs one entry a chunk and no pairs.
 """
 
 from __future__ import annotations
@@ -120,8 +120,8 @@ class Chunk:
         self.aligned = within[self.probes] % self.block == 0
         self.windows = np.flatnonzero(left >= window)
 
-    def probe_hashes(self) -> np.ndarray:
-        return rolling(self.hashes, self.block, FIRST)[self.probes]
+    def different_probes(self) -> Different:
+        return Different(rolling(self.hashes, self.block, FIRST)[self.probes])
 
     def candidates(self, hit: np.ndarray) -> np.ndarray:
         """Windows that hold a hit; ``hit`` says which probes are."""
@@ -130,11 +130,12 @@ class Chunk:
         w = self.windows
         return w[total[w + self.window - self.block + 1] > total[w]]
 
-    def window_hashes(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        return (
-            rolling(self.hashes, self.window, FIRST)[at],
-            rolling(self.hashes, self.window, SECOND)[at],
-        )
+    def different_windows(self, at: np.ndarray) -> tuple[Different, np.ndarray]:
+        """The windows at some places, by 95 bits of hash, and the last 31 of those bits."""
+        first = rolling(self.hashes, self.window, FIRST)[at]
+        second = (rolling(self.hashes, self.window, SECOND)[at] >> np.uint64(33)).astype("<u4")
+        found = Different(first, second)
+        return found, second[found.first]
 
     def kept(self, repeated: np.ndarray) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
         """Words, removed words and kept words of each document, given the repeated windows."""
@@ -158,7 +159,7 @@ class Chunk:
 
 
 def _chunks(batches: Iterator[pa.RecordBatch], limit: int):
-    """(chunk id, ids, texts): ids are the same whenever the same table is read again."""
+    """(chunk id, ids, texts); the ids are different within one run over the table."""
     from pyspark import TaskContext
 
     number = TaskContext.get().partitionId() << 32
@@ -236,34 +237,52 @@ def _sizes_and_joined(parts: list[bytes], width: int):
     return sizes, np.frombuffer(b"".join(parts), np.uint8).reshape(-1, width)
 
 
+class Different:
+    """The different values of some hashes, each once: ``values`` in rising order, whether
+    they stand in ``many`` places, and ``inverse``, the value of each place."""
+
+    def __init__(self, *keys: np.ndarray):
+        order = np.lexsort(keys[::-1])
+        new = np.ones(len(order), bool)
+        if len(order):
+            new[1:] = np.any([k[order][1:] != k[order][:-1] for k in keys], axis=0)
+        self.first = order[new]
+        self.values = keys[0][self.first]
+        self.inverse = np.zeros(len(order), np.int64)
+        self.inverse[order] = np.cumsum(new) - 1
+        self.many = np.bincount(self.inverse, minlength=len(self.first)) > 1
+
+
+def _groups(*keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The group of each entry, and how many entries each group has."""
+    found = Different(*keys)
+    return found.inverse, np.bincount(found.inverse, minlength=len(found.first))
+
+
 def judge_probes(parts: list[bytes]):
     """Probes whose hash is a block's, where that hash stands in two places or more.
 
-    An entry is 31 bits of hash, and the lowest bit set for a block.
+    An entry is 30 bits of hash, a bit for many places, and the lowest bit for a block.
     """
     sizes, rows = _sizes_and_joined(parts, 4)
     h = rows.reshape(-1).view("<u4")
-    value, block = h >> 1, (h & 1).astype(bool)
-    order = np.argsort(value, kind="stable")
-    first = np.r_[True, value[order][1:] != value[order][:-1]] if len(order) else np.zeros(0, bool)
-    group = np.cumsum(first) - 1
-    n = np.bincount(group)
-    blocks = np.bincount(group, block[order])
-    hit = np.zeros(len(order), bool)
-    hit[order] = ((n > 1) & (blocks > 0))[group]
-    return hit, sizes
+    group, n = _groups(h >> 2)
+    blocks = np.bincount(group, h & 1, len(n))
+    many = np.bincount(group, (h >> 1) & 1, len(n))
+    return (((n > 1) | (many > 0)) & (blocks > 0))[group], sizes
 
 
 def judge_windows(parts: list[bytes]):
-    """Whole windows that stand in two places or more; an entry is 12 bytes of hash."""
+    """Whole windows that stand in two places or more.
+
+    An entry is 12 bytes: 95 bits of hash, and the lowest bit of the last four for many.
+    """
     sizes, rows = _sizes_and_joined(parts, 12)
     a = np.ascontiguousarray(rows[:, :8]).view("<u8").reshape(-1)
     b = np.ascontiguousarray(rows[:, 8:]).view("<u4").reshape(-1)
-    order = np.lexsort((b, a))
-    same = (a[order][1:] == a[order][:-1]) & (b[order][1:] == b[order][:-1])
-    hit = np.zeros(len(order), bool)
-    hit[order] = np.r_[False, same] | np.r_[same, False] if len(order) else False
-    return hit, sizes
+    group, n = _groups(a, b >> 1)
+    many = np.bincount(group, b & 1, len(n))
+    return ((n > 1) | (many > 0))[group], sizes
 
 
 def _bits(hashes: np.ndarray, buckets: int, answers: list[dict] | None) -> np.ndarray:
@@ -293,8 +312,9 @@ def remove_repeats(
     and empty texts have no words.  Each row of ``docs`` gives one row and counts by
     itself, so a repeated row of ``window`` words or more is removed whole.
 
-    ``docs`` is read three times and must give the same rows in the same order each time,
-    as a stored table does.  Equal windows are told by 96 bits of hash.
+    ``docs`` is read once, into stored chunks of whole texts that every later step reads.
+    A chunk sends each different hash once, so one window that stands in a third of all
+    places costs an entry a chunk.  Equal windows are told by 95 bits of hash.
     """
     import zstandard
 
@@ -303,15 +323,24 @@ def remove_repeats(
     buckets = max(8, -(-size // BUCKET_BYTES))
     kind = ids.schema["doc_id"].dataType
 
-    def probes(batches):
-        for number, _, texts in _chunks(batches, CHUNK_BYTES):
-            chunk = Chunk(texts, window)
-            h = chunk.probe_hashes()
-            entry = (h.astype("<u4") & np.uint32(0xFFFFFFFE)) | chunk.aligned
-            yield _send(number, h, buckets, lambda c: entry[c].astype("<u4").tobytes())
-
     sent = "bucket int, chunk bigint, payload binary"
-    hits = _answer(ids.mapInArrow(probes, sent), buckets, judge_probes, "repeat-hits")
+    def unpacked(texts: bytes, sizes: list[int]) -> list[bytes]:
+        data = zstandard.ZstdDecompressor().decompress(texts, max_output_size=max(1, sum(sizes)))
+        ends = np.cumsum(sizes).tolist()
+        return [data[e - n : e] for e, n in zip(ends, sizes)]
+
+    def rows_of(batches):
+        for batch in batches:
+            for k in range(batch.num_rows):
+                yield batch.slice(k, 1).to_pylist()[0]
+
+    def probes(batches):
+        for row in rows_of(batches):
+            chunk = Chunk(unpacked(row["texts"], row["sizes"]), window)
+            found = chunk.different_probes()
+            block = np.bincount(found.inverse, chunk.aligned, len(found.values)) > 0
+            entry = (found.values.astype("<u4") & np.uint32(0xFFFFFFFC)) | (found.many * np.uint32(2)) | block
+            yield _send(row["chunk"], found.values, buckets, lambda c: entry[c].astype("<u4").tobytes())
 
     def packed(batches):
         pack = zstandard.ZstdCompressor(level=1)
@@ -329,33 +358,27 @@ def remove_repeats(
     def answers(df: DataFrame, name: str) -> DataFrame:
         return df.groupBy("chunk").agg(F.collect_list(F.struct("bucket", "bits")).alias(name))
 
-    chunks = ids.mapInArrow(
-        packed, f"chunk bigint, ids array<{kind.simpleString()}>, sizes array<bigint>, texts binary"
+    columns = f"chunk bigint, ids array<{kind.simpleString()}>, sizes array<bigint>, texts binary"
+    chunks = stored(ids.mapInArrow(packed, columns), "repeat-chunks")
+    hits = _answer(
+        chunks.select("chunk", "sizes", "texts").mapInArrow(probes, sent), buckets, judge_probes, "repeat-hits"
     )
     asked = chunks.select("chunk", "sizes", "texts").join(answers(hits, "hits"), "chunk", "left")
 
-    def unpacked(texts: bytes, sizes: list[int]) -> list[bytes]:
-        data = zstandard.ZstdDecompressor().decompress(texts, max_output_size=max(1, sum(sizes)))
-        ends = np.cumsum(sizes).tolist()
-        return [data[e - n : e] for e, n in zip(ends, sizes)]
-
     def reopened(row) -> tuple[Chunk, np.ndarray]:
         chunk = Chunk(unpacked(row["texts"], row["sizes"]), window)
-        return chunk, chunk.candidates(_bits(chunk.probe_hashes(), buckets, row["hits"]))
-
-    def rows_of(batches):
-        for batch in batches:
-            for k in range(batch.num_rows):
-                yield batch.slice(k, 1).to_pylist()[0]
+        found = chunk.different_probes()
+        return chunk, chunk.candidates(_bits(found.values, buckets, row["hits"])[found.inverse])
 
     def wholes(batches):
         for row in rows_of(batches):
             chunk, at = reopened(row)
-            a, b = chunk.window_hashes(at)
-            entry = np.zeros((len(a), 12), np.uint8)
-            entry[:, :8] = a.astype("<u8").view(np.uint8).reshape(-1, 8)
-            entry[:, 8:] = (b >> np.uint64(32)).astype("<u4").view(np.uint8).reshape(-1, 4)
-            yield _send(row["chunk"], a, buckets, lambda c: entry[c].tobytes())
+            found, rest = chunk.different_windows(at)
+            entry = np.zeros((len(rest), 12), np.uint8)
+            entry[:, :8] = found.values.astype("<u8").view(np.uint8).reshape(-1, 8)
+            last = (rest << np.uint32(1)) | found.many
+            entry[:, 8:] = last.astype("<u4").view(np.uint8).reshape(-1, 4)
+            yield _send(row["chunk"], found.values, buckets, lambda c: entry[c].tobytes())
 
     twice = _answer(asked.mapInArrow(wholes, sent), buckets, judge_windows, "repeat-windows")
     decided = chunks.join(
@@ -365,7 +388,8 @@ def remove_repeats(
     def removed(batches):
         for row in rows_of(batches):
             chunk, at = reopened(row)
-            repeated = at[_bits(chunk.window_hashes(at)[0], buckets, row["windows"])]
+            found, _ = chunk.different_windows(at)
+            repeated = at[_bits(found.values, buckets, row["windows"])[found.inverse]]
             n, gone, kept = chunk.kept(repeated)
             yield pa.RecordBatch.from_arrays(
                 [

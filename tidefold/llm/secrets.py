@@ -307,7 +307,7 @@ def op3_secrets(spark, sf_dir: str) -> DataFrame:
 
 
 def digest(scanned: DataFrame) -> DataFrame:
-    """(doc_id, counts by kind, base_sha256, spans) of scanned documents."""
+    """(doc_id, counts of fixed formats, base_sha256, spans, n_random) of scanned documents."""
 
     def count(kind: int) -> Column:
         return F.size(F.filter("secrets", lambda s: s["kind"] == kind)).cast("long")
@@ -315,7 +315,8 @@ def digest(scanned: DataFrame) -> DataFrame:
     base = F.filter("secrets", lambda s: s["kind"] < 3)
     return scanned.select(
         "doc_id",
-        *[count(k).alias(f"n_{name}") for k, name in enumerate(KINDS)],
+        *[count(k).alias(f"n_{name}") for k, name in enumerate(KINDS[:3])],
         F.sha2(written(base), 256).alias("base_sha256"),
         written(F.col("secrets")).alias("spans"),
+        count(3).alias(f"n_{KINDS[3]}"),
     )

@@ -91,21 +91,20 @@ def top_k(
     Scores are integer inner products of floor(factor * x); sums must fit in a long.
     A shorter vector counts as padded with zeros.  Rows whose id is the query's are its
     own and are left out.  Ties go to the smaller id.  Rows whose id or vector is null, or
-    that hold null or non-finite components, take no part.  Rows that share
-    an id are one vector, the smallest.  Empty sides give no rows.
+    that hold null or non-finite components, take no part.  Every candidate row counts,
+    also those that share an id; different query vectors of one id are queries of their own,
+    each with its ranks, and equal ones are one query.  Empty sides give no rows.
 
     Blocks are numbered by a hash of the id, so that each has about its size whatever the
     ids are.  A candidate is copied once for each query block.
     """
-    asked, rows = (
-        quantise(side, id_col, vector_col, factor).groupBy("vec_id").agg(F.min("terms").alias("terms"))
-        for side in (queries, candidates)
-    )
+    asked, rows = (quantise(side, id_col, vector_col, factor) for side in (queries, candidates))
+    asked = asked.distinct().withColumn("variant", F.xxhash64("terms"))
     n_q = max(1, -(-queries.count() // query_block))
     n_c = max(1, -(-candidates.count() // candidate_block))
     own_q = F.pmod(F.xxhash64("vec_id"), F.lit(n_q)).cast("int").alias("qb")
     own_c = F.pmod(F.xxhash64("vec_id"), F.lit(n_c)).cast("int").alias("cb")
-    left = asked.select("vec_id", "terms", own_q, F.explode(F.sequence(F.lit(0), F.lit(n_c - 1))).alias("cb"))
+    left = asked.select("vec_id", "variant", "terms", own_q, F.explode(F.sequence(F.lit(0), F.lit(n_c - 1))).alias("cb"))
     right = rows.select("vec_id", "terms", F.explode(F.sequence(F.lit(0), F.lit(n_q - 1))).alias("qb"), own_c)
 
     def block(q: pd.DataFrame, c: pd.DataFrame) -> pd.DataFrame:
@@ -115,24 +114,23 @@ def top_k(
             ids = c["vec_id"].to_numpy()
             lists = postings([np.asarray(t, np.int64) for t in c["terms"]])
             terms = [np.asarray(t, np.int64) for t in q["terms"]]
-            asked_ids = q["vec_id"].to_numpy()
+            asked_ids, variants = q["vec_id"].to_numpy(), q["variant"].to_numpy()
             for at in range(0, len(q), TOGETHER):
                 scores = accumulate(terms[at : at + TOGETHER], lists, len(ids))
-                for s, own in zip(scores, asked_ids[at : at + TOGETHER]):
-                    best = select(s, ids, own, k)
-                    out.append(
-                        pd.DataFrame({"query_id": own, "vec_id": ids[best], "score": s[best]})
-                    )
+                for n, s in enumerate(scores, at):
+                    best = select(s, ids, asked_ids[n], k)
+                    found = {"query_id": asked_ids[n], "variant": variants[n], "vec_id": ids[best], "score": s[best]}
+                    out.append(pd.DataFrame(found))
         if not out:
-            return pd.DataFrame({"query_id": [], "vec_id": [], "score": []}, dtype=np.int64)
+            return pd.DataFrame({c: [] for c in ("query_id", "variant", "vec_id", "score")}, dtype=np.int64)
         return pd.concat(out)
 
     parts = (
         left.groupBy("qb", "cb")
         .cogroup(right.groupBy("qb", "cb"))
-        .applyInPandas(block, "query_id bigint, vec_id bigint, score bigint")
+        .applyInPandas(block, "query_id bigint, variant bigint, vec_id bigint, score bigint")
     )
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    order = Window.partitionBy("query_id", "variant").orderBy(F.desc("score"), "vec_id")
     return (
         parts.withColumn("rank", F.row_number().over(order))
         .where(F.col("rank") <= k)
@@ -147,17 +145,21 @@ def op6_topk(spark, sf_dir: str) -> DataFrame:
 
 ORACLE = """
 with v as (
-  select vec_id, list_transform(embedding, lambda x: cast(floor(256 * cast(x as double)) as bigint)) as t
+  select row_number() over () as r, vec_id,
+         list_transform(embedding, lambda x: cast(floor(256 * cast(x as double)) as bigint)) as t
   from embeddings
   where vec_id is not null and embedding is not null
     and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
-x as (select vec_id, generate_subscripts(t, 1) as k, unnest(t) as w from v),
+q as (select vec_id, t, min(r) as r from v where vec_id % 50 = 0 group by 1, 2),
+x as (select r, generate_subscripts(t, 1) as k, unnest(t) as w from v),
+p as (
+  select a.r as q, b.r as c, sum(a.w * b.w) as score
+  from x a join x b on a.k = b.k where a.r in (select r from q)
+  group by 1, 2),
 s as (
-  select q.vec_id as query_id, c.vec_id as vec_id, cast(sum(q.w * c.w) as bigint) as score
-  from x q join x c on q.k = c.k and q.vec_id <> c.vec_id
-  where q.vec_id % 50 = 0
-  group by 1, 2)
+  select q.r as q, q.vec_id as query_id, v.vec_id as vec_id, cast(coalesce(p.score, 0) as bigint) as score
+  from q join v on q.vec_id <> v.vec_id left join p on p.q = q.r and p.c = v.r)
 select query_id, cast(rank as integer) as rank, vec_id, score
-from (select *, row_number() over (partition by query_id order by score desc, vec_id) as rank from s)
+from (select *, row_number() over (partition by q order by score desc, vec_id) as rank from s)
 where rank <= 5
 """
