@@ -42,7 +42,12 @@ def printed_float(name: str) -> Column:
 
     One parsed expression: building it call by call costs more than running it.
     """
-    return F.expr(_PRINTED_FLOAT.format(f"`{name}`"))
+    return F.expr(printed_float_sql(f"`{name}`"))
+
+
+def printed_float_sql(value: str) -> str:
+    """SQL for the printed form of a float or double expression."""
+    return _PRINTED_FLOAT.format(value)
 
 
 def printed_bytes(value: Column) -> Column:
@@ -52,6 +57,12 @@ def printed_bytes(value: Column) -> Column:
     return F.concat(F.lit("["), F.array_join(numbers, " "), F.lit("]"))
 
 
+def printed_bytes_sql(value: str) -> str:
+    """SQL for the printed form of a byte string expression."""
+    octets = f"regexp_extract_all(hex({value}), '(..)')"
+    return f"concat('[', array_join(transform({octets}, o -> conv(o, 16, 10)), ' '), ']')"
+
+
 def printed(df: DataFrame, name: str) -> Column:
     """Printed form of a column, chosen by its type."""
     column, kind = F.col(name), df.schema[name].dataType

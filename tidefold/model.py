@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import total_ordering
 
@@ -36,7 +37,7 @@ SEQ = ("logfile", "logpos", "row_idx")
 META = (*SEQ, "op")
 
 # Names that change rows and their folds use beside a table's own columns.
-RESERVED = (*META, "present", "boundary", "latest", "_file_no")
+RESERVED = (*META, "present", "boundary", "latest", "_file_no", "split")
 
 
 @total_ordering
@@ -71,6 +72,23 @@ class Column:
     is_in_primary_key: bool = False
 
 
+@dataclass(frozen=True)
+class Followed:
+    """A table that is loaded or followed: its columns, and where its snapshot was taken."""
+
+    table: str
+    columns: Sequence[Column]
+    position: Position
+
+    @property
+    def key(self) -> list[str]:
+        return [c.name for c in self.columns if c.is_in_primary_key]
+
+    @property
+    def doc(self) -> list[str]:
+        return [c.name for c in self.columns if not c.is_in_primary_key]
+
+
 POSITION_SCHEMA = T.StructType(
     [T.StructField("logfile", T.StringType()), T.StructField("logpos", T.LongType())]
 )

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -63,6 +65,24 @@ def catchup_range(
     return replayed.where(F.col("tbl").isin(tables)) if tables else replayed
 
 
+def catchup_many(
+    events: DataFrame, ranges: DataFrame, on: Sequence[str] = ("tbl",)
+) -> DataFrame:
+    """Events of many tables, each in its own range, in one scan of the log.
+
+    ``ranges`` has a row for each of ``on``, with from_logfile, from_logpos (exclusive),
+    to_logfile and to_logpos (inclusive); its other columns are added to the events.  The
+    smallest and largest position bound the scan; ranges are joined by their real size.
+    """
+    begin, end = position("from_logfile", "from_logpos"), position("to_logfile", "to_logpos")
+    file = F.coalesce(file_number(), F.lit(-1))
+    lowest = ranges.agg(F.coalesce(F.min(begin)["file_no"], F.lit(-1)).alias("n")).scalar()
+    highest = ranges.agg(F.coalesce(F.max(end)["file_no"], F.lit(-1)).alias("n")).scalar()
+    some = events.where((file >= lowest) & (file <= highest))
+    joined = some.join(ranges, list(on)).where((position() > begin) & (position() <= end))
+    return joined.drop("from_logfile", "from_logpos", "to_logfile", "to_logpos")
+
+
 def _literal(at: Position):
     return position(F.lit(at.logfile), F.lit(at.logpos).cast("bigint"))
 

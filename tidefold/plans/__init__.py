@@ -5,6 +5,7 @@ from tidefold.plans import (  # noqa: F401  (importing registers the queries)
     queries_filters,
     queries_sources,
     queries_streams,
+    queries_tables,
     queries_verify,
 )
 from tidefold.plans.registry import ORACLES, QUERIES

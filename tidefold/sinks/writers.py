@@ -13,7 +13,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidefold.functions.keys import render_pk
-from tidefold.model import COLUMN_SCHEMA, Column
+from tidefold.model import COLUMN_SCHEMA, Column, Followed
+from tidefold.operators import tables
 from tidefold.operators.documents import bulk_lines, document, index_mapping
 from tidefold.operators.fold import fold_state, merge_state, merged_actions, net_actions
 
@@ -74,6 +75,41 @@ class BulkTextSink:
         mapping.coalesce(1).write.mode("ignore").text(f"{self.path}/mapping")
 
 
+@dataclass(frozen=True)
+class TablesLogSink:
+    """Every change of all tables as it came, in parquet, a folder for each table."""
+
+    path: str
+
+    def __call__(self, changes: DataFrame, batch_id: int) -> None:
+        _of_batch(changes, batch_id).partitionBy("tbl").parquet(f"{self.path}/batch_id={batch_id}")
+
+
+@dataclass(frozen=True)
+class TablesBulkSink:
+    """As ``BulkTextSink``, for changes of many tables at once (see ``operators.tables``): an
+    index for each table, and a batch is one job whatever their number."""
+
+    path: str
+    tables: Sequence[Followed]
+
+    def __call__(self, changes: DataFrame, batch_id: int) -> None:
+        catalog = tables.catalog_of(changes.sparkSession, "", self.tables)
+        actions = tables.table_actions(tables.fold_tables(changes, 1))
+        lines = tables.action_lines(actions, catalog, tables.kinds_in(self.tables))
+        _of_batch(lines, batch_id).partitionBy("tbl").text(f"{self.path}/bulk/batch_id={batch_id}")
+
+    def on_table_init(self, spark: SparkSession, table: str, columns: Sequence[Column]) -> None:
+        BulkTextSink(f"{self.path}/index/{table}", table, [], []).on_table_init(spark, table, columns)
+
+
+def _of_batch(rows: DataFrame, batch_id: int):
+    """A writer that replaces a batch.  What does not come from the stream has a negative id
+    and may come again for other tables, whose folders stay."""
+    mode = "dynamic" if batch_id < 0 else "static"
+    return rows.write.mode("overwrite").option("partitionOverwriteMode", mode)
+
+
 @dataclass(frozen=True)
 class JdbcSink:
     """Net actions of each batch appended to a database table, which the database

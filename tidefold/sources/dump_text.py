@@ -8,7 +8,8 @@ INSERT with anything else in it, or cut off, is reported and never half read.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Collection, Iterator, Mapping, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import Column as SparkColumn
 from pyspark.sql import DataFrame, SparkSession
@@ -45,14 +46,20 @@ def line_end_of(spark: SparkSession, path: str) -> str:
     return "\r\n" if first and first[0]["cr"] else "\n"
 
 
-def read_statements(spark: SparkSession, path: str, line_end: str | None = None) -> DataFrame:
+def read_statements(
+    spark: SparkSession,
+    path: str | list[str],
+    line_end: str | None = None,
+    more: Mapping[str, SparkColumn] | None = None,
+) -> DataFrame:
     """Statements of the dump files below ``path``, one per row, as written.
 
     ``file``, ``block``, ``ord`` and ``part`` order them: a block is read by one task
     from its start to its end.  Files are split between statements, at ``;`` and the
     line end, which is looked up if it is not given.  What still stands together,
     because of blanks after ``;`` or of mixed line ends, is cut in a second step, so
-    it is right but split no further between tasks.
+    it is right but split no further between tasks.  ``more`` adds columns made of the
+    file's metadata.
     """
     line_end = line_end or line_end_of(spark, path)
     several = F.split("value", r";[ \t\r]*(?:\n|$)")
@@ -64,6 +71,7 @@ def read_statements(spark: SparkSession, path: str, line_end: str | None = None)
             F.col("_metadata.file_path").alias("file"),
             F.col("_metadata.file_block_start").alias("block"),
             F.monotonically_increasing_id().alias("ord"),
+            *[value.alias(name) for name, value in (more or {}).items()],
             F.posexplode(
                 F.when(F.contains("value", F.lit(";")), several).otherwise(F.array("value"))
             ).alias("part", "value"),
@@ -71,6 +79,77 @@ def read_statements(spark: SparkSession, path: str, line_end: str | None = None)
     )
 
 
+#: Bytes of a split of a dump, by which a load can be resumed.
+SPLIT_BYTES = 128 << 20
+
+
+@contextmanager
+def pinned_splits(spark: SparkSession, split_bytes: int) -> Iterator[None]:
+    """Within it, files are cut every ``split_bytes``, whatever cores and files there are.
+
+    Spark otherwise chooses the size from both, and a load that goes on with other executors
+    would not find the splits of the first one.
+    """
+    pinned = {"spark.sql.files.maxPartitionBytes": str(split_bytes), "spark.sql.files.minPartitionNum": "1"}
+    before = {name: spark.conf.get(name, None) for name in pinned}
+    for name, value in pinned.items():
+        spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        for name, value in before.items():
+            if value is None:
+                spark.conf.unset(name)
+            else:
+                spark.conf.set(name, value)
+
+
+def _split_name(block: SparkColumn, split_bytes: int) -> SparkColumn:
+    """A split by the file it is of, as that is now, and where it begins there."""
+    file = F.xxhash64(
+        "_metadata.file_path", "_metadata.file_size",
+        F.unix_micros(F.col("_metadata.file_modification_time").cast("timestamp")), F.lit(split_bytes),
+    )
+    return F.concat_ws("-", F.lower(F.hex(file)), block.cast("string"))
+
+
+def list_splits(spark: SparkSession, path: str, split_bytes: int = SPLIT_BYTES) -> DataFrame:
+    """(split, path, size): the splits of a dump's files, listed without reading them.
+
+    Names change when a file does, so what was read of a file that has been replaced since
+    is read again.
+    """
+    size = F.col("_metadata.file_size")
+    begins = F.sequence(F.lit(0).cast("long"), F.greatest(size - 1, F.lit(0)), F.lit(split_bytes).cast("long"))
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+    listed = files.select("path", size.alias("file_size"), "_metadata", F.explode(begins).alias("block"))
+    return listed.select(
+        _split_name(F.col("block"), split_bytes).alias("split"),
+        "path",
+        F.least(F.lit(split_bytes), F.col("file_size") - F.col("block")).alias("size"),
+    )
+
+
+def read_splits(
+    spark: SparkSession, path: str, finished: Collection[str], split_bytes: int = SPLIT_BYTES
+) -> DataFrame:
+    """Statements of the splits that are not ``finished``, with their ``split``.
+
+    Files that are finished whole are not opened.  Of other files, statements of finished
+    splits are left out before anything is parsed.  Read it within ``pinned_splits``.
+    """
+    line_end = line_end_of(spark, path)
+    listed = list_splits(spark, path, split_bytes)
+    done = spark.createDataFrame([(f,) for f in sorted(finished)], "split string")
+    open_files = [r["path"] for r in listed.join(done, "split", "left_anti").select("path").distinct().collect()]
+    if not open_files:
+        return read_statements(spark, path, line_end).withColumn("split", F.lit("")).limit(0)
+    name = _split_name(F.col("_metadata.file_block_start"), split_bytes)
+    statements = read_statements(spark, open_files, line_end, {"split": name})
+    # The finished are few and short beside the texts; they are broadcast where they are.
+    return statements.join(done, "split", "left_anti") if finished else statements
+
+
 def _starting(statements: DataFrame, words: str) -> DataFrame:
     """Statements that start with some words, without comments before them.
 
@@ -122,19 +201,20 @@ def dump_rejects(statements: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     return insert_tuples(statements, keep).where("unread is not null").select(*keep, "tbl", "unread")
 
 
-def dump_rows(statements: DataFrame, columns: Sequence[Column]) -> DataFrame:
+def dump_rows(statements: DataFrame, columns: Sequence[Column], keep: Sequence[str] = ()) -> DataFrame:
     """Typed rows of a dump, bound to ``columns`` by position.
 
     ``_id`` is the rendered key; ``_bad`` names the columns whose literal does not
     fit the declared type, and holds ``*`` when the tuple has values at unknown
     positions, or ``INSERT`` when the row stands for a statement that cannot be read
-    whole.  Good rows have an empty ``_bad``; nothing is dropped here.
+    whole.  Good rows have an empty ``_bad``; nothing is dropped here.  ``keep`` names columns
+    of the statements to keep, which the table must not have.
     """
     ordered = sorted(columns, key=lambda c: c.position)
     key = [c.name for c in ordered if c.is_in_primary_key]
     slot = {c.name: f"_{c.position}" for c in ordered}
     read = read_literals(
-        insert_tuples(statements),
+        insert_tuples(statements, keep),
         {slot[c.name]: F.get("literals", F.lit(c.position)) for c in ordered},
     ).withColumns({f"{slot[c.name]}_v": typed(slot[c.name], spark_type(c.type)) for c in ordered})
     failed = [
@@ -144,6 +224,7 @@ def dump_rows(statements: DataFrame, columns: Sequence[Column]) -> DataFrame:
     too_wide = F.when(F.size("literals") > len(ordered), "*")
     unread = F.when(F.col("unread").isNotNull(), "INSERT")
     row = F.struct(
+        *keep,
         *[F.col(f"{slot[c.name]}_v").alias(c.name) for c in ordered],
         F.array_compact(F.array(*failed, too_wide, unread)).alias("_bad"),
     )
