@@ -13,7 +13,7 @@ SF = "/root/testdata/sf0.001"
 WRITING = {"fan_out", "change_source", "stream_apply", "stream_checkpoint", "stream_fan_out"}
 WRITING |= {"dump_rows", "dump_rows_pages", "dump_rows_documents", "dump_columns", "dump_rejects"}
 WRITING |= {"dump_resume", "stream_tables", "fan_out_in_order", "change_source_broken", "stream_rotate"}
-WRITING |= {"stream_dropped_updates"}
+WRITING |= {"stream_dropped_updates", "dump_rows_quoted"}
 
 
 @pytest.fixture

@@ -22,7 +22,7 @@ from tidefold.sinks.fanout import FanOut
 from tidefold.sinks.state import FoldStore
 from tidefold.sinks.tables import TablesStore
 from tidefold.sinks.writers import BulkTextSink, ChangeLogSink
-from tidefold.sources import dump_text
+from tidefold.sources import dump_text, quoted
 from tidefold.sources.change_log import broken_lines, good_events, stream_change_log
 from tidefold.sources.tables import scan_table as scan
 from tidefold.streaming.apply import run_stream
@@ -48,6 +48,29 @@ def dump_resume(spark: SparkSession, sf: str) -> DataFrame:
     return store.current(spark, table)
 
 
+_LINED = Column("lined", "longtext", 1)
+
+
+@query("dump_rows_quoted", "select doc_id, replace(text, '. ', ';' || chr(10)) lined from documents")
+def dump_rows_quoted(spark: SparkSession, sf: str) -> DataFrame:
+    """A dump whose strings hold line breaks, many of them behind ``;``, as they are."""
+    folder = scratch_dir(spark, "dump-quoted")
+    lined = F.replace("text", F.lit(". "), F.lit(";\n"))
+    plain = F.replace(F.replace(lined, F.lit("\\"), F.lit("\\\\")), F.lit("'"), F.lit("''"))
+    value = F.coalesce(F.concat(F.lit("'"), plain, F.lit("'")), F.lit("NULL"))
+    row = F.concat(F.lit("INSERT INTO `d` VALUES ("), F.col("doc_id").cast("string"), F.lit(","), value, F.lit(");"))
+    scan(spark, sf, "documents").select(row.alias("value")).write.text(f"{folder}/dump")
+    with dump_text.pinned_splits(spark, 4 << 20):
+        statements = stored(quoted.read_quoted(spark, f"{folder}/dump"), f"{folder}/statements")
+    rows = dump_text.dump_rows(statements, [Column("doc_id", "bigint", 0, True), _LINED])
+    return dump_text.require_good(rows).drop("_id")
+
+
+def stored(rows: DataFrame, path: str) -> DataFrame:
+    rows.write.parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)
+
+
 # The row events dealt to seven tables, which all have the columns of one.
 _SHARES = 7
 _TABLES = [
