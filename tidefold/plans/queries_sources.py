@@ -105,8 +105,11 @@ def dump_rejects(spark: SparkSession, sf: str) -> DataFrame:
     + """select tbl, name, "type", "position", is_in_primary_key from catalog""",
 )
 def dump_columns(spark: SparkSession, sf: str) -> DataFrame:
-    made = inputs.create_statements(spark, sf).withColumn("value", F.concat("value", F.lit(";")))
-    return dump_text.dump_columns(_from_files(made, "file")).drop("file")
+    """Statements of all tables in a few files; each table counts as a dump of its own."""
+    made = inputs.create_statements(spark, sf).select(F.concat("value", F.lit(";")).alias("value"))
+    statements = _from_files(made)
+    named = statements.withColumn("dump", F.regexp_extract("value", r"CREATE TABLE `(\w+)`", 1))
+    return dump_text.dump_columns(named, "dump").drop("dump")
 
 
 @query(

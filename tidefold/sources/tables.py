@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
@@ -39,10 +40,15 @@ def scan_jdbc(
 def table_inventory(spark: SparkSession, root: str) -> DataFrame:
     """Name and row count of every table below ``root``, empty tables included.
 
-    Names come from a file listing whose contents are not read; counts read no
-    column, so they are answered from file metadata.
+    A table is a parquet file, or a folder of such files, of any name, right below
+    ``root``; it is named by that file or folder without ``.parquet``.  Names come from a
+    file listing whose contents are not read; counts read no column, so they are answered
+    from file metadata.
     """
-    name = F.regexp_extract(F.col("path"), r"/([^/]+)\.parquet(?:/.*)?$", 1)
+    top = root.rstrip("/").rsplit("/", 1)[-1]
+    # What follows the root: paths are made absolute, so its last name is looked for.
+    below = F.regexp_extract("path", rf"^.*/{re.escape(top)}/(.*)$", 1)
+    name = F.regexp_replace(F.regexp_extract(below, r"^([^/]+)", 1), r"\.parquet$", "")
     listed = (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", "true")
