@@ -5,6 +5,10 @@ the words at its ones is a seed, whatever stands at its zeros.  Equal seeds are
 Around each hit the item and the text are compared word by word, so that some words may
 be substituted.
 
+Items of up to nine words are found by masks as long as themselves: one without zeros and,
+where one word may be substituted, one with a zero at each place.  So they are found
+whatever that word is.
+
 Everything is DataFrame functions: seeds of texts are made and looked up in one pass of
 generated code, and only hits, with the few words around them, go further.  Where there
 are too many test items to broadcast their seeds, seeds are joined by a shuffle without
@@ -41,14 +45,29 @@ def _seed(words: Column, at: Column, number: int, mask: str) -> Column:
     return F.xxhash64(F.lit(number), *ones)
 
 
-def seeds(words: DataFrame, masks=MASKS, *carried: str) -> DataFrame:
-    """Rows (seed, at, *carried) for each mask at each place of ``words``."""
+def seeds(words: DataFrame, masks=MASKS, *carried: str, first: int = 0) -> DataFrame:
+    """Rows (seed, at, width, *carried) for each mask at each place of ``words``.
+
+    The masks have one length, ``width``; ``first`` is the number of the first of them.
+    """
     span = max(map(len, masks))
     size = F.size("words")
     places = F.when(size >= span, F.sequence(F.lit(1), size - (span - 1)))
     each = words.where(size >= span).select(*carried, "words", F.explode(places).alias("at"))
-    made = F.array(*[_seed(F.col("words"), F.col("at"), k, m) for k, m in enumerate(masks)])
-    return each.select(*carried, "words", "at", F.explode(made).alias("seed"))
+    made = F.array(*[_seed(F.col("words"), F.col("at"), k, m) for k, m in enumerate(masks, first)])
+    return each.select(*carried, "words", "at", F.explode(made).alias("seed"), F.lit(span).alias("width"))
+
+
+#: Items of up to so many words have masks of their own length.
+SHORT = 9
+
+
+def short_masks(length: int, similarity: float) -> tuple[str, ...]:
+    """Masks for an item of ``length`` words: all of it, and all but one word if that is enough."""
+    whole = "1" * length
+    if length - 1 < similarity * length:
+        return (whole,)
+    return (whole, *[whole[:k] + "0" + whole[k + 1 :] for k in range(length)])
 
 
 def overlaps(
@@ -65,17 +84,20 @@ def overlaps(
 ) -> DataFrame:
     """(doc_id, item_id, matched, compared): documents that hold words of test items.
 
-    Each hit is verified in the ``span`` words of the item that begin and that end with
-    the hit's mask (the whole item, if it is shorter), against the words of the document
-    at the same distance: at least ``similarity`` of them must be equal.  The best stretch
-    is reported, one row for each document id and item.  Items shorter than the masks,
-    null texts and null item ids match nothing; rows of one doc_id count together, null
-    ids too; other columns are not looked at.  An empty side gives no rows.
+    Each hit is verified in every stretch of ``span`` words of the item that holds the hit
+    (the whole item, if it is shorter), against the words of the document at the same
+    distance: at least ``similarity`` of them must be equal.  The best stretch is reported,
+    one row for each document id and item.  Items without words, null texts and null item
+    ids match nothing; rows of one doc_id count together, null ids too; other columns are
+    not looked at.  An empty side gives no rows.
+
+    What the masks cannot find: a stretch in which each run of eight words has a
+    substitution under a one of both masks.  An item of up to SHORT words is found wherever
+    all its places lie in the document.
     """
-    width = max(map(len, masks))
     test = items.select(
         F.col(item_id_col).alias("item_id"), tokens(F.col(item_text_col)).alias("words")
-    ).where("item_id is not null")
+    ).where("item_id is not null and words[0] <> ''")
     # Rows of equal id and text have equal keys, and equal results.
     whole = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     train = whole.select(
@@ -84,46 +106,64 @@ def overlaps(
         F.xxhash64("doc_id", "text").alias("k1"),
         F.xxhash64("text", F.lit(1), "doc_id").alias("k2"),
     )
-    known = seeds(test, masks, "item_id").select(
-        "seed", "item_id", F.col("at").alias("item_at"), F.size("words").alias("item_size")
+    # No more lengths than SHORT, and texts are looked through for those that occur only.
+    sizes = F.size("words")
+    short = sorted(r[0] for r in test.where(sizes <= SHORT).select(sizes).distinct().collect())
+
+    def all_seeds(side: DataFrame, of_item: bool, *carried: str) -> DataFrame:
+        out = seeds(side.where(sizes > SHORT) if of_item else side, masks, *carried)
+        first = len(masks)
+        for length in short:
+            own = short_masks(length, similarity)
+            part = side.where(sizes == length) if of_item else side
+            out = out.unionByName(seeds(part, own, *carried, first=first))
+            first += len(own)
+        return out
+
+    known = all_seeds(test, True, "item_id").select(
+        "seed", "item_id", F.col("at").alias("item_at"), F.size("words").alias("item_size"), F.col("width").alias("item_width")
     )
-    made = seeds(train, masks, "doc_id", "k1", "k2")
+    made = all_seeds(train, False, "doc_id", "k1", "k2").drop("width")
     if known.count() <= most_broadcast:
         hits = made.join(F.broadcast(known), "seed")
     else:
         slim = made.drop("words", "doc_id").join(known, "seed").drop("seed").distinct()
         hits = slim.join(train, ["k1", "k2"])
-    # Stretches of the item, from 1: one begins and one ends with the mask.
+    # The words of the item, from 1, that stretches around the hit reach.
     length = F.least(F.lit(span), F.col("item_size"))
-    low = F.greatest(F.lit(1), F.least(F.col("item_at"), F.col("item_size") - length + 1))
-    high = F.greatest(F.lit(1), F.col("item_at") + width - length)
+    low = F.greatest(F.lit(1), F.col("item_at") + F.col("item_width") - length)
+    high = F.greatest(F.lit(1), F.least(F.col("item_at"), F.col("item_size") - length + 1)) + length - 1
     near = hits.select(
         "doc_id",
         "item_id",
-        F.explode(F.array(low, high)).alias("first"),
+        low.alias("first"),
+        high.alias("last"),
         length.alias("compared"),
         (F.col("at") - F.col("item_at")).alias("shift"),
         "words",
     )
-    # Words of the document that stand against the stretch; what is outside is null.
+    # Words of the document that stand against them; what is outside is null.
     against = F.transform(
-        F.sequence(F.col("first"), F.col("first") + F.col("compared") - 1),
-        lambda i: F.get("words", i + F.col("shift") - 1),
+        F.sequence(F.col("first"), F.col("last")), lambda i: F.get("words", i + F.col("shift") - 1)
     )
     stretches = near.select(
         "doc_id", "item_id", "first", "compared", against.alias("found")
     ).distinct()
     own = test.select(F.col("item_id").alias("own_id"), F.col("words").alias("own"))
-    compared = stretches.join(own, stretches["item_id"] == own["own_id"]).select(
-        "doc_id",
-        "item_id",
-        "compared",
-        F.size(
-            F.filter(
-                F.zip_with(F.slice("own", F.col("first"), F.col("compared")), "found", lambda a, b: a == b),
-                lambda same: F.coalesce(same, F.lit(False)),
-            )
-        ).alias("matched"),
+    same = F.zip_with(
+        F.slice("own", F.col("first"), F.size("found")),
+        "found",
+        lambda a, b: F.coalesce((a == b).cast("int"), F.lit(0)),
+    )
+
+    def equal_from(i: Column) -> Column:
+        part = F.slice("same", i, F.col("compared"))
+        return F.aggregate(part, F.lit(0), lambda n, x: n + x)
+
+    begins = F.sequence(F.lit(1), F.size("same") - F.col("compared") + 1)
+    joined = stretches.join(own, stretches["item_id"] == own["own_id"])
+    compared = joined.select("doc_id", "item_id", "compared", same.alias("same")).select(
+        "doc_id", "item_id", "compared", F.array_max(F.transform(begins, equal_from)).alias("matched")
     )
     best = F.max(F.struct((F.col("matched") / F.col("compared")).alias("r"), "matched", "compared"))
     return (
@@ -141,19 +181,27 @@ def op1_decontaminate(spark, sf_dir: str) -> DataFrame:
     )
 
 
-ORACLE = r"""
-with d as (select row_number() over () as r, doc_id, string_split(trim(regexp_replace(translate(lower(coalesce(text, '')), '.,;:!?"''()[]{}<>', ''), '[\x20\x09-\x0D]+', ' ', 'g')), ' ') as w from documents),
-b as (select row_number() over () as r, item_id, string_split(trim(regexp_replace(translate(lower(coalesce(text, '')), '.,;:!?"''()[]{}<>', ''), '[\x20\x09-\x0D]+', ' ', 'g')), ' ') as w from benchmark where item_id is not null),
+_WORDS = r"""string_split(trim(regexp_replace(translate(lower(coalesce(text, '')), '.,;:!?"''()[]{}<>', ''), '[\x20\x09-\x0D]+', ' ', 'g')), ' ')"""
+
+ORACLE = (
+    f"""
+with d as (select row_number() over () as r, doc_id, {_WORDS} as w from documents),
+b as (select * from (select row_number() over () as r, item_id, {_WORDS} as w from benchmark where item_id is not null) where w[1] <> ''),"""
+    r"""
 ds as (
   select r, 0 as m, unnest(generate_series(1, len(w) - 7)) as i, unnest(list_transform(generate_series(1, len(w) - 7), lambda i: concat_ws(' ', w[i], w[i + 1], w[i + 3], w[i + 6], w[i + 7]))) as s from d where len(w) >= 8 union all
   select r, 1, unnest(generate_series(1, len(w) - 7)), unnest(list_transform(generate_series(1, len(w) - 7), lambda i: concat_ws(' ', w[i], w[i + 2], w[i + 3], w[i + 4], w[i + 7]))) from d where len(w) >= 8),
 bs as (
-  select r, len(w) as l, 0 as m, unnest(generate_series(1, len(w) - 7)) as i, unnest(list_transform(generate_series(1, len(w) - 7), lambda i: concat_ws(' ', w[i], w[i + 1], w[i + 3], w[i + 6], w[i + 7]))) as s from b where len(w) >= 8 union all
-  select r, len(w), 1, unnest(generate_series(1, len(w) - 7)), unnest(list_transform(generate_series(1, len(w) - 7), lambda i: concat_ws(' ', w[i], w[i + 2], w[i + 3], w[i + 4], w[i + 7]))) from b where len(w) >= 8),
+  select r, len(w) as l, 0 as m, unnest(generate_series(1, len(w) - 7)) as i, unnest(list_transform(generate_series(1, len(w) - 7), lambda i: concat_ws(' ', w[i], w[i + 1], w[i + 3], w[i + 6], w[i + 7]))) as s from b where len(w) >= 10 union all
+  select r, len(w), 1, unnest(generate_series(1, len(w) - 7)), unnest(list_transform(generate_series(1, len(w) - 7), lambda i: concat_ws(' ', w[i], w[i + 2], w[i + 3], w[i + 4], w[i + 7]))) from b where len(w) >= 10),
 h as (
   select distinct ds.r as dr, bs.r as br, ds.i - bs.i as shift, bs.i as bi, bs.l as bl, least(20, bs.l) as n
   from ds join bs on ds.m = bs.m and ds.s = bs.s),
-f as (select *, unnest([greatest(1, least(bi, bl - n + 1)), greatest(1, bi + 8 - n)]) as f from h),
+f as (
+  select dr, br, n, shift, unnest(generate_series(greatest(1, bi + 8 - n), greatest(1, least(bi, bl - n + 1)))) as f from h
+  union all
+  select d.r, b.r, len(b.w), unnest(generate_series(0, len(d.w) - len(b.w))), 1
+  from b join d on len(d.w) >= len(b.w) where len(b.w) < 10),
 e as (
   select doc_id, item_id, n, f, shift, d.w as dw, b.w as bw
   from (select distinct dr, br, n, f, shift from f) x join d on d.r = x.dr join b on b.r = x.br),
@@ -166,3 +214,4 @@ r as (
   from c where matched >= 0.8 * compared)
 select doc_id, item_id, cast(matched as integer) as matched, cast(compared as integer) as compared from r where best = 1
 """
+)
