@@ -6,11 +6,13 @@ import random
 import pytest
 
 from tidefold.model import ROW_EVENT_SCHEMA, Column, Followed, Position
+from tidefold.operators import normalise
 from tidefold.operators import tables as T
 from tidefold.plans import sync
 from tidefold.sinks import folders
 from tidefold.sinks.tables import TablesStore
 from tidefold.sinks.writers import TablesBulkSink
+from tidefold.sources import dump_text
 
 KINDS = ["write_rows_v2", "update_rows_v2", "delete_rows_v1", "update_rows_v1", "write_rows_v1", "query"]
 
@@ -198,8 +200,23 @@ def test_bulk_text_of_all_tables(spark, made, tmp_path):
         assert held == want
 
 
+def test_zero_dates_are_null(spark):
+    t = Followed("t", [Column("id", "bigint", 0, True), Column("d", "date", 1), Column("s", "datetime", 2)], Position())
+    log = [("shop", "t", "write_rows_v2", "binlog.000001", 9, [["1", "0000-00-00", "0000-00-00 00:00:00"], ["2", "2024-02-30", None]])]
+    df = spark.createDataFrame(log, ROW_EVENT_SCHEMA)
+    routed = T.route(df, T.catalog_of(spark, "shop", [t]), T.kinds_in([t]))
+    assert [(r["key"], r["vals"]) for r in T.accepted(routed).collect()] == [(["1"], ["1", None, None])]
+    assert [r["reason"] for r in T.rejected(routed).collect()] == ["values do not fit: d"]
+    one = normalise.rows_to_records(df, t.columns)
+    assert [tuple(r) for r in one.select("id", "d", "s").collect()] == [(1, None, None)]
+    statement = spark.createDataFrame([("INSERT INTO `t` VALUES (1,'0000-00-00','0000-00-00 00:00:00'),(2,'2024-02-30',NULL)",)], "value string")
+    got = dump_text.dump_rows(statement, t.columns).select("id", "_bad").collect()
+    assert [tuple(r) for r in got] == [(1, []), (2, ["d"])]
+
+
 def jobs(spark):
-    return spark.sparkContext._jsc.sc().statusStore().jobsList(None).size()
+    """Jobs started so far."""
+    return spark.sparkContext._jsc.sc().dagScheduler().numTotalJobs()
 
 
 def test_jobs_of_a_batch_do_not_depend_on_the_number_of_tables(spark, tmp_path):

@@ -65,6 +65,11 @@ _PLAIN = {
 }
 
 
+# Dates a source may hold that no calendar has; they are read as null.
+ZERO_DATE = r"^0000-00-00(?: 00:00:00(?:[.]0+)?)?$"
+DATES = (T.DateType, T.TimestampType, T.TimestampNTZType)
+
+
 def spark_type(declared: str) -> T.DataType:
     """The Spark type that holds a declared type without loss."""
     text = declared.lower()

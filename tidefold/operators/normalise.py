@@ -8,7 +8,7 @@ from pyspark.sql import Column as SparkColumn
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidefold.functions.types import spark_type
+from tidefold.functions.types import DATES, ZERO_DATE, spark_type
 from tidefold.model import DELETE, INSERT, ROW_EVENT_OPS, UPDATE, Column
 
 
@@ -73,10 +73,13 @@ def _bound(events: DataFrame, columns: Sequence[Column], keep: Sequence[str]) ->
 
 def _misfits(columns: Sequence[Column]) -> SparkColumn:
     """Names of the columns whose value is not of their type."""
+    def misfit(c: Column) -> SparkColumn:
+        text = F.get("row", F.lit(c.position))
+        lost = text.isNotNull() & F.col(c.name).isNull()
+        return lost & ~text.rlike(ZERO_DATE) if isinstance(spark_type(c.type), DATES) else lost
+
     failed = [
-        F.when(F.get("row", F.lit(c.position)).isNotNull() & F.col(c.name).isNull(), c.name)
-        for c in columns
-        if spark_type(c.type).typeName() != "string"
+        F.when(misfit(c), c.name) for c in columns if spark_type(c.type).typeName() != "string"
     ]
     return F.array_compact(F.array(*failed)) if failed else F.array().cast("array<string>")
 

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidefold.functions.positions import file_number, position
-from tidefold.functions.types import spark_type
+from tidefold.functions.types import ZERO_DATE, spark_type
 from tidefold.functions.values import printed_bytes_sql, printed_float_sql
 from tidefold.model import DELETE, INSERT, NIL, SEQ, UPDATE, Column, Followed
 from tidefold.operators.documents import BULK_ACTIONS, JSON
@@ -93,8 +93,10 @@ def route(events: DataFrame, catalog: DataFrame, kinds: Sequence[str]) -> DataFr
     vals = F.expr(f"transform(row, (v, i) -> {text})")
     # Inlining keeps what reads the values above the work of making them.
     made = lines.select("*", F.inline(F.array(F.struct(vals.alias("vals")))))
+    zero = f"kinds[i] in ('date', 'timestamp', 'timestamp_ntz') and row[i] rlike '{ZERO_DATE}'"
     misfits = F.expr(
-        "transform(filter(sequence(0, size(row) - 1), i -> row[i] is not null and vals[i] is null), i -> names[i])"
+        "transform(filter(sequence(0, size(row) - 1), "
+        f"i -> row[i] is not null and vals[i] is null and not ({zero})), i -> names[i])"
     )
     reason = F.when(
         F.col("wide"), F.concat(F.lit("the value at position "), width.cast("string"), F.lit(" belongs to no column"))

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from tidefold.functions.keys import render_pk
 from tidefold.functions.literals import FIELD, STRING, TUPLE, read_literals, typed, written
-from tidefold.functions.types import spark_type
+from tidefold.functions.types import DATES, ZERO_DATE, spark_type
 from tidefold.model import Column, Position
 
 # The coordinate comment of a dump header.
@@ -217,10 +217,12 @@ def dump_rows(statements: DataFrame, columns: Sequence[Column], keep: Sequence[s
         insert_tuples(statements, keep),
         {slot[c.name]: F.get("literals", F.lit(c.position)) for c in ordered},
     ).withColumns({f"{slot[c.name]}_v": typed(slot[c.name], spark_type(c.type)) for c in ordered})
-    failed = [
-        F.when(F.col(f"{slot[c.name]}_v").isNull() & F.col(f"{slot[c.name]}_text").isNotNull(), c.name)
-        for c in ordered
-    ]
+    def misfit(c: Column) -> SparkColumn:
+        text = F.col(f"{slot[c.name]}_text")
+        lost = F.col(f"{slot[c.name]}_v").isNull() & text.isNotNull()
+        return lost & ~text.rlike(ZERO_DATE) if isinstance(spark_type(c.type), DATES) else lost
+
+    failed = [F.when(misfit(c), c.name) for c in ordered]
     too_wide = F.when(F.size("literals") > len(ordered), "*")
     unread = F.when(F.col("unread").isNotNull(), "INSERT")
     row = F.struct(
