@@ -52,8 +52,14 @@ def battery(value):
 def brute(texts, rate=0.05, level=0.01):
     cand = [[(m.start(), m.end(), battery(m[0])) for m in re.finditer(S.CANDIDATE, t or "")] for t in texts]
     least = {}
-    for cls in {c[2][1] for doc in cand for c in doc}:
-        ps = [c[2][2] for doc in cand for c in doc if c[2][1] == cls]
+    # A value counts once, without its padding and in either base64 alphabet.
+    values = {
+        (t[a:b].rstrip("=").replace("-", "+").replace("_", "/"), c[1:])
+        for t, doc in zip(texts, cand)
+        for a, b, c in doc
+    }
+    for cls in {c[0] for _, c in values}:
+        ps = [c[1] for _, c in values if c[0] == cls]
         ok = [p for p in set(ps) if 10 ** (-p / S.STEPS) <= rate * sum(q >= p for q in ps) / len(ps)]
         least[cls] = min(ok, default=math.inf)
     out = []
@@ -134,6 +140,33 @@ def test_redact(spark):
     assert got == {1: "a [SECRET] z", 2: None, 3: "no", 4: "[SECRET] é"}
 
 
+def brute_redact(text, spans, mark="[SECRET]"):
+    out, at = "", 0
+    for start, _, end in spans:
+        if end > at:
+            out += text[at:start] + (mark if start >= at else "")
+            at = end
+    return out + text[at:]
+
+
+def test_many_matches_in_one_text(spark):
+    rng = random.Random(5)
+    b62 = "".join(c for c in S.ENCODINGS[9][2] if c.isalnum())
+    rand = lambda a, n: "".join(rng.choice(a) for _ in range(n))
+    kinds = [
+        lambda: "é token=" + rand(b62, 12),
+        lambda: "secret: " + rand("0123456789abcdef", 40),
+        lambda: "AKIA" + rand(b62[10:36], 16),
+        lambda: rand(b62, 30),
+        lambda: "token=password=" + rand(b62, 9),
+    ]
+    rows = [" ".join(rng.choice(kinds)() for _ in range(n)) for n in (1, 127, 128, 129, 400, 4000)]
+    df = spark.createDataFrame(list(enumerate(rows)), "doc_id int, text string")
+    want = brute(rows)
+    assert [[tuple(s) for s in r.secrets] for r in S.scan(df).orderBy("doc_id").collect()] == want
+    assert [r.text for r in S.redact(df).orderBy("doc_id").collect()] == list(map(brute_redact, rows, want))
+
+
 def test_empty_table(spark):
     df = spark.createDataFrame([], "doc_id bigint, text string")
     assert S.scan(df).collect() == [] and S.redact(df).collect() == []

@@ -13,6 +13,7 @@ Everything is DataFrame functions.  Positions are code points, ends exclusive.
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -50,28 +51,67 @@ ENCODINGS = [
 #: P-value classes of the false-discovery control: so many in a power of ten.
 STEPS, LEAST_P = 20, 1e-20
 
+#: Matches of a text are placed in blocks of so many.
+BLOCK = 128
+
+
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that is worked out once, also inside of lambdas."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
+def in_blocks(items: Column) -> Column:
+    """A non-empty array as arrays of BLOCK elements; sums along it take two short steps."""
+    last = F.floor((F.size(items) - 1) / BLOCK).cast("int")
+    return F.transform(F.sequence(F.lit(0), last), lambda b: F.slice(items, b * BLOCK + 1, F.lit(BLOCK)))
+
+
+def _total(items: Column, of: Callable[[Column], Column]) -> Column:
+    return F.aggregate(items, F.lit(0).cast("long"), lambda a, x: a + of(x))
+
 
 def found(text: Column, pattern: str, group: int = 0, least: int = 1) -> Column:
-    """(start, end, value) of leftmost non-overlapping matches whose group is long enough."""
+    """(start, end, value) of leftmost non-overlapping matches whose group is long enough.
+
+    A start is the sum of its block's start and of what is before it in the block, so the
+    time is nearly in proportion to the matches.
+    """
     hits = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     values = F.regexp_extract_all(text, F.lit(pattern), F.lit(group)) if group else hits
     gaps = F.transform(F.split(text, pattern, -1), F.length)
-    pairs = F.arrays_zip(
-        F.slice(gaps, 1, F.size(hits)).alias("gap"), hits.alias("hit"), values.alias("value")
+    pairs = let(
+        hits,
+        lambda h: F.arrays_zip(
+            F.slice(gaps, 1, F.size(h)).alias("gap"),
+            F.transform(h, F.length).alias("size"),
+            (values if group else h).alias("value"),
+        ),
     )
     item = "array<struct<start: bigint, end: bigint, value: string>>"
-    empty = F.array().cast(item)
 
-    def add(state, p):
-        start = state["at"] + p["gap"]
-        end = start + F.length(p["hit"])
-        one = F.array(F.struct(start.alias("start"), end.alias("end"), p["value"].alias("value")))
-        more = F.when(F.length(p["value"]) >= least, F.concat(state["out"], one)).otherwise(state["out"])
-        return F.struct(end.alias("at"), more.cast(item).alias("out"))
+    def through(p):
+        return p["gap"] + p["size"]
+
+    def span(base, block, x, i):
+        start = base + _total(F.slice(block, 1, i), through) + x["gap"]
+        return let(
+            start,
+            lambda s: F.struct(s.alias("start"), (s + x["size"]).alias("end"), x["value"].alias("value")),
+        )
+
+    def placed(blocks, sums):
+        def one(block, b):
+            base = _total(F.slice(sums, 1, b), lambda n: n)
+            return let(base, lambda at: F.transform(block, lambda x, i: span(at, block, x, i)))
 
-    start = F.struct(F.lit(0).cast("long").alias("at"), empty.alias("out"))
-    whole = F.aggregate(pairs, start, add, lambda s: s["out"])
-    return F.when(text.rlike(pattern), whole).otherwise(empty)
+        return F.flatten(F.transform(blocks, one))
+
+    spans = let(
+        let(pairs, in_blocks),
+        lambda blocks: let(F.transform(blocks, lambda k: _total(k, through)), lambda sums: placed(blocks, sums)),
+    )
+    whole = F.filter(spans, lambda m: F.length(m["value"]) >= least).cast(item)
+    return F.when(text.rlike(pattern), whole).otherwise(F.array().cast(item))
 
 
 def normal_below(z: Column) -> Column:
@@ -181,16 +221,15 @@ def _sides(core: Column, encoding: Column) -> Column:
     return out
 
 
-def discoveries(battery: DataFrame, rate: float, by_value: bool = False) -> dict[int, int]:
+def discoveries(battery: DataFrame, rate: float) -> dict[int, int]:
     """For each length class the smallest p-value class (largest p-value) that is discovered.
 
-    ``battery`` has a row for each candidate with value, length_class and p_class.  With
-    ``by_value`` a value counts once however often it is copied.  What is fetched is one
-    number for each power of two of lengths.
+    ``battery`` has a row for each candidate with value, length_class and p_class.  A value
+    counts once however often it is copied.  What is fetched is one number for each power of
+    two of lengths.
     """
-    if by_value:
-        battery = battery.select("value", "length_class", "p_class").distinct()
-    classes = battery.groupBy("length_class", "p_class").count()
+    different = battery.select("value", "length_class", "p_class").distinct()
+    classes = different.groupBy("length_class", "p_class").count()
     strict = Window.partitionBy("length_class").orderBy(F.desc("p_class"))
     every = Window.partitionBy("length_class")
     steps = classes.select(
@@ -208,23 +247,21 @@ def scan(
     text_col: str = "text",
     random_level: float = 0.01,
     false_discoveries: float = 0.05,
-    by_value: bool = False,
 ) -> DataFrame:
     """``docs`` with ``secrets``: array of (start, kind, end), kind numbering KINDS.
 
     Spans are in order of start, then kind.  A random span that touches a span of another
     kind is left out.  Null and empty texts have no spans; each row of ``docs`` gives one
     row; a column named ``secrets`` is replaced.  The corpus is read twice: for the
-    thresholds of the false-discovery control, and for the spans.  With ``by_value`` that
-    control counts each different candidate once, so copies of a text do not move the
-    thresholds of others; ``op3_secrets`` and ``redact`` count so.
+    thresholds of the false-discovery control, and for the spans.  That control counts each
+    different candidate once, so copies of a text do not move the thresholds of others.
     """
     whole = F.coalesce(F.col(text_col), F.lit(""))
     battery = docs.select(whole.alias("t")).where(F.col("t").rlike(CANDIDATE))
     battery = battery.select(F.explode(tested(found(F.col("t"), CANDIDATE))).alias("c")).select(
         "c.value", "c.length_class", "c.p_class"
     )
-    least = discoveries(battery, false_discoveries, by_value)
+    least = discoveries(battery, false_discoveries)
     never = F.lit(math.inf)
     limits = never
     threshold = [(n, p) for n, p in sorted(least.items())]
@@ -253,11 +290,27 @@ def scan(
         lambda c: (c["p_random"] > random_level) & (c["p_class"] >= limit(c)),
     )
     out = docs.withColumn("secrets", F.struct(base.alias("base"), spans(secret, 3).alias("random")))
-    apart = F.filter(
-        "secrets.random",
-        lambda r: ~F.exists("secrets.base", lambda b: (b["start"] < r["end"]) & (r["start"] < b["end"])),
-    )
-    return out.withColumn("secrets", F.array_sort(F.concat(F.col("secrets.base"), apart)))
+
+    def meets(a, b):
+        return (a["start"] < b["end"]) & (b["start"] < a["end"])
+
+    def reach(block):
+        return F.struct(
+            F.array_min(F.transform(block, lambda b: b["start"])).alias("start"),
+            F.array_max(F.transform(block, lambda b: b["end"])).alias("end"),
+            block.alias("spans"),
+        )
+
+    def away(blocks):
+        def touched(r):
+            return F.exists(blocks, lambda k: meets(k, r) & F.exists(k["spans"], lambda b: meets(b, r)))
+
+        return F.filter("secrets.random", lambda r: ~touched(r))
+
+    base, random = F.col("secrets.base"), F.col("secrets.random")
+    both = (F.size(base) > 0) & (F.size(random) > 0)
+    apart = F.when(both, let(F.transform(in_blocks(base), reach), away)).otherwise(random)
+    return out.withColumn("secrets", F.array_sort(F.concat(base, apart)))
 
 
 def written(spans: Column) -> Column:
@@ -276,34 +329,48 @@ def written(spans: Column) -> Column:
 
 def redact(docs: DataFrame, text_col: str = "text", mark: str = "[SECRET]", **options) -> DataFrame:
     """``docs`` with each secret span of the text replaced; overlapping spans become one."""
-    scanned = scan(docs, text_col, **{"by_value": True, **options})
+    scanned = scan(docs, text_col, **options)
     text = F.col(text_col)
 
-    def cut(state, s):
-        start = F.greatest(s["start"], state["at"])
-        kept = F.substring(text, state["at"].cast("int") + 1, (start - state["at"]).cast("int"))
-        fresh = s["end"] > state["at"]
-        apart = s["start"] >= state["at"]
-        out = F.concat(state["out"], kept, F.when(apart, F.lit(mark)).otherwise(F.lit("")))
-        return F.struct(
-            F.when(fresh, s["end"]).otherwise(state["at"]).alias("at"),
-            F.when(fresh, out).otherwise(state["out"]).alias("out"),
-        )
+    def ends(spans):
+        return F.coalesce(F.array_max(F.transform(spans, lambda s: s["end"])), F.lit(0).cast("long"))
 
-    start = F.struct(F.lit(0).cast("long").alias("at"), F.lit("").alias("out"))
-    rest = F.aggregate(
-        "secrets",
-        start,
-        cut,
-        lambda s: F.concat(s["out"], F.substring(text, s["at"].cast("int") + 1, F.length(text))),
-    )
-    clean = F.when(F.size("secrets") > 0, rest).otherwise(text)
+    def part(whole, start, end):
+        return F.substring(whole, (start + 1).cast("int"), F.greatest(end - start, F.lit(0)).cast("int"))
+
+    def cut(block, at):
+        """The text from ``at`` to the last end of the block, without its spans."""
+
+        def piece(own, s, i):
+            before = F.greatest(at, ends(F.slice(block, 1, i)))
+            return let(
+                before,
+                lambda b: F.concat(
+                    part(own, b - at, s["start"] - at), F.when(s["start"] >= b, F.lit(mark)).otherwise(F.lit(""))
+                ),
+            )
+
+        own = part(text, at, ends(block))
+        return let(own, lambda o: F.array_join(F.transform(block, lambda s, i: piece(o, s, i)), ""))
+
+    def cleaned(blocks):
+        def one(reached):
+            def start(b):
+                return F.coalesce(F.array_max(F.slice(reached, 1, b)), F.lit(0).cast("long"))
+
+            pieces = F.transform(blocks, lambda k, b: let(start(b), lambda at: cut(k, at)))
+            rest = F.substring(text, (F.array_max(reached) + 1).cast("int"), F.length(text))
+            return F.concat(F.array_join(pieces, ""), rest)
+
+        return let(F.transform(blocks, ends), one)
+
+    clean = F.when(F.size("secrets") > 0, let(in_blocks(F.col("secrets")), cleaned)).otherwise(text)
     return scanned.withColumn(text_col, clean).drop("secrets")
 
 
 def op3_secrets(spark, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
-    return digest(scan(docs, by_value=True))
+    return digest(scan(docs))
 
 
 def digest(scanned: DataFrame) -> DataFrame:
