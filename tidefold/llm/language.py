@@ -379,7 +379,7 @@ def identify(
     )
 
 
-def language_of(text: Column, model: Model, limit: int = 8 << 20) -> Column:
+def language_of(text: Column, model: Model, limit: int = 2 << 20) -> Column:
     """The language of a text column as ``identify`` tells it, beside the row.
 
     Only texts go to Python and only names come back, in slices of about ``limit`` bytes.
