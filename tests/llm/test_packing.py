@@ -1,3 +1,4 @@
+import itertools
 import random
 import zlib
 
@@ -36,6 +37,40 @@ def test_plan_packs_each_piece_once(lengths):
     assert all(sum(seq) <= 40 for _, seq in plan)
 
 
+def one_sequence_at_a_time(lengths, capacity):
+    left, out = sorted(lengths, reverse=True), []
+    while left:
+        use, rest, gap = [], [], capacity
+        for n in left:
+            if n <= gap:
+                use.append(n)
+                gap -= n
+            else:
+                rest.append(n)
+        smallest = min(use)
+        if gap:
+            pairs = {(min(a, b), max(a, b)) for a, b in itertools.combinations(rest, 2)}
+            fits = [p for p in pairs if smallest < sum(p) <= gap + smallest]
+            if fits:
+                pair = max(fits, key=lambda p: (sum(p), -p[0]))
+                use.remove(smallest)
+                use += pair
+                for n in pair:
+                    rest.remove(n)
+                rest.append(smallest)
+        out.append(sorted(use, reverse=True))
+        left = sorted(rest, reverse=True)
+    return out
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.integers(1, 40), max_size=40), st.integers(1, 4))
+def test_plan_equals_one_sequence_at_a_time(lengths, copies):
+    lengths = lengths * copies
+    plan = P.best_two_fit({n: lengths.count(n) for n in set(lengths)}, 40)
+    assert [seq for k, seq in plan for _ in range(k)] == one_sequence_at_a_time(lengths, 40)
+
+
 def test_smallest_gives_way_to_two():
     # Greedy takes 6 and 3, a gap of 1; two pieces of 2 fill it.
     assert P.best_two_fit({6: 1, 3: 1, 2: 2}, 10)[0] == (1, [6, 2, 2])
