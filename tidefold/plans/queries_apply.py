@@ -74,9 +74,12 @@ def apply_delete(spark: SparkSession, sf: str) -> DataFrame:
     where boundary = 'insert'""",
 )
 def apply_changes_rollover(spark: SparkSession, sf: str) -> DataFrame:
-    """The same log in files whose numbers gain a digit on the way."""
-    file = F.format_string("binlog.%06d", F.lit(999_998) + F.floor(F.col("event_id") / 400))
-    return fold.apply_changes(inputs.changes(spark, sf).withColumn("logfile", file), KEY, DOC)
+    """The same log in files whose numbers gain a digit on the way, with positions that rise
+    in each file."""
+    number = F.col("event_id")
+    file = F.format_string("binlog.%06d", F.lit(999_998) + F.floor(number / 400))
+    log = inputs.changes(spark, sf).withColumns({"logfile": file, "logpos": number % 400 * 100 + 4})
+    return fold.apply_changes(log, KEY, DOC)
 
 
 @query(
