@@ -94,6 +94,27 @@ def test_examples_written_out(frame):
     assert seen == sum(r == "assistant" for c, v in said.items() if c is None or c < 40 for r, _ in v)
 
 
+def test_all_examples_are_written_and_read_back(frame):
+    found = C.expand(frame)
+    rows = C.written(found)
+    said, n = in_order(conversations()), 0
+    for r in rows.where("example is not null").collect():
+        whole = said[r.conv_id]
+        replies = [k for k, (role, _) in enumerate(whole) if role == "assistant"]
+        last = replies[r.example]
+        blocks = [f"### {esc(role, True)}: {esc(x)}</turn>\n" for role, x in whole[: last + 1]]
+        before = replies[r.example - 1] + 1 if r.example else 0
+        assert r.text == "".join(blocks) and r.fresh == len("".join(blocks[:before]))
+        assert r.text[r.loss_begin : r.loss_end] == esc(whole[last][1])
+        n += 1
+    assert n == found.examples.count() == C.texts(found).count()
+    # What the examples say is what is digested, not what they were made of.
+    altered = rows.withColumn("text", F.replace("text", F.lit("turn 298 "), F.lit("turn 29x ")))
+    want = {r.conv_id: r for r in C.digests(found).collect()}
+    got = {r.conv_id: r for r in C.read_back(altered).collect()}
+    assert {c for c in want if got[c] != want[c]} == {200}
+
+
 def test_empty_table_and_no_reply(spark):
     none = C.expand(spark.createDataFrame([], SCHEMA))
     assert none.blocks.collect() == [] and none.examples.collect() == [] and C.digests(none).collect() == []

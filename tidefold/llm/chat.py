@@ -6,9 +6,10 @@ and texts the signs that make up the marks are escaped, so no mark can be read t
 
 The example of a reply is the blocks of its conversation up to and with its own, and its
 loss mask is the reply's text.  Examples of one conversation have all their context in
-common, so blocks are kept once, each with its place, and an example names how far it
-reaches: written out, examples grow with the square of a conversation's length.  ``texts``
-writes out those that are asked for.
+common, so ``expand`` keeps blocks once, each with its place, and an example names how far
+it reaches.  ``written`` writes all examples out, conversation by conversation, to whoever
+reads them: they grow with the square of a conversation's length, so they are moved nowhere.
+``texts`` writes out those that are asked for.
 """
 
 from __future__ import annotations
@@ -29,6 +30,8 @@ from tidefold.llm.turns import dealt
 
 HEAD, COLON, TAIL = "### ", ": ", "</turn>\n"
 REPLY = "assistant"
+#: Examples are handed on when they hold so many code points.
+WRITTEN_CHARS = 2 << 20
 
 
 def escaped(text: Column, role: bool = False) -> Column:
@@ -43,9 +46,9 @@ def unescaped(text: Column) -> Column:
 
 @dataclass(frozen=True)
 class Examples:
-    """``blocks``: (conv_id, position, begin, block, loss_begin, loss_end), the formatted
-    turns; ``begin`` is the code points of the conversation before the block, and the loss
-    mask is null but for replies.
+    """``blocks``: (conv_id, position, example, begin, block, loss_begin, loss_end), the
+    formatted turns; ``example`` is the replies before the block, ``begin`` the code points
+    of the conversation before it, and the loss mask is null but for replies.
 
     ``examples``: (conv_id, example, position, chars, loss_begin, loss_end), one for each
     reply: its number, its reply's position, its length, and the span that is trained, in
@@ -130,19 +133,78 @@ def expand(rows: DataFrame) -> Examples:
         "*", end.alias("end"), mask_end.alias("loss_end"), (mask_end - F.col("loss")).alias("loss_begin")
     )
     return Examples(
-        blocks.select("conv_id", "position", "begin", "block", "loss_begin", "loss_end"),
+        blocks.select("conv_id", "position", "example", "begin", "block", "loss_begin", "loss_end"),
         blocks.where("loss is not null").select(
             "conv_id", "example", "position", F.col("end").alias("chars"), "loss_begin", "loss_end"
         ),
     )
 
 
+def written(found: Examples) -> DataFrame:
+    """(conv_id, example, text, fresh, loss_begin, loss_end): every example written out whole.
+
+    Rows of a conversation stand in order in one task.  ``text`` is all blocks up to and with
+    the reply; from ``fresh`` on it is what the example before does not hold.  Blocks behind
+    the last reply are in no example: each is a row of its own whose ``example`` is null.  A
+    task holds one conversation's text and a few examples; an example must fit a row.
+    """
+    columns = ["conv_id", "example", "block", "loss_begin", "loss_end"]
+    replies = F.when(F.col("loss_begin").isNotNull(), F.col("example")).alias("example")
+    dealt = (
+        found.blocks.select("conv_id", "position", replies, "block", "loss_begin", "loss_end")
+        .repartition("conv_id")
+        .sortWithinPartitions("conv_id", "position")
+        .select(*columns)
+    )
+    names = ["conv_id", "example", "text", "fresh", "loss_begin", "loss_end"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        types = None
+        now: list = []  # the conversation, its text up to the last reply, the blocks since
+        out: list[tuple] = []
+
+        def taken():
+            made = pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), types)], names)
+            out.clear()
+            return made
+
+        def rest():
+            out.extend((now[0], None, block, 0, None, None) for block in (now[2] if now else ()))
+
+        size = 0
+        for batch in small_slices(batches, 2):
+            types = [batch.schema.field(0).type, pa.int64(), pa.string(), *[pa.int64()] * 3]
+            for conv, example, block, begin, end in zip(*(c.to_pylist() for c in batch.columns)):
+                if not now or now[0] != conv:
+                    rest()
+                    now = [conv, "", []]
+                now[2].append(block)
+                if example is not None:
+                    fresh = len(now[1])
+                    now[1], now[2] = "".join([now[1], *now[2]]), []
+                    out.append((conv, example, now[1], fresh, begin, end))
+                    size += len(now[1])
+                if size > WRITTEN_CHARS:
+                    yield taken()
+                    size = 0
+        rest()
+        if out:
+            yield taken()
+
+    kind = found.blocks.schema["conv_id"].dataType.simpleString()
+    return dealt.mapInArrow(
+        run, f"conv_id {kind}, example bigint, text string, fresh bigint, loss_begin bigint, loss_end bigint"
+    )
+
+
 def texts(found: Examples, wanted: DataFrame | None = None) -> DataFrame:
     """(conv_id, example, text, loss_begin, loss_end) written out; ``wanted`` names some by
     (conv_id, example).  An example is one row, so its text must fit one."""
+    names = ["example", "text", "loss_begin", "loss_end"]
+    if wanted is None:
+        return written(found).where("example is not null").select("conv_id", *names)
     some = found.examples.withColumn("c", F.struct("conv_id"))
-    if wanted is not None:
-        some = some.join(wanted.select(F.struct("conv_id").alias("c"), "example"), ["c", "example"], "left_semi")
+    some = some.join(wanted.select(F.struct("conv_id").alias("c"), "example"), ["c", "example"], "left_semi")
     blocks = found.blocks.select(F.struct("conv_id").alias("c"), F.col("position").alias("place"), "block")
     whole = F.array_sort(F.collect_list(F.struct("place", "block")))
     return (
@@ -150,7 +212,7 @@ def texts(found: Examples, wanted: DataFrame | None = None) -> DataFrame:
         .where("place <= position")
         .groupBy("c", "example", "loss_begin", "loss_end")
         .agg(F.array_join(F.transform(whole, lambda b: b["block"]), "").alias("text"))
-        .select("c.conv_id", "example", "text", "loss_begin", "loss_end")
+        .select("c.conv_id", *names)
     )
 
 
@@ -168,44 +230,53 @@ def read_turns(text: Column) -> Column:
 
 
 def digests(found: Examples) -> DataFrame:
-    """(conv_id, n_turns, turns_sha256, loss_chars, loss_sha256), read back from the output.
+    """(conv_id, n_turns, turns_sha256, loss_chars, loss_sha256, formatted_chars, n_examples),
+    read back from the examples as they are written out."""
+    return read_back(written(found))
+
 
-    Turns are read from the blocks, and trained text from their loss masks.  A digest is one
-    sequence of bytes, so a conversation is read in order by one task, row by row.
+def read_back(rows: DataFrame) -> DataFrame:
+    """``digests`` of the rows of ``written``, which stand in their order.
+
+    Each turn is read from the first example that holds it, trained text from each example's
+    loss mask.  A digest is one sequence of bytes, so a conversation is read in order by one
+    task, row by row.
     """
-    span = F.substr("block", (F.col("loss_begin") - F.col("begin") + 1).cast("int"), (F.col("loss_end") - F.col("loss_begin")).cast("int"))
-    turn = F.element_at(read_turns(F.col("block")), 1)
-    read = found.blocks.select(
-        "conv_id", "position",
-        F.concat(turn["role"], F.lit("\n"), turn["text"], F.lit("\n")).alias("turn"),
-        unescaped(span).alias("loss"),
+    span = F.substr("text", (F.col("loss_begin") + 1).cast("int"), (F.col("loss_end") - F.col("loss_begin")).cast("int"))
+    fresh = F.substr("text", (F.col("fresh") + 1).cast("int"), F.length("text"))
+    read = rows.select(
+        "conv_id", read_turns(fresh).alias("turns"), unescaped(span).alias("loss"),
+        F.length("text").cast("long").alias("chars"), F.col("example").isNotNull().alias("is_example"),
     )
-    dealt = read.repartition("conv_id").sortWithinPartitions("conv_id", "position")
-    names = ["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256"]
+    said = F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n")))
+    read = read.select("conv_id", F.size("turns").alias("n"), F.array_join(said, "").alias("turns"), "loss", "chars", "is_example")
+    names = ["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars", "n_examples"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, out, key_type = None, [], None
 
         def done():
-            conv, n, turns, chars, loss = now
-            out.append((conv, n, turns.hexdigest(), chars, loss.hexdigest()))
+            conv, n, turns, chars, loss, size, examples = now
+            out.append((conv, n, turns.hexdigest(), chars, loss.hexdigest(), size, examples))
 
         def taken():
-            types = [key_type, pa.int64(), pa.string(), pa.int64(), pa.string()]
+            types = [key_type, pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64(), pa.int64()]
             return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), types)], names)
 
         for batch in small_slices(batches, 2):
             key_type = batch.schema.field(0).type
-            for conv, _, turn, loss in zip(*(c.to_pylist() for c in batch.columns)):
+            for conv, n, turns, loss, chars, is_example in zip(*(c.to_pylist() for c in batch.columns)):
                 if now is None or now[0] != conv:
                     if now is not None:
                         done()
-                    now = [conv, 0, hashlib.sha256(), 0, hashlib.sha256()]
-                now[1] += 1
-                now[2].update(turn.encode())
+                    now = [conv, 0, hashlib.sha256(), 0, hashlib.sha256(), 0, 0]
+                now[1] += n
+                now[2].update(turns.encode())
                 if loss is not None:
                     now[3] += len(loss)
                     now[4].update(loss.encode())
+                now[5] += chars
+                now[6] += is_example
             if out:
                 yield taken()
                 out = []
@@ -213,9 +284,10 @@ def digests(found: Examples) -> DataFrame:
             done()
             yield taken()
 
-    kind = found.blocks.schema["conv_id"].dataType.simpleString()
-    return dealt.mapInArrow(
-        run, f"conv_id {kind}, n_turns bigint, turns_sha256 string, loss_chars bigint, loss_sha256 string"
+    return read.mapInArrow(
+        run,
+        f"conv_id {rows.schema['conv_id'].dataType.simpleString()}, n_turns bigint, turns_sha256 string, "
+        "loss_chars bigint, loss_sha256 string, formatted_chars bigint, n_examples bigint",
     )
 
 
@@ -229,19 +301,7 @@ def op12_chat(spark, sf_dir: str) -> DataFrame:
         F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"), "role", "text"
     )
     control = spark.createDataFrame([(-7, 0, "user", CONTROL), (-7, 1, REPLY, CONTROL)], given.schema)
-    found = expand(given.unionByName(control))
-    c = F.struct("conv_id").alias("c")
-    size = F.length("block").cast("long")
-    whole = found.blocks.groupBy(c).agg(F.sum(size).alias("all_chars"))
-    held = found.examples.groupBy(c).agg(
-        F.sum("chars").alias("written"), F.max("chars").alias("reach"), F.count(F.lit(1)).alias("n_examples")
-    )
-    none = lambda name: F.coalesce(name, F.lit(0))
-    chars = none("written") + F.col("all_chars") - none("reach")
-    sums = whole.join(held, "c", "left").select("c", chars.alias("formatted_chars"), none("n_examples").alias("n_examples"))
-    return digests(found).withColumn("c", c).join(sums, "c").select(
-        "conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars", "n_examples"
-    )
+    return digests(expand(given.unionByName(control)))
 
 
 ORACLE = r"""
