@@ -36,7 +36,9 @@ def _keyed(docs: DataFrame) -> DataFrame:
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each near-duplicate group stays: the one with the smallest id.
 
-    Near duplicates have 0.8 or more of their five-word shingles in common.  Rows are told
+    Near duplicates have 0.8 or more of their five-word shingles in common.  SimHash
+    fingerprints of these shingles name the candidates, each is compared whole, and a search
+    by rare shingles adds those whose fingerprints are further apart.  Rows are told
     apart by id and text: of rows of one id with texts that are not near each other, each
     stays.  Rows without an id come after all others, and among rows of one id the smaller
     hash of the text comes first; of rows alike in both, the least in all columns stays.
@@ -77,7 +79,7 @@ def packed_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 STAGES = [
     ("language ID", identify_language),
-    ("near-dedup by shared shingles", near_dedup),
+    ("SimHash near-dedup, verified", near_dedup),
     ("benchmark decontamination", decontaminated),
     ("secret scans", without_secrets),
     ("best-fit packing", packed_sequences),

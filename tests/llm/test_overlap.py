@@ -4,6 +4,7 @@ import numpy as np
 
 import corpus_pipeline as C
 from tidefold.llm import overlap as O
+from tidefold.llm import simhash as S
 
 
 def shingles(text, width=5):
@@ -87,3 +88,34 @@ def test_stage_drops_copies_with_a_few_words_changed(spark):
 def test_empty_table(spark):
     df = spark.createDataFrame([], "doc_id bigint, text string")
     assert O.near_copies(df).collect() == []
+
+
+def test_simhash_names_the_first_candidates(spark):
+    texts = sorted({t for _, t in corpus() if t and t.strip()})
+    rows = [(int(np.uint64(O._name(O.shingle_set(t))).astype(np.int64)), S.simhash(t, 5)) for t in texts]
+    prints = spark.createDataFrame([(n, int(np.uint64(f).astype(np.int64))) for n, f in rows], "node bigint, fp bigint")
+    pairs = {(r.a, r.b) for r in O.simhash_pairs(prints).collect()}
+    bits = {}
+    for n, f in rows:
+        bits.setdefault(n, set()).add(f)
+    assert pairs and all(a < b for a, b in pairs)
+    comp = {n: n for n, _ in rows}
+
+    def find(x):
+        while comp[x] != x:
+            x = comp[x]
+        return x
+
+    for a, b in pairs:
+        comp[find(a)] = find(b)
+    for a, f in rows:
+        for b, g in rows:
+            assert (f ^ g).bit_count() > 4 or find(a) == find(b)
+
+
+def test_near_copies_go_by_simhash(spark, monkeypatch):
+    asked = []
+    pairs = O.simhash_pairs
+    monkeypatch.setattr(O, "simhash_pairs", lambda prints: asked.append(pairs(prints)) or asked[0])
+    df = spark.createDataFrame([(0, "a b c d e f g"), (1, "a b c d e f g"), (2, "A b c d e f g a b c d e f g")], "doc_id bigint, text string")
+    assert sorted(map(tuple, O.near_copies(df).collect())) == [(0, 0), (1, 0), (2, 2)] and asked

@@ -1,5 +1,10 @@
 """Near copies by the words they share: Jaccard similarity of shingle sets, exactly.
 
+SimHash names the first candidates: texts whose fingerprints are linked within a few bits
+(``simhash.links``), each pair verified on the whole sets.  Texts of similarity 0.8 may
+differ in more bits than a grid of fingerprints can find, so those that are still apart are
+then looked for by their shingles.
+
 Two sets of similarity 0.8 or more share one of the first few shingles of each (a fifth of
 the set and one more) in any order that is the same for all texts.  Rare shingles come
 first in it.  Texts that share one are compared where the places of that shingle leave room
@@ -25,8 +30,8 @@ from pyspark.sql.window import Window
 
 from tidefold.llm.common import field, small_slices, stored
 from tidefold.llm.components import connected
+from tidefold.llm.simhash import SEED, fingerprint_of, links, shingle_hashes
 
-SEED = 42
 #: Counters of shingles for each text, and bits of the number of counters at most.
 COUNTERS_PER_TEXT, MOST_BITS = 64, 24
 #: Rounds in which the texts of a shingle are compared with one of them only.
@@ -37,16 +42,7 @@ BITS = 1 << 22
 
 def shingle_set(text: str | None, width: int = 5) -> np.ndarray:
     """Sorted hashes of the shingles; a text of fewer words is one, null and wordless none."""
-    words = (text or "").encode("utf-8", "surrogatepass").lower().split()  # lowers A-Z only
-    if not words:
-        return np.zeros(0, np.uint64)
-    if len(words) <= width:
-        shingles = [b" ".join(words)]
-    else:
-        shingles = map(b" ".join, zip(*(words[k:] for k in range(width))))
-    digest = xxhash.xxh64_digest
-    h = np.frombuffer(b"".join([digest(s, SEED) for s in shingles]), dtype=">u8")
-    return np.unique(h.astype(np.uint64))
+    return np.unique(shingle_hashes(text, width))
 
 
 def _name(hashes: np.ndarray) -> int:
@@ -198,6 +194,24 @@ def _verified(pairs: DataFrame, prints: DataFrame, texts: DataFrame, width: int)
     return joined.select("a", "b", "left", "right").mapInArrow(compare, "a bigint, b bigint")
 
 
+def simhash_pairs(prints: DataFrame, max_diff: int = 4) -> DataFrame:
+    """(a, b): pairs of sets that SimHash takes for near copies.
+
+    Of the sets with one fingerprint, each is paired with the least; linked fingerprints pair
+    their least sets.  ``prints`` has (node, fp).
+    """
+    sets = stored(prints.where("node <> 0").select("node", "fp").distinct(), "overlap-fp")
+    reps = stored(sets.groupBy("fp").agg(F.min("node").alias("rep")), "overlap-fp-reps")
+    same = sets.join(reps, "fp").where("node <> rep").select(F.col("rep").alias("x"), F.col("node").alias("y"))
+    near = (
+        links(reps.select("fp"), max_diff)
+        .join(reps.toDF("a", "x"), "a")
+        .join(reps.toDF("b", "y"), "b")
+        .select("x", "y")
+    )
+    return same.unionByName(near).select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).where("a < b").distinct()
+
+
 def near_copies(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5
 ) -> DataFrame:
@@ -212,13 +226,17 @@ def near_copies(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small_slices(batches, 2):
-            names = [_name(shingle_set(t, width)) for t in batch.column(2).to_pylist()]
+            names, fps = [], []
+            for t in batch.column(2).to_pylist():
+                h = shingle_hashes(t, width)
+                names.append(_name(np.unique(h)))
+                fps.append(fingerprint_of(h))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), _longs(names)], ["doc_id", "text_key", "node"]
+                [batch.column(0), batch.column(1), _longs(names), _longs(fps)], ["doc_id", "text_key", "node", "fp"]
             )
 
     prints = stored(
-        keyed.mapInArrow(run, f"doc_id {field(texts, 'doc_id')}, text_key bigint, node bigint"),
+        keyed.mapInArrow(run, f"doc_id {field(texts, 'doc_id')}, text_key bigint, node bigint, fp bigint"),
         "overlap-prints",
     )
     own = Window.partitionBy("token")
@@ -230,6 +248,11 @@ def near_copies(
         "overlap-shared",
     )
     found, roots, tried = None, None, None
+    by_simhash = stored(simhash_pairs(prints), "overlap-simhash")
+    if not by_simhash.isEmpty():
+        tried = by_simhash
+        found = stored(_verified(by_simhash, prints, texts, width), "overlap-links")
+        roots = stored(connected(found), "overlap-roots")
     for turn in range(STAR_ROUNDS + 1):
         apart = shared.withColumn("root", F.col("s.node"))
         if roots is not None:

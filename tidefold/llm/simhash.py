@@ -31,18 +31,29 @@ LANES = np.uint64(0x0101010101010101)
 PAIRS = 0x5555555555555555
 
 
-def simhash(text: str | None, width: int = 4) -> int:
-    """Unsigned 64-bit fingerprint; null and wordless texts give zero."""
+def shingle_hashes(text: str | None, width: int) -> np.ndarray:
+    """Hashes of a text's shingles in their order, repeats included; none of a wordless text."""
     words = (text or "").encode("utf-8", "surrogatepass").lower().split()  # lowers A-Z only
     if not words:
-        return 0
+        return np.zeros(0, np.uint64)
     if len(words) <= width:
         shingles = [b" ".join(words)]
     else:
         shingles = map(b" ".join, zip(*(words[k:] for k in range(width))))
     digest, seed = xxhash.xxh64_digest, SEED
-    h = np.frombuffer(b"".join([digest(s, seed) for s in shingles]), dtype=">u8").astype(np.uint64)
+    return np.frombuffer(b"".join([digest(s, seed) for s in shingles]), dtype=">u8").astype(np.uint64)
+
+
+def simhash(text: str | None, width: int = 4) -> int:
+    """Unsigned 64-bit fingerprint; null and wordless texts give zero."""
+    return fingerprint_of(shingle_hashes(text, width))
+
+
+def fingerprint_of(h: np.ndarray) -> int:
+    """The bits set in over half of the hashes."""
     n = len(h)
+    if not n:
+        return 0
     # Byte lanes hold up to 255 counts, so eight additions a shingle do for 64 bits.
     rows = -(-n // 255)
     padded = np.zeros(rows * 255, np.uint64)
