@@ -23,8 +23,8 @@ from pyspark.sql.window import Window
 
 from tidefold.llm.common import field, small_slices, stored
 
-#: Words whose ids one Python worker keeps.
-CACHE_WORDS = 1_000_000
+#: Words whose ids one Python worker keeps, and bytes of text it cuts into words at a time.
+CACHE_WORDS, TEXT_BYTES = 250_000, 1 << 20
 END_ID = 0
 
 
@@ -150,7 +150,7 @@ def tokenise(
         if vocabulary not in _ids:
             _ids[vocabulary] = _Ids(*vocabulary)
         encoder = _ids[vocabulary]
-        for batch in small_slices(batches, 1, 4 << 20):
+        for batch in small_slices(batches, 1, TEXT_BYTES):
             texts = [t or "" for t in batch.column(1).to_pylist()]
             data, ends = encoder.encode_all(texts)
             rows, number, start, length, tokens = [], [], [], [], []
