@@ -72,6 +72,18 @@ def test_pk_collisions(spark):
     assert [tuple(r) for r in keys.pk_collisions(df, ["a", "b"]).collect()] == [("123", 2)]
 
 
+def test_pk_collisions_hold_a_part_of_the_rows(spark, monkeypatch):
+    """Rows are dealt before any are kept, and parts follow the rows."""
+    monkeypatch.setattr(keys, "ROWS_PER_TASK", 100, raising=False)
+    df = spark.range(0, 1000, 1, 2).selectExpr("id div 50 a", "id % 50 b")
+    found = keys.pk_collisions(df, ["a", "b"])
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange ") == 1 and "REPARTITION_BY_NUM" in plan
+    assert "HashAggregate" not in plan[plan.index("Exchange ") :]
+    want = df.selectExpr("concat(a, b) i", "struct(a, b) k").groupBy("i").agg(F.countDistinct("k").alias("n")).where("n > 1")
+    assert sorted(map(tuple, found.collect())) == sorted(map(tuple, want.collect())) != []
+
+
 @pytest.mark.parametrize(
     "declared,target,spark_kind",
     [

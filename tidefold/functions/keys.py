@@ -39,15 +39,22 @@ def _fixed_form(df: DataFrame, name: str) -> SparkColumn:
     return F.when(column.isNull(), NIL).otherwise(text)
 
 
+#: Rows that one task of ``pk_collisions`` brings together, about.
+ROWS_PER_TASK = 1 << 20
+
+
 def pk_collisions(df: DataFrame, key: Sequence[str]) -> DataFrame:
     """Rendered ids that more than one key tuple maps to.
 
-    Distinct tuples first, so a heavily repeated key shrinks before the shuffle.
+    Rows are dealt by id before any are kept, into parts whose number follows the rows: each
+    task then holds the tuples of one part, however large a file's splits are.  Tuples and
+    ids are told apart where they land.
     """
+    parts = -(-df.count() // ROWS_PER_TASK)
     return (
-        df.select(*key)
+        df.select(render_pk(df, key).alias("_id"), *key)
+        .repartition(max(parts, 1), "_id")
         .distinct()
-        .select(render_pk(df, key).alias("_id"))
         .groupBy("_id")
         .agg(F.count(F.lit(1)).alias("n_keys"))
         .where("n_keys > 1")
