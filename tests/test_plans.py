@@ -1,5 +1,6 @@
 """Shapes of the physical plans: what would not survive a large scale."""
 
+import inspect
 import re
 
 import pytest
@@ -7,7 +8,7 @@ import pytest
 from tidefold.model import Position
 from tidefold.operators.catchup import catchup_range, resume_after
 from tidefold.operators.fold import snapshot_plus_log
-from tidefold.plans import QUERIES
+from tidefold.plans import QUERIES, queries_tables
 
 SF = "/root/testdata/sf0.001"
 WRITING = {"fan_out", "change_source", "stream_apply", "stream_checkpoint", "stream_fan_out"}
@@ -117,3 +118,10 @@ def test_a_crossing_replay_is_bounded_on_both_sides(spark, tmp_path):
     assert got.count() == 22
     filters = partition_filters(spark, got)
     assert any(">= 2" in f and "<= Subquery" in f for f in filters), filters
+
+
+@pytest.mark.parametrize("name", ["fan_out_in_order", "stream_dropped_updates"])
+def test_batches_are_cut_by_sketches(name):
+    """The exact percentile of a log holds all its events in one task."""
+    source = inspect.getsource(queries_tables)
+    assert "percentile(" not in source and "_batch_edges(changes" in inspect.getsource(QUERIES[name])

@@ -177,6 +177,13 @@ class DownError(RuntimeError):
     pass
 
 
+def _batch_edges(changes: DataFrame, *shares: float) -> list[float]:
+    """Where a log is cut into batches of about these shares; a sketch of each task is merged."""
+    at = ", ".join(map(str, shares))
+    edges = changes.selectExpr(f"percentile_approx(event_id, array({at})) e").first()["e"]
+    return [float("-inf"), *edges, float("inf")]
+
+
 @query(
     "fan_out_in_order",
     cte("changes")
@@ -211,8 +218,7 @@ def fan_out_in_order(spark: SparkSession, sf: str) -> DataFrame:
 
     fan = FanOut({n: failing(s) for n, s in sinks.items()}, dead_letters=f"{folder}/dead")
     changes = inputs.changes(spark, sf)
-    edges = changes.selectExpr("percentile(event_id, array(0.25, 0.5, 0.75)) e").first()["e"]
-    whole = [float("-inf"), *edges, float("inf")]
+    whole = _batch_edges(changes, 0.25, 0.5, 0.75)
     for i in range(4):
         fan(changes.where((F.col("event_id") > whole[i]) & (F.col("event_id") <= whole[i + 1])), i)
         down[0] = i < 2  # up again before the fourth batch
@@ -315,18 +321,18 @@ def stream_rotate(spark: SparkSession, sf: str) -> DataFrame:
 def stream_dropped_updates(spark: SparkSession, sf: str) -> DataFrame:
     """As ``dropped_updates``, batch by batch, with the keys' state carried in the store."""
     folder = scratch_dir(spark, "stream-dropped")
-    changes = inputs.changes(spark, sf).select(
+    changes = inputs.changes(spark, sf)
+    rows = [
         F.lit("users").alias("tbl"), "logfile", "logpos", "row_idx", "op",
         F.array(F.col("user_id").cast("string")).alias("key"),
         F.array(F.col("user_id").cast("string"), F.col("event_id").cast("string")).alias("vals"),
-    )
+    ]
     store = TablesStore(f"{folder}/state", buckets=2, fan=2)
     handle = DroppedUpdates(f"{folder}/dropped", store)
-    edges = inputs.changes(spark, sf).selectExpr("percentile(event_id, array(0.3, 0.5, 0.9)) e").first()["e"]
-    whole = [float("-inf"), *edges, float("inf")]
+    whole = _batch_edges(changes, 0.3, 0.5, 0.9)
     for i in range(4):
-        event = F.col("vals")[1].cast("bigint")
-        handle(changes.where((event > whole[i]) & (event <= whole[i + 1])), i)
+        event = F.col("event_id")
+        handle(changes.where((event > whole[i]) & (event <= whole[i + 1])).select(*rows), i)
         store.compact(spark, i)
     found = spark.read.parquet(f"{folder}/dropped")
     return found.select(F.col("key")[0].cast("bigint").alias("user_id"), F.col("vals")[1].cast("bigint").alias("event_id"))
