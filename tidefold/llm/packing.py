@@ -3,7 +3,8 @@
 Only the numbers of pieces by length matter to a packing, and there are no more lengths
 than the capacity.  So pieces are counted by length, the counts are packed (runs of equal
 sequences at once), and each piece finds its place by its rank among the pieces of its
-length.  Ranks come from counts by (writing task, length), so no length is one group.
+length.  Ranks come from counts by (writing task, length), so no length is one group.  Pieces
+counted while they are made need no shuffle for that.
 """
 
 from __future__ import annotations
@@ -132,13 +133,15 @@ def tokenise(
     capacity: int = 2048,
     id_col: str = "doc_id",
     text_col: str = "text",
+    nth: str | None = None,
 ) -> DataFrame:
     """(doc_id, piece, start, length, tokens): documents as pieces of at most ``capacity`` ids.
 
     A document is the ids of its text and an end id.  ``tokens`` is binary: unsigned
     32-bit little-endian ids.  Null and empty texts are one piece holding the end id.
     ``vocabulary`` names a tokenizer file, the rank file of the same vocabulary, both of
-    which every executor has, and the pattern that splits text before the merges.
+    which every executor has, and the pattern that splits text before the merges.  ``nth``
+    names one more column: the number of earlier pieces of this length in the same task.
     """
     vocabulary = vocabulary or default_vocabulary()
     ids = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
@@ -150,10 +153,11 @@ def tokenise(
         if vocabulary not in _ids:
             _ids[vocabulary] = _Ids(*vocabulary)
         encoder = _ids[vocabulary]
+        met: Counter[int] = Counter()
         for batch in small_slices(batches, 1, TEXT_BYTES):
             texts = [t or "" for t in batch.column(1).to_pylist()]
             data, ends = encoder.encode_all(texts)
-            rows, number, start, length, tokens = [], [], [], [], []
+            rows, number, start, length, tokens, earlier = [], [], [], [], [], []
             begin = 0
             for row, end in enumerate(ends.tolist()):
                 starts = piece_starts(end - begin, capacity)
@@ -163,22 +167,22 @@ def tokenise(
                     start.append(a)
                     length.append(b - a)
                     tokens.append(data[4 * (begin + a) : 4 * (begin + b)])
+                    earlier.append(met[b - a])
+                    met[b - a] += 1
                 begin = end
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column(0).take(pa.array(rows, pa.int64())),
-                    pa.array(number, pa.int32()),
-                    pa.array(start, pa.int64()),
-                    pa.array(length, pa.int64()),
-                    pa.array(tokens, pa.binary()),
-                ],
-                ["doc_id", "piece", "start", "length", "tokens"],
-            )
-
-    kind = field(ids, "doc_id")
-    return ids.mapInArrow(
-        run, f"doc_id {kind}, piece int, start bigint, length bigint, tokens binary"
-    )
+            columns = {
+                "doc_id": batch.column(0).take(pa.array(rows, pa.int64())),
+                "piece": pa.array(number, pa.int32()),
+                "start": pa.array(start, pa.int64()),
+                "length": pa.array(length, pa.int64()),
+                "tokens": pa.array(tokens, pa.binary()),
+            }
+            if nth:
+                columns[nth] = pa.array(earlier, pa.int64())
+            yield pa.RecordBatch.from_arrays(list(columns.values()), list(columns))
+
+    form = f"doc_id {field(ids, 'doc_id')}, piece int, start bigint, length bigint, tokens binary"
+    return ids.mapInArrow(run, form + (f", {nth} bigint" if nth else ""))
 
 
 def best_two_fit(counts: dict[int, int], capacity: int) -> list[tuple[int, list[int]]]:
@@ -252,7 +256,7 @@ def slots(plan: list[tuple[int, list[int]]], lengths_at_most: int):
     return {n: np.array(r, np.int64) for n, r in runs.items()}
 
 
-def pack(pieces: DataFrame, capacity: int = 2048) -> DataFrame:
+def pack(pieces: DataFrame, capacity: int = 2048, nth: str | None = None) -> DataFrame:
     """``pieces`` with sequence_id and offset; ``length`` is 1 to ``capacity`` in each row.
 
     Sequences are gapless from offset 0 and hold at most ``capacity``.  Every row gets its
@@ -260,10 +264,15 @@ def pack(pieces: DataFrame, capacity: int = 2048) -> DataFrame:
     written to the shared folder once, so that ranks hold when tasks run again; own
     columns named like the new ones are replaced.  What reaches the driver is one count
     for each length.
+
+    ``nth`` names a column of ``tokenise``, which is left out of the result.  Then no row is
+    moved: places are looked up in the numbers of pieces of each length in earlier tasks, an
+    array for each task, sent to all.  All rows must be as and where ``tokenise`` made them.
     """
-    keep = [c for c in pieces.columns if c.lower() not in ("sequence_id", "offset")]
+    keep = [c for c in pieces.columns if c.lower() not in ("sequence_id", "offset") and c != nth]
+    row = [F.col(nth).alias("_nth")] if nth else []
     fixed = stored(
-        pieces.select(*keep, F.monotonically_increasing_id().alias("_row")), "pieces"
+        pieces.select(*keep, *row, F.monotonically_increasing_id().alias("_row")), "pieces"
     )
     task = F.shiftright("_row", 33).alias("_task")
     by_task = stored(fixed.groupBy(task, "length").count(), "piece-counts")
@@ -277,12 +286,26 @@ def pack(pieces: DataFrame, capacity: int = 2048) -> DataFrame:
     bases = by_task.select(
         "_task", "length", F.coalesce(F.sum("count").over(earlier), F.lit(0)).alias("_base")
     )
-    own = Window.partitionBy("_task", "length").orderBy("_row")
-    ranked = (
-        fixed.withColumn("_task", task)
-        .join(bases, ["_task", "length"])
-        .withColumn("_rank", F.col("_base") + F.row_number().over(own) - 1)
-    )
+    if nth:
+        known = F.map_from_entries(F.collect_list(F.struct(F.col("length").cast("int"), "_base")))
+        lengths = F.sequence(F.lit(0), F.lit(capacity))
+        dense = bases.groupBy("_task").agg(known.alias("known")).select(
+            "_task", F.transform(lengths, lambda n: F.try_element_at("known", n)).alias("_bases")
+        )
+        base = F.get("_bases", F.col("length").cast("int"))
+        ranked = (
+            fixed.withColumn("_task", task)
+            .join(F.broadcast(dense), "_task")
+            .withColumn("_rank", base + F.col("_nth"))
+            .drop("_bases")
+        )
+    else:
+        own = Window.partitionBy("_task", "length").orderBy("_row")
+        ranked = (
+            fixed.withColumn("_task", task)
+            .join(bases, ["_task", "length"])
+            .withColumn("_rank", F.col("_base") + F.row_number().over(own) - 1)
+        )
 
     @F.pandas_udf("sequence_id bigint, offset bigint")
     def place(length: pd.Series, rank: pd.Series) -> pd.DataFrame:
@@ -303,7 +326,7 @@ def pack(pieces: DataFrame, capacity: int = 2048) -> DataFrame:
 
 def pack_documents(docs: DataFrame, capacity: int = 2048, **options) -> DataFrame:
     """(doc_id, piece, start, length, tokens, sequence_id, offset) for whole documents."""
-    return pack(tokenise(docs, capacity=capacity, **options), capacity)
+    return pack(tokenise(docs, capacity=capacity, nth="nth", **options), capacity, nth="nth")
 
 
 def sequences(packed: DataFrame) -> DataFrame:
@@ -318,7 +341,7 @@ def sequences(packed: DataFrame) -> DataFrame:
 
 def op2_packing(spark, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    pieces = tokenise(docs).select(
-        "doc_id", "piece", "start", "length", F.crc32("tokens").alias("ids_crc32")
+    pieces = tokenise(docs, nth="nth").select(
+        "doc_id", "piece", "start", "length", F.crc32("tokens").alias("ids_crc32"), "nth"
     )
-    return pack(pieces)
+    return pack(pieces, nth="nth")
