@@ -15,6 +15,8 @@ fails the job.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -38,8 +40,8 @@ _WHOLE = (
     + rf"|{_REST}|/(?!\*)|-(?!-(?:[ \t\r]|$)))*+"
 )
 
-#: Lines in one chunk at most.
-CHUNK = 4096
+#: Lines in one chunk at most, and members of a list that are gone through at once.
+CHUNK, RUN = 4096, 64
 
 
 def _from_out(text: Column) -> Column:
@@ -102,20 +104,31 @@ def _composed(rows: Column) -> Column:
 
 
 def _begins(rows: Column, first: Column) -> Column:
-    """For a list of structs (to, ends) the state and number each begins with, given the first."""
-    start = F.struct(first.alias("now"), F.array().cast("array<struct<at: int, ends: bigint>>").alias("seen"))
-    return F.aggregate(
-        rows,
-        start,
-        lambda acc, row: F.struct(
-            F.struct(
-                F.get(row["to"], acc["now"]["at"]).alias("at"),
-                (acc["now"]["ends"] + F.get(row["ends"], acc["now"]["at"])).alias("ends"),
-            ).alias("now"),
-            F.concat(acc["seen"], F.array(acc["now"])).alias("seen"),
-        ),
-        lambda acc: acc["seen"],
-    )
+    """For a list of structs (to, ends) the state and number each begins with, given the first.
+
+    A list that grows is copied with each member, so it is made of runs of RUN members.
+    """
+
+    def step(now: Column, row: Column) -> Column:
+        return F.struct(
+            F.get(row["to"], now["at"]).alias("at"), (now["ends"] + F.get(row["ends"], now["at"])).alias("ends")
+        )
+
+    def before(items: Column, start: Column, after: Callable[[Column, Column], Column]) -> Column:
+        none = F.array().cast("array<struct<at: int, ends: bigint>>")
+        return F.aggregate(
+            items,
+            F.struct(start.alias("now"), none.alias("seen")),
+            lambda acc, item: F.struct(
+                after(acc["now"], item).alias("now"), F.concat(acc["seen"], F.array(acc["now"])).alias("seen")
+            ),
+            lambda acc: acc["seen"],
+        )
+
+    last = F.floor((F.size(rows) - 1) / RUN).cast("int")
+    runs = F.transform(F.sequence(F.lit(0), last), lambda k: F.slice(rows, k * RUN + 1, RUN))
+    starts = before(runs, first, lambda now, run: F.aggregate(run, now, step))
+    return F.flatten(F.zip_with(runs, starts, lambda run, start: before(run, start, step)))
 
 
 def _gathered(rows: DataFrame, group: list[str], order: str, function: str) -> DataFrame:
