@@ -20,3 +20,14 @@ def test_pieces_are_not_shuffled_and_have_the_places_of_the_shuffled_ones(spark)
     assert sorted(map(str, ((r.doc_id, r.piece, r.start, r.length, r.tokens) for r in got))) == sorted(
         map(str, ((r.doc_id, r.piece, r.start, r.length, r.tokens) for r in moved))
     )
+
+
+def test_rows_that_wait_for_python_do_not_hold_the_numbers_of_their_task(spark):
+    docs = spark.createDataFrame([(k, "and the of " * (k % 9)) for k in range(50)], "doc_id bigint, text string")
+    packed = P.pack_documents(docs.repartition(3))
+    tree = packed._jdf.queryExecution().optimizedPlan()
+    evals = [tree.p(k) for k in range(100) if tree.p(k) is not None]
+    waiting = [n for n in evals if "EvalPython" in n.nodeName()]
+    into = [n.children().head().output().mkString(" ") for n in evals if n.nodeName() == "MapInArrow"]
+    assert not waiting and into and not any("_bases" in columns for columns in into)
+    assert packed.count() == 50

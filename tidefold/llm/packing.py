@@ -287,17 +287,17 @@ def pack(pieces: DataFrame, capacity: int = 2048, nth: str | None = None) -> Dat
         "_task", "length", F.coalesce(F.sum("count").over(earlier), F.lit(0)).alias("_base")
     )
     if nth:
-        known = F.map_from_entries(F.collect_list(F.struct(F.col("length").cast("int"), "_base")))
-        lengths = F.sequence(F.lit(0), F.lit(capacity))
-        dense = bases.groupBy("_task").agg(known.alias("known")).select(
-            "_task", F.transform(lengths, lambda n: F.try_element_at("known", n)).alias("_bases")
-        )
+        def dense(part: pa.Table) -> pa.Table:
+            base = np.zeros(capacity + 1, np.int64)
+            base[part.column("length").to_numpy()] = part.column("_base").to_numpy()
+            return pa.table({"_task": part.column("_task")[:1], "_bases": [base]})
+
+        by = bases.groupBy("_task").applyInArrow(dense, "_task bigint, _bases array<bigint>")
         base = F.get("_bases", F.col("length").cast("int"))
         ranked = (
             fixed.withColumn("_task", task)
-            .join(F.broadcast(dense), "_task")
-            .withColumn("_rank", base + F.col("_nth"))
-            .drop("_bases")
+            .join(F.broadcast(by), "_task")
+            .select(*keep, (base + F.col("_nth")).alias("_rank"))
         )
     else:
         own = Window.partitionBy("_task", "length").orderBy("_row")
@@ -307,17 +307,34 @@ def pack(pieces: DataFrame, capacity: int = 2048, nth: str | None = None) -> Dat
             .withColumn("_rank", F.col("_base") + F.row_number().over(own) - 1)
         )
 
-    @F.pandas_udf("sequence_id bigint, offset bigint")
-    def place(length: pd.Series, rank: pd.Series) -> pd.DataFrame:
-        out = np.zeros((len(length), 2), np.int64)
-        lengths, ranks = length.to_numpy(), rank.to_numpy()
+    def places(lengths: np.ndarray, ranks: np.ndarray) -> np.ndarray:
+        out = np.zeros((2, len(lengths)), np.int64)
         for n in np.unique(lengths):
             rows = np.flatnonzero(lengths == n)
             runs = where[int(n)]
             hit = np.searchsorted(runs[:, 0], ranks[rows], "right") - 1
-            out[rows, 0] = runs[hit, 1] + ranks[rows] - runs[hit, 0]
-            out[rows, 1] = runs[hit, 2]
-        return pd.DataFrame(out, columns=["sequence_id", "offset"])
+            out[0, rows] = runs[hit, 1] + ranks[rows] - runs[hit, 0]
+            out[1, rows] = runs[hit, 2]
+        return out
+
+    if nth:
+        # A scalar function would keep whole rows of the join beside it, each with its array.
+        at, last = keep.index("length"), len(keep)
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                found = places(batch.column(at).to_numpy(), batch.column(last).to_numpy())
+                yield pa.RecordBatch.from_arrays(
+                    [*batch.columns[:last], *map(pa.array, found)], [*keep, "sequence_id", "offset"]
+                )
+
+        form = fixed.select(*keep).schema.add("sequence_id", "long").add("offset", "long")
+        return ranked.mapInArrow(run, form)
+
+    @F.pandas_udf("sequence_id bigint, offset bigint")
+    def place(length: pd.Series, rank: pd.Series) -> pd.DataFrame:
+        found = places(length.to_numpy(), rank.to_numpy())
+        return pd.DataFrame(found.T, columns=["sequence_id", "offset"])
 
     return ranked.withColumn("_place", place("length", "_rank")).select(
         *keep, "_place.sequence_id", "_place.offset"
