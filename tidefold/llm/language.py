@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tidefold.llm.common import field, small_slices
+from tidefold.llm.common import field, give_back, small_slices
 
 UNKNOWN = "und"
 FAR = -60.0
@@ -389,6 +389,7 @@ def language_of(text: Column, model: Model, limit: int = 2 << 20) -> Column:
 
     @F.pandas_udf("string")
     def names(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        give_back()
         words = _Words(model)
         for part in parts:
             texts, found, start, size = part.tolist(), [], 0, 0

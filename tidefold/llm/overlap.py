@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tidefold.llm.common import field, small_slices, stored
+from tidefold.llm.common import field, give_back, small_slices, stored
 from tidefold.llm.components import connected
 from tidefold.llm.simhash import SEED, fingerprint_of, links, shingle_hashes
 
@@ -72,6 +72,7 @@ def _counts(texts: DataFrame, width: int) -> np.ndarray:
     shift, block = np.uint64(64 - bits), 1 << 16
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        give_back()
         table, waiting, size = np.zeros(1 << bits, np.uint32), [], 0
 
         def add():
@@ -98,6 +99,7 @@ def _counts(texts: DataFrame, width: int) -> np.ndarray:
                 )
 
     def add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        give_back()
         sums: dict[int, np.ndarray] = {}
         for batch in batches:
             for k, packed in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
@@ -123,6 +125,7 @@ def _first_shingles(texts: DataFrame, width: int) -> DataFrame:
     shift = np.uint64(65 - len(counts).bit_length())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        give_back()
         seen: set[int] = set()  # copies are sent once by each task
         for batch in small_slices(batches, 0):
             cols: list[list[np.ndarray]] = [[], [], [], []]
@@ -165,6 +168,7 @@ def _sets(nodes: DataFrame, prints: DataFrame, texts: DataFrame, width: int) ->
     needed = table.view(np.uint64)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        give_back()
         seen: set[int] = set()
         for batch in batches:
             at = batch.column(0).to_numpy() % BITS
@@ -195,6 +199,7 @@ def _verified(pairs: DataFrame, prints: DataFrame, texts: DataFrame, width: int)
     sets = _sets(nodes, prints, texts, width)
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        give_back()
         for batch in batches:
             keep = []
             for a, b in zip(batch.column(2), batch.column(3)):
@@ -340,6 +345,7 @@ def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[dict[str, pa.Array]]:
 
 def _with_room(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The rows of ``_grouped`` that a row of another root in their group has ``_room`` with."""
+    give_back()
     for columns, edges in _whole(batches):
         sizes = np.diff(edges)
         order = np.lexsort((columns["n"].to_numpy(), np.repeat(np.arange(len(sizes)), sizes)))
@@ -380,11 +386,13 @@ def _last_links(some: DataFrame, prints: DataFrame, texts: DataFrame, width: int
     sets = _sets(members.select("node"), prints, texts, width)
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        give_back()
         for batch in batches:
             packed = [_sketch(h).tobytes() for h in _words(batch.column(1))]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(packed, pa.binary())], ["node", "sketch"])
 
     def candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        give_back()
         for group in _groups(batches):
             n, at, root = (group[c].to_numpy() for c in ("n", "at", "root"))
             sketches, rest = _Sketches(_words(group["sketch"]), n), n - at
@@ -397,6 +405,7 @@ def _last_links(some: DataFrame, prints: DataFrame, texts: DataFrame, width: int
             yield _pairs_of(root, _spanning(root, near))
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        give_back()
         for group in _groups(batches):
             hashes = _words(group["hashes"])
             n = np.array([len(h) for h in hashes])
@@ -454,6 +463,7 @@ def near_copies(
     keyed = texts.select("doc_id", F.xxhash64("text").alias("text_key"), "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        give_back()
         for batch in small_slices(batches, 2):
             names, fps = [], []
             for t in batch.column(2).to_pylist():

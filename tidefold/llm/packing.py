@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tidefold.llm.common import field, small_slices, stored
+from tidefold.llm.common import field, give_back, small_slices, stored
 
 #: Words whose ids one Python worker keeps, and bytes of text it cuts into words at a time.
 CACHE_WORDS, TEXT_BYTES = 250_000, 1 << 20
@@ -149,6 +149,7 @@ def tokenise(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import os
 
+        give_back()
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         if vocabulary not in _ids:
             _ids[vocabulary] = _Ids(*vocabulary)
@@ -322,6 +323,7 @@ def pack(pieces: DataFrame, capacity: int = 2048, nth: str | None = None) -> Dat
         at, last = keep.index("length"), len(keep)
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            give_back()
             for batch in batches:
                 found = places(batch.column(at).to_numpy(), batch.column(last).to_numpy())
                 yield pa.RecordBatch.from_arrays(
