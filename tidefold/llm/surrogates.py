@@ -30,7 +30,10 @@ MALE = "Mr|Herr|Monsieur|Señor|Sr|Г-н"
 PERSON = rf"(?<!\p{{L}})(?:{FEMALE}|{MALE})\.? \p{{Lu}}\p{{L}}+(?: \p{{Lu}}\p{{L}}+)?"
 
 KINDS = {"email": EMAIL, "ip": IP, "phone": PHONE, "card": CARD, "person": PERSON}
-ANY = "|".join(f"(?:{p})" for p in KINDS.values())
+# At most places the first character rules a kind out before its own pattern is tried.
+NUMBER = r"(?=[\d(+])" + f"(?:{'|'.join(f'(?:{KINDS[k]})' for k in ('ip', 'phone', 'card'))})"
+TITLED = f"(?=[{''.join(sorted({t[0] for t in f'{FEMALE}|{MALE}'.split('|')}))}])(?:{PERSON})"
+ANY = f"(?:{EMAIL})|{NUMBER}|{TITLED}"
 
 #: Syllables of surrogate names, and what ends a given name: neither, female, male.
 SCRIPTS = {
@@ -58,6 +61,11 @@ def luhn_sum(digits: Column) -> Column:
     return F.aggregate(each, F.lit(0), lambda a, x: a + x)
 
 
+def has_any(text: Column) -> Column:
+    """Whether ``ANY`` matches somewhere, by its parts: only texts with an @ are searched for addresses."""
+    return (text.contains("@") & text.rlike(EMAIL)) | text.rlike(NUMBER) | text.rlike(TITLED)
+
+
 def kind_of(hit: Column) -> Column:
     """The kind of a match, null for digits that only look like a card number."""
     out = F.when(hit.rlike(f"^(?:{PERSON})$"), "person")
@@ -265,7 +273,7 @@ def pseudonymise(
     replaced.  The same ``key`` and texts give the same surrogates.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
-    has = text.rlike(ANY)
+    has = has_any(text)
     keys = [
         F.xxhash64(F.col(id_col), F.col(text_col)).alias("_k1"),
         F.xxhash64(F.col(text_col), F.lit(1), F.col(id_col)).alias("_k2"),
