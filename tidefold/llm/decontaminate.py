@@ -10,13 +10,16 @@ where one word may be substituted, one with a zero at each place.  So they are f
 whatever that word is.
 
 Everything is DataFrame functions: seeds of texts are made and looked up in one pass of
-generated code, and only hits, with the few words around them, go further.  Where there
+generated code for each length of masks, and only hits, with the few words around them, go
+further; a row with all words of a text is never made for each hit or seed.  Where there
 are too many test items to broadcast their seeds, seeds are joined by a shuffle without
 the texts, and hits fetch the words around them from the texts afterwards.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -70,6 +73,32 @@ def short_masks(length: int, similarity: float) -> tuple[str, ...]:
     return (whole, *[whole[:k] + "0" + whole[k + 1 :] for k in range(length)])
 
 
+def stretches(hits: DataFrame, span: int) -> DataFrame:
+    """(doc_id, item_id, first, compared, found): the words of documents around hits, each once.
+
+    ``found`` are the words against those of the item from ``first`` on, as far as stretches
+    that hold the hit reach; what is outside of the document is null.
+
+    No lambda here: generated code ends at one, and would keep a row with all words of a
+    document for each of its hits until the document is done.
+    """
+    length = F.least(F.lit(span), F.col("item_size"))
+    low = F.greatest(F.lit(1), F.col("item_at") + F.col("item_width") - length)
+    high = F.greatest(F.lit(1), F.least(F.col("item_at"), F.col("item_size") - length + 1)) + length - 1
+    shift = F.col("at") - F.col("item_at")
+    begin, end = low + shift, high + shift
+    none = F.lit(None).cast("string")
+    inside = F.greatest(F.lit(1), begin)
+    found = F.concat(
+        F.array_repeat(none, F.greatest(F.lit(0), F.lit(1) - begin)),
+        F.slice("words", inside, end - inside + 1),
+        F.array_repeat(none, F.greatest(F.lit(0), end - F.size("words"))),
+    )
+    return hits.select(
+        "doc_id", "item_id", low.alias("first"), length.alias("compared"), found.alias("found")
+    ).distinct()
+
+
 def overlaps(
     docs: DataFrame,
     items: DataFrame,
@@ -110,45 +139,28 @@ def overlaps(
     sizes = F.size("words")
     short = sorted(r[0] for r in test.where(sizes <= SHORT).select(sizes).distinct().collect())
 
-    def all_seeds(side: DataFrame, of_item: bool, *carried: str) -> DataFrame:
-        out = seeds(side.where(sizes > SHORT) if of_item else side, masks, *carried)
-        first = len(masks)
-        for length in short:
-            own = short_masks(length, similarity)
-            part = side.where(sizes == length) if of_item else side
-            out = out.unionByName(seeds(part, own, *carried, first=first))
-            first += len(own)
-        return out
-
-    known = all_seeds(test, True, "item_id").select(
-        "seed", "item_id", F.col("at").alias("item_at"), F.size("words").alias("item_size"), F.col("width").alias("item_width")
-    )
-    made = all_seeds(train, False, "doc_id", "k1", "k2").drop("width")
+    # (masks, number of the first, seeds of test items) for long items and each short length.
+    groups = []
+    first = 0
+    for chosen, own in [
+        (sizes > SHORT, masks),
+        *[(sizes == n, short_masks(n, similarity)) for n in short],
+    ]:
+        known = seeds(test.where(chosen), own, "item_id", first=first)
+        size = F.size("words").alias("item_size")
+        width = F.col("width").alias("item_width")
+        groups.append((own, first, known.select("seed", "item_id", F.col("at").alias("item_at"), size, width)))
+        first += len(own)
+    known = reduce(DataFrame.unionByName, [k for _, _, k in groups])
     if known.count() <= most_broadcast:
-        hits = made.join(F.broadcast(known), "seed")
+        # One lookup for each group: a union of seeds would hold a copy of the words for each.
+        made = [(seeds(train, own, "doc_id", first=n).drop("width"), k) for own, n, k in groups]
+        near = [stretches(m.join(F.broadcast(k), "seed"), span) for m, k in made]
     else:
-        slim = made.drop("words", "doc_id").join(known, "seed").drop("seed").distinct()
-        hits = slim.join(train, ["k1", "k2"])
-    # The words of the item, from 1, that stretches around the hit reach.
-    length = F.least(F.lit(span), F.col("item_size"))
-    low = F.greatest(F.lit(1), F.col("item_at") + F.col("item_width") - length)
-    high = F.greatest(F.lit(1), F.least(F.col("item_at"), F.col("item_size") - length + 1)) + length - 1
-    near = hits.select(
-        "doc_id",
-        "item_id",
-        low.alias("first"),
-        high.alias("last"),
-        length.alias("compared"),
-        (F.col("at") - F.col("item_at")).alias("shift"),
-        "words",
-    )
-    # Words of the document that stand against them; what is outside is null.
-    against = F.transform(
-        F.sequence(F.col("first"), F.col("last")), lambda i: F.get("words", i + F.col("shift") - 1)
-    )
-    stretches = near.select(
-        "doc_id", "item_id", "first", "compared", against.alias("found")
-    ).distinct()
+        made = [seeds(train, own, "k1", "k2", first=n).drop("width", "words") for own, n, _ in groups]
+        slim = reduce(DataFrame.unionByName, made).join(known, "seed").drop("seed").distinct()
+        near = [stretches(slim.join(train, ["k1", "k2"]), span)]
+    near = reduce(DataFrame.unionByName, near)
     own = test.select(F.col("item_id").alias("own_id"), F.col("words").alias("own"))
     same = F.zip_with(
         F.slice("own", F.col("first"), F.size("found")),
@@ -161,7 +173,7 @@ def overlaps(
         return F.aggregate(part, F.lit(0), lambda n, x: n + x)
 
     begins = F.sequence(F.lit(1), F.size("same") - F.col("compared") + 1)
-    joined = stretches.join(own, stretches["item_id"] == own["own_id"])
+    joined = near.join(own, near["item_id"] == own["own_id"])
     compared = joined.select("doc_id", "item_id", "compared", same.alias("same")).select(
         "doc_id", "item_id", "compared", F.array_max(F.transform(begins, equal_from)).alias("matched")
     )
