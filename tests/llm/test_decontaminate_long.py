@@ -2,6 +2,7 @@
 
 import pytest
 
+import corpus_pipeline
 from tidefold.llm import decontaminate as D
 
 ITEM = [f"w{i}" for i in range(30)]
@@ -43,3 +44,12 @@ def test_hits_are_cut_to_the_words_around_them_in_one_stage_of_code(spark, items
         # What takes the hits is made of columns that generated code can make.
         assert "HashAggregate(keys" in plan[k - 2] and "slice(words" in plan[k - 1], plan
         assert "lambda" not in plan[k - 1]
+
+
+def test_pipeline_stage_drops_a_long_document_of_many_hits(spark, items, tmp_path):
+    items(" ".join(ITEM), "a b c").write.parquet(str(tmp_path / "benchmark.parquet"))
+    hot = " ".join((ITEM * (WORDS // 30 + 1))[:WORDS])
+    rows = [(1, hot), (1, "pad " * WORDS), (None, hot), (2, "pad a b c"), (3, None)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = corpus_pipeline.decontaminated(spark, docs, str(tmp_path)).collect()
+    assert sorted((r.doc_id, r.text) for r in got) == [(1, "pad " * WORDS), (3, None)]
